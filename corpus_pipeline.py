@@ -1,24 +1,41 @@
-"""Corpus pipeline: near-duplicate removal over documents."""
+"""Corpus pipeline over documents: language ID, near-dedup, pseudonyms for personal data, packing."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamestate.llm import minhash
+from gamestate.llm import language, minhash, packing, pii
 from gamestate.llm.common import materialize, table
 
+#: SQL can't express the stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found stay; texts without letters or in a language that no label names go."""
+    return language.identify_documents(docs).where("accepted").select(*[f"`{c}`" for c in docs.columns])
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    """One document of each group of near copies stays: the one with the smallest doc_id. Rows without an id stay."""
     kept = minhash.near_groups(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
 
 
-STAGES = [("near_dedup", near_dedup)]
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets in the texts give way to pseudonyms of the same length."""
+    return pii.mask(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("pii", pseudonyms), ("packing", pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,29 +5,76 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gamestate.llm import bpe, embeddings, minhash
+from gamestate.llm import bpe, embeddings, fingerprints, language, licenses, minhash, packing, pii, sharding, token_counts
 from gamestate.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masked = pii.mask(table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    kinds = [number(k) for k, _, _ in pii.KINDS]
+    return masked.select("doc_id", "text", "spans", F.size("spans").cast("long").alias("n_found"), *kinds)
+
+
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op8_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
+
+
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048)
+
+
+def op10_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_embedding_near_dedup, op4_bpe_round_trip, op7_minmax_near_dedup)}
+    every = (
+        op1_license_scan,
+        op2_embedding_near_dedup,
+        op3_document_fingerprints,
+        op4_bpe_round_trip,
+        op5_token_counts,
+        op6_pii_pseudonyms,
+        op7_minmax_near_dedup,
+        op8_slot_sharding,
+        op9_vector_packing,
+        op10_language_fusion,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_license_scan": licenses.oracle()}
