@@ -13,7 +13,8 @@ from gamestate.schemas import PBP_JSON, PBP_RAW, ROSTER_JSON, SCHEDULE_JSON, SHI
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, _corrupt_record string").json(path)
+    parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return spark.read.text(path).where("trim(value) <> ''").select(parsed.alias("d")).select("d.*")
 
 
 def schedules(spark: SparkSession, path: str) -> DataFrame:
