@@ -177,7 +177,7 @@ def test_replace_while_reading(spark, tmp_path):
 def test_metrics_on_known_values(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1), (0, 0.7)], "label int, score double")
     assert math.isclose(metrics.auc(df).first()["auc"], (3 + 1.5) / 6)
-    assert metrics.youden(df).first()["threshold"] == 0.7
+    assert metrics.youden(df).first()["threshold"] == 0.9  # tpr 1/2, fpr 0
     assert metrics.confusion(df, 0.75).first()["tp"] == 1
     wide = spark.createDataFrame([(1, None, 2.0), (1, "a", 3.0)], "a int, b string, c double")
     assert one(metrics.null_report(wide), "column_name") == ["b"]
