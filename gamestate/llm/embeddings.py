@@ -88,6 +88,8 @@ def _compare(least: float, shared: int):
         root_a, far = ra.copy(), np.iinfo(np.int64).max
         while len(ra):
             root_b = np.where(ok, root_a[:, None], far).min(0)
+            if same:  # rows and columns are the same vectors
+                root_b = np.minimum(root_b, root_a)
             now = np.minimum(root_a, np.where(ok, root_b[None, :], far).min(1))
             if (now == root_a).all():
                 break
