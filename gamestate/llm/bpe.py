@@ -19,7 +19,8 @@ from functools import lru_cache
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: The pattern that cuts a text into pre-tokens before byte-level merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -140,16 +141,26 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def named_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, no_id and text. Pandas would turn ids beside a null into floats, so nulls are marked apart."""
+    return docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def own_id() -> Column:
+    return F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id")
+
+
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (array<int>) and the text decoded from them, for every row."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(path)
         for part in parts:
-            ids = [e.encode(t or "") for t in part["text"]]
-            yield pd.DataFrame({"doc_id": part["doc_id"], "ids": ids, "decoded": [e.decode(x) for x in ids]})
+            ids = [e.encode(t) for t in part["text"]]
+            yield pd.DataFrame({"doc_id": part["doc_id"], "no_id": part["no_id"], "ids": ids, "decoded": [e.decode(x) for x in ids]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>, decoded string")
+    out = named_texts(docs).mapInPandas(run, "doc_id long, no_id boolean, ids array<int>, decoded string")
+    return out.select(own_id(), "ids", "decoded")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -160,12 +171,13 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         for part in parts:
             out = []
             for text in part["text"]:
-                p = e.pieces(text or "")
+                p = e.pieces(text)
                 ids, decoded = ",".join([x[1] for x in p]), b"".join([x[2] for x in p]).decode("utf-8", "replace")
                 n = sum([len(x[0]) for x in p])
                 out.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             f = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            f.insert(0, "doc_id", part["doc_id"].to_numpy())
+            f["doc_id"], f["no_id"] = part["doc_id"].to_numpy(), part["no_id"].to_numpy()
             yield f
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = named_texts(docs).mapInPandas(run, "doc_id long, no_id boolean, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return out.select(own_id(), "n_tokens", "ids_sha256", "decoded_sha256")

@@ -201,11 +201,14 @@ def identify_pages(pages: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """docs with lang_found, text_lang, confidence and accepted; source stands for the host, lang is the declaration."""
+    """docs with lang_found, text_lang, confidence and accepted; source stands for the host, lang is the declaration.
+
+    Columns of docs with these four names give way; all others are kept.
+    """
     classes, logs = fit(docs)
     posterior = text_posterior(logs)
     names = {"declared": F.col("lang"), "host": F.coalesce("source", F.lit("")), "domain": F.lit(""), "suffix": F.lit("")}
-    own = {n: f"_own_{n}" for n in names if n in docs.columns}  # columns of the caller with names used here
+    own = {n: f"_own_{n}" for n in (*names, "_ll", "_decl", "_s", "_d", "_n", "p_domain") if n in docs.columns}  # columns of the caller with names used here
     rows = docs.withColumnsRenamed(own).withColumns({**names, "_ll": posterior("text")})
     light = docs.select(*[c.alias(n) for n, c in names.items()], posterior("text").alias("_ll"))
     out = identify(rows, classes, materialize(light, "document-language"))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from gamestate.llm.bpe import PATTERN, byte_letters, encoder
+from gamestate.llm.bpe import PATTERN, byte_letters, encoder, named_texts, own_id
 
 POOL_TOKENS = 4_000_000
 SEGMENTS = 256
@@ -136,16 +136,16 @@ def pack_documents(docs: DataFrame, path: str, limit: int = 2048, segments: int
             found = pack(n, n, capacity, cut=True)
             f = pd.DataFrame(found, columns=["k", "start", "length", "sequence_id", "offset"])
             f["ids_crc32"] = [zlib.crc32(pool[k][a : a + m]) for k, a, m in zip(f["k"], f["start"], f["length"], strict=True)]
-            f["doc_id"] = pd.array([None if pd.isna(names[k]) else int(names[k]) for k in f["k"]], "Int64")
+            f["doc_id"], f["no_id"] = ([names[k][i] for k in f["k"]] for i in (0, 1))
             f["doc_tokens"] = n[f["k"]]
             f["sequence_id"] += base
             base = int(f["sequence_id"].max()) + 1
-            return f[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+            return f.drop(columns="k")
 
         for part in parts:
-            for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                pool.append(np.append(ids(text or ""), np.uint32(END)).astype("<u4"))
-                names.append(doc_id)
+            for name, text in zip(zip(part["doc_id"], part["no_id"], strict=True), part["text"], strict=True):
+                pool.append(np.append(ids(text), np.uint32(END)).astype("<u4"))
+                names.append(name)
                 held += len(pool[-1])
                 if held >= POOL_TOKENS:
                     yield flush()
@@ -153,7 +153,8 @@ def pack_documents(docs: DataFrame, path: str, limit: int = 2048, segments: int
         if pool:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    out = named_texts(docs).mapInPandas(run, f"{SCHEMA}, no_id boolean")
+    return out.select(own_id(), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def pack_examples(examples: DataFrame, limit: int = 2048, segments: int = SEGMENTS, most_loss: int = 2048, pool: int = 50_000) -> DataFrame:
