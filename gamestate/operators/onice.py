@@ -36,6 +36,18 @@ def normalise_shifts(raw: DataFrame) -> DataFrame:
     return df.groupBy(*same).agg(F.max("period_start_seconds").alias("period_start_seconds"), F.max("game_start_seconds").alias("game_start_seconds"))
 
 
+def intervals(shifts: DataFrame, games: DataFrame, roster: DataFrame) -> DataFrame:
+    """Normalised shifts as (season, game_id, period, team_type, player_id, pos_G, start_s, end_s).
+
+    games: season, game_id, home_id, away_id. Shifts of other teams go; players the roster lacks have a null pos_G.
+    """
+    header = games.select("season", "game_id", F.col("home_id").alias("_home"), F.col("away_id").alias("_away")).distinct()
+    side = F.when(F.col("team_id") == F.col("_home"), "home").when(F.col("team_id") == F.col("_away"), "away")
+    goalies = roster.select("player_id", "pos_G").distinct()
+    df = shifts.join(header, "game_id").withColumn("team_type", side).where("team_type is not null").join(goalies, "player_id", "left")
+    return df.select("season", "game_id", "period", "team_type", "player_id", "pos_G", F.col("period_start_seconds").alias("start_s"), F.col("period_end_seconds").alias("end_s")).distinct()
+
+
 def lists(events: DataFrame, shifts: DataFrame) -> DataFrame:
     """Per event the players whose shift holds (cur), begins at (on) or ends at (off) its second, by side and position.
 
