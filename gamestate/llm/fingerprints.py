@@ -85,8 +85,10 @@ def as_text(a: Column) -> Column:
 
 
 def _cut_points(docs: DataFrame, buckets: int) -> list[int]:
-    shares = [i / buckets for i in range(1, buckets)]
-    found = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(20 * buckets)).alias("p")).first()["p"]
+    if buckets < 2:
+        return []
+    shares = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
+    found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(20 * buckets)).alias("p")).first()["p"]
     return sorted(set(found or []))
 
 
@@ -95,8 +97,9 @@ def _place(doc_id: Column, cuts: list[int]) -> Column:
     if not cuts:
         return F.lit(0)
     step = max(1, int(len(cuts) ** 0.5))
-    every = F.array(*map(F.lit, cuts))
-    coarse = F.size(F.filter(F.array(*map(F.lit, cuts[::step])), lambda c: c <= doc_id))
+    longs = lambda values: F.expr(f"array({', '.join(f'{c}L' for c in values)})")
+    every = longs(cuts)
+    coarse = F.size(F.filter(longs(cuts[::step]), lambda c: c <= doc_id))
     lo = F.greatest((coarse - 1) * step, F.lit(0))
     fine = F.size(F.filter(F.slice(every, lo + 1, F.lit(step)), lambda c: c <= doc_id))
     return F.when(doc_id.isNull(), 0).otherwise((lo + fine).cast("int"))
