@@ -73,14 +73,15 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
 
 
-def in_blocks(members: DataFrame, bucket: str, item: str, rows: int) -> DataFrame:
-    """Deal every bucket out in blocks of about `rows` members and pair the blocks, each with itself and each other.
+def in_blocks(members: DataFrame, bucket: str, item: str, limit: int, weight: str | None = None) -> DataFrame:
+    """Deal every bucket out in blocks of about `limit` members (or weight) and pair the blocks, each with itself and each other.
 
     A hot bucket becomes many (bucket, bi, bj) groups of bounded size instead of one task. A member carries
     `side` 0 in the pairs where its block is bi and 1 where it is bj; in the pair of a block with itself, 0.
     """
-    sizes = members.groupBy(bucket).agg(F.count("*").alias("_n")).where("_n > 1")
-    own = members.join(sizes, bucket).withColumn("_b", F.ceil(F.col("_n") / F.lit(rows)).cast("int"))
+    total = F.sum(weight) if weight else F.count("*")
+    sizes = members.groupBy(bucket).agg(F.count("*").alias("_n"), total.alias("_w")).where("_n > 1").drop("_n")
+    own = members.join(sizes, bucket).withColumn("_b", F.ceil(F.greatest(F.col("_w"), F.lit(1)) / F.lit(limit)).cast("int"))
     own = own.withColumn("_i", F.pmod(F.xxhash64(item, F.lit(7)), F.col("_b")).cast("int"))
     own = own.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))
     return own.select(

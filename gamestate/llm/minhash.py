@@ -8,8 +8,8 @@ threshold is missed with a probability below MISS.
 Buckets are never expanded into all their pairs. Equal sets are one class from the start. In each bucket all members
 are first tested against two centres, and confirmed links are joined into components. What is left are pairs of
 members that still lie in different components: these are compared by signature in blocks of bounded size, and those
-whose signatures may belong to a link are confirmed too. So each candidate pair ends linked, tested or already
-connected.
+whose signatures may belong to a link are confirmed too. So each candidate pair ends linked, tested or already connected. In the last step a pair is looked at in one bucket, with whole sets at hand, and pairs that
+have become connected meanwhile are passed over; only links leave the task.
 
 Defined results: a null or blank text has an empty set, links with nothing and is kept; a text with fewer words than
 a shingle is one shingle; rows that repeat a doc_id are one document (if their texts differ, the text with the least
@@ -34,7 +34,7 @@ from gamestate.llm.common import components, discard, in_blocks, materialize
 
 MISS = 1e-6
 ROWS = 4  # signature values in a band: the minima and maxima of two permutations
-BLOCK = 768
+BLOCK = 4_000_000  # shingles of a block of a bucket
 
 
 def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -147,6 +147,18 @@ def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return both.select("u", "v", "du", "dv", "tu", "tv").mapInPandas(run, "u long, v long")
 
 
+def _texts_of(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """(rep, text) of the classes (rep, digest); a text that repeats the rep's doc_id without being the class's is left out."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            ok = [hashlib.blake2b(shingle_set(t, width).tobytes(), digest_size=16).digest() == d for t, d in zip(part["text"], part["digest"], strict=True)]
+            yield part.loc[ok, ["rep", "text"]]
+
+    found = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep").mapInPandas(run, "rep long, text string")
+    return found.groupBy("rep").agg(F.min("text").alias("text"))
+
+
 def _with_digests(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     d = classes.select("rep", "digest")
     return pairs.join(d.withColumnsRenamed({"rep": "u", "digest": "du"}), "u").join(
@@ -182,30 +194,56 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     lab = members.join(comp.withColumnsRenamed({"node": "rep"}), "rep", "left")
     lab = lab.select("h", "rep", "n", F.coalesce("component", "rep").alias("label"))
     open_ = lab.groupBy("h").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("c"))
-    lab = lab.join(open_.where("a <> b and c > 2").select("h"), "h").join(classes.select("rep", "sig"), "rep")
+    lab = lab.join(open_.where("a <> b and c > 2").select("h"), "h")
     values = bands * ROWS
     p = percent / 100
     least = math.floor(values * p - 6 * math.sqrt(values * p * (1 - p)))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        one_block = group["bi"].iat[0] == group["bj"].iat[0]
-        a, b = group[group["side"] == 0], group if one_block else group[group["side"] == 1]
+        one_block, bucket = group["bi"].iat[0] == group["bj"].iat[0], group["h"].iat[0]
+        group = group.sort_values("rep", kind="stable")
+        a = group[group["side"] == 0]
+        b = a if one_block else group[group["side"] == 1]
         sa, sb = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(-1, values) for x in (a, b))
+        ba, bb = (np.stack(x["bands"].to_numpy()) for x in (a, b))
         ra, rb, la, lb, na, nb = (x[c].to_numpy() for c in ("rep", "label", "n") for x in (a, b))
+        ta, tb = a["text"].to_numpy(), b["text"].to_numpy()
+        sets: dict[int, np.ndarray] = {}
+        root = {x: x for x in (*la, *lb)}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        def whole(rep: int, text: str) -> np.ndarray:
+            if rep not in sets:
+                sets[rep] = shingle_set(text, width)
+            return sets[rep]
+
         found = []
         for i in range(len(a)):
             ok = (lb != la[i]) & (100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i]))
             ok &= (rb > ra[i]) if one_block else True
             at = np.flatnonzero(ok)
-            if len(at):
-                at = at[(sb[at] == sa[i]).sum(1) >= least]
-                found += [(min(ra[i], r), max(ra[i], r)) for r in rb[at]]
+            at = at[(sb[at] == sa[i]).sum(1) >= least]
+            same = bb[at] == ba[i]
+            at = at[ba[i][same.argmax(1)] == bucket]  # a pair is looked at in the first bucket it shares
+            for j in at:
+                x, y = find(la[i]), find(lb[j])
+                if x == y:
+                    continue
+                u, v = whole(ra[i], ta[i]), whole(rb[j], tb[j])
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                if 100 * both >= percent * (len(u) + len(v) - both):
+                    root[max(x, y)] = min(x, y)
+                    found.append((min(ra[i], rb[j]), max(ra[i], rb[j])))
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
-    blocks = in_blocks(lab, "h", "rep", BLOCK).drop("c1", "c2")
-    rest = materialize(blocks.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "rest")
-    rest = rest.join(pairs, ["u", "v"], "left_anti")
-    more = materialize(_confirm(_with_digests(rest, classes), docs, width, percent), "links")
+    lab = materialize(in_blocks(lab, "h", "rep", BLOCK, "n"), "open")
+    texts = _texts_of(docs, lab.select("rep").distinct().join(classes.select("rep", "digest"), "rep"), width)
+    whole = lab.join(texts, "rep").join(classes.select("rep", "sig", "bands"), "rep")
+    more = materialize(whole.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "links")
     if not more.isEmpty():
         comp = components(links.union(more))
 
