@@ -169,9 +169,11 @@ def _with_digests(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept."""
     bands = bands_for(percent / 100)
-    sig = materialize(signatures(docs, width, bands), "minmax")
+    # apart, as pandas would turn ids beside a null into floats
+    sig = materialize(signatures(docs.where("doc_id is not null"), width, bands), "minmax")
+    unnamed = signatures(docs.where("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text"), width, bands)
     one = F.min(F.struct("digest", "n_shingles", "sig", "bands")).alias("s")
-    full = sig.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(one).select("doc_id", "s.*")
+    full = sig.where("n_shingles > 0").groupBy("doc_id").agg(one).select("doc_id", "s.*")
     by_class = full.groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
     )
@@ -250,7 +252,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     reps = classes.select("digest", "rep").join(comp.withColumnsRenamed({"node": "rep"}), "rep", "left")
     reps = reps.select("digest", F.coalesce("component", "rep").alias("component_id"))
     of_full = full.select("doc_id", "n_shingles", "digest").join(reps, "digest").drop("digest")
-    empty = sig.where("doc_id is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).where("n_shingles = 0")
-    unnamed = sig.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    empty = sig.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).where("n_shingles = 0")
+    unnamed = unnamed.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
     out = of_full.union(empty.withColumn("component_id", F.col("doc_id"))).union(unnamed)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
