@@ -31,7 +31,6 @@ from gamestate.llm.common import materialize
 BLOCK_BYTES = 32_000_000
 BLOCK_DOCS = 60_000
 HELD = 4_000_000
-_POST = np.dtype([("doc", "<u2"), ("n", "<u2")])
 _SUM = np.dtype([("doc", "<u2"), ("n", "<u4")])
 _HEAD = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n_bytes", "<i8"), ("special", "<i8")])
 #: White space to str.split() but not to the pattern.
@@ -66,8 +65,33 @@ def _words(text: str) -> list[str]:
     return regex.findall(r"\S+", text) if _SEPARATORS.search(text) else text.split()
 
 
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of up to 35 bits, seven to a byte, the last byte of each below 128; and where each begins, and the end."""
+    width = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    ends = np.concatenate([[0], np.cumsum(width)])
+    out = np.empty(ends[-1], np.uint8)
+    for k in range(5):
+        some = width > k
+        out[ends[:-1][some] + k] = values[some] >> 7 * k & 127 | np.where(width[some] > k + 1, 128, 0)
+    return out, ends
+
+
+def from_varints(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values and where each ends."""
+    ends = np.flatnonzero(coded < 128) + 1
+    begin = np.concatenate([[0], ends[:-1]])
+    value = np.zeros(len(ends), np.int64)
+    for k in range(5):
+        some = begin + k < ends
+        value[some] |= (coded[begin[some] + k].astype(np.int64) & 127) << 7 * k
+    return value, ends
+
+
 def _block(texts: list[str], special: re.Pattern, pattern: regex.Pattern) -> tuple[list[str], np.ndarray, np.ndarray, list[int]]:
-    """Pre-tokens, where each one's postings begin, the postings, and each document's special strings."""
+    """Pre-tokens, where each one's postings begin, the postings, and each document's special strings.
+
+    Postings are pairs of the gap to the document before and the frequency.
+    """
     words, at, sizes, specials = _Places(), [], [], []
     for text in texts:
         found = len(special.findall(text)) if "<|" in text else 0
@@ -93,14 +117,12 @@ def _block(texts: list[str], special: re.Pattern, pattern: regex.Pattern) -> tup
     key = np.array(of_word, np.int64)[first] * n_docs + np.repeat(doc, many)
     key, back = np.unique(key, return_inverse=True)
     total = np.bincount(back, np.repeat(times, many), len(key)).astype(np.int64)
-    copies = -(-total // 65535)
-    key = np.repeat(key, copies)
-    posts = np.empty(len(key), _POST)
-    posts["doc"], last = key % n_docs, np.cumsum(copies) - 1
-    posts["n"] = 65535
-    posts["n"][last] = total - 65535 * (copies - 1)
     begin = np.searchsorted(key // n_docs, np.arange(len(tokens) + 1))
-    return list(tokens), begin, posts, specials
+    doc = key % n_docs
+    gap = np.diff(doc, prepend=0)
+    gap[begin[:-1]] = doc[begin[:-1]]
+    coded, ends = varints(np.stack([gap, total], 1).ravel())
+    return list(tokens), ends[2 * begin], coded, specials
 
 
 def postings(docs: DataFrame, path: str) -> DataFrame:
@@ -122,7 +144,7 @@ def postings(docs: DataFrame, path: str) -> DataFrame:
             for a in range(0, len(tokens), 20_000):
                 b = min(len(tokens), a + 20_000)
                 lo, hi = begin[a], begin[b]
-                ends = ((begin[a : b + 1] - lo) * _POST.itemsize).astype("<i4")
+                ends = (begin[a : b + 1] - lo).astype("<i4")
                 payload = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(posts[lo:hi].tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array(tokens[a:b], pa.string()), pa.array(np.full(b - a, block)), payload], schema=schema)
 
@@ -185,13 +207,16 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
             if not part.num_rows:
                 continue
             payload = [x.as_py() for x in part.column(1)]
-            many = np.array([len(x) // _POST.itemsize for x in payload])
-            posts = np.frombuffer(b"".join(payload), _POST)
+            values, ends = from_varints(np.frombuffer(b"".join(payload), np.uint8))
+            rows = np.searchsorted(ends, np.cumsum([len(x) for x in payload])) // 2 + 1
+            many = np.diff(rows, prepend=0)
+            doc = np.cumsum(values[::2])
+            doc -= np.repeat(np.concatenate([[0], doc[rows[:-1] - 1]]), many)
             place = np.array([places[x] for x in part.column(0).to_pylist()], np.int64)
             blocks = list(places)
-            key = np.repeat(place << 16, many) | posts["doc"]
+            key = np.repeat(place << 16, many) | doc
             keys.append(key)
-            sums.append(posts["n"] * np.repeat(part.column(2).to_numpy(), many))
+            sums.append(values[1::2] * np.repeat(part.column(2).to_numpy(), many))
             held += len(key)
             if held >= HELD:
                 key, total = merged()
