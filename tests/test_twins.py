@@ -20,7 +20,7 @@ def db(tiny):
 
 
 def _text(v) -> str:
-    if v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and np.isnan(v)):
         return ""
     return repr(float(v)) if isinstance(v, (int, float, bool, np.integer, np.floating, np.bool_)) else str(v)
 
