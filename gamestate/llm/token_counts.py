@@ -67,8 +67,10 @@ def _words(text: str) -> list[str]:
 
 def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of up to 35 bits, seven to a byte, the last byte of each below 128; and where each begins, and the end."""
-    width = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
-    ends = np.concatenate([[0], np.cumsum(width)])
+    width = np.ones(len(values), np.int8)
+    for k in range(1, 5):
+        width += values >= 1 << 7 * k
+    ends = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
     out = np.empty(ends[-1], np.uint8)
     for k in range(5):
         some = width > k
@@ -92,31 +94,34 @@ def _block(texts: list[str], special: re.Pattern, pattern: regex.Pattern) -> tup
 
     Postings are pairs of the gap to the document before and the frequency.
     """
-    words, at, sizes, specials = _Places(), [], [], []
+    words, found, times, specials = _Places(), [], [], []
     for text in texts:
-        found = len(special.findall(text)) if "<|" in text else 0
-        parts = special.split(text) if found else [text]
-        n = 0
-        for part in parts:
-            places = list(map(words.__getitem__, _words(normalised(part))))
-            at.append(np.array(places, np.int64))
-            n += len(places)
-        sizes.append(n)
-        specials.append(found)
+        n = len(special.findall(text)) if "<|" in text else 0
+        parts = special.split(text) if n else [text]
+        places = np.array([words[w] for part in parts for w in _words(normalised(part))], np.int32)
+        places, often = np.unique(places, return_counts=True)
+        found.append(places)
+        times.append(often.astype(np.int32))
+        specials.append(n)
     tokens, of_word, ends = _Places(), [], []
     for w in words:
         of_word += map(tokens.__getitem__, pattern.findall(w))
         ends.append(len(of_word))
-    n_docs, n_words = max(1, len(texts)), max(1, len(words))
-    key, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * n_words + np.concatenate([*at, np.empty(0, np.int64)]), return_counts=True)
-    doc, word = key // n_words, key % n_words
-    ends = np.array(ends, np.int64)
-    width = np.diff(ends, prepend=0)
+    n_docs, width = max(1, len(texts)), np.diff(np.array(ends, np.int32), prepend=0)
+    first = np.array(ends, np.int32) - width
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(x) for x in found])
+    word = np.concatenate([*found, np.empty(0, np.int32)])
     many = width[word]
-    first = np.repeat(ends[word] - many, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    key = np.array(of_word, np.int64)[first] * n_docs + np.repeat(doc, many)
-    key, back = np.unique(key, return_inverse=True)
-    total = np.bincount(back, np.repeat(times, many), len(key)).astype(np.int64)
+    # the tokens of a document's words: a run of of_word for each word
+    run = np.arange(many.sum(), dtype=np.int32) + np.repeat(first[word] - (np.cumsum(many, dtype=np.int32) - many), many)
+    key = np.array(of_word, np.int64)[run] * n_docs + np.repeat(doc, many)
+    total = np.repeat(np.concatenate([*times, np.empty(0, np.int32)]), many)
+    del found, times, doc, word, run, many, of_word, words
+    order = np.argsort(key)
+    key, total = key[order], total[order]
+    begin = np.flatnonzero(np.diff(key, prepend=-1))
+    key, total = key[begin], np.add.reduceat(total, begin).astype(np.int64) if len(begin) else np.empty(0, np.int64)
+    del order
     begin = np.searchsorted(key // n_docs, np.arange(len(tokens) + 1))
     doc = key % n_docs
     gap = np.diff(doc, prepend=0)
