@@ -107,6 +107,9 @@ def _block(texts: list[str], special: re.Pattern, pattern: regex.Pattern) -> tup
     for w in words:
         of_word += map(tokens.__getitem__, pattern.findall(w))
         ends.append(len(of_word))
+    names = sorted(tokens)  # neighbours that are alike take less room in files and shuffles
+    rank = np.empty(len(names), np.int64)
+    rank[[tokens[x] for x in names]] = np.arange(len(names))
     n_docs, width = max(1, len(texts)), np.diff(np.array(ends, np.int32), prepend=0)
     first = np.array(ends, np.int32) - width
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(x) for x in found])
@@ -114,20 +117,20 @@ def _block(texts: list[str], special: re.Pattern, pattern: regex.Pattern) -> tup
     many = width[word]
     # the tokens of a document's words: a run of of_word for each word
     run = np.arange(many.sum(), dtype=np.int32) + np.repeat(first[word] - (np.cumsum(many, dtype=np.int32) - many), many)
-    key = np.array(of_word, np.int64)[run] * n_docs + np.repeat(doc, many)
+    key = rank[np.array(of_word, np.int64)][run] * n_docs + np.repeat(doc, many)
     total = np.repeat(np.concatenate([*times, np.empty(0, np.int32)]), many)
-    del found, times, doc, word, run, many, of_word, words
+    del found, times, doc, word, run, many, of_word, words, tokens
     order = np.argsort(key)
     key, total = key[order], total[order]
     begin = np.flatnonzero(np.diff(key, prepend=-1))
     key, total = key[begin], np.add.reduceat(total, begin).astype(np.int64) if len(begin) else np.empty(0, np.int64)
     del order
-    begin = np.searchsorted(key // n_docs, np.arange(len(tokens) + 1))
+    begin = np.searchsorted(key // n_docs, np.arange(len(names) + 1))
     doc = key % n_docs
     gap = np.diff(doc, prepend=0)
     gap[begin[:-1]] = doc[begin[:-1]]
     coded, ends = varints(np.stack([gap, total], 1).ravel())
-    return list(tokens), ends[2 * begin], coded, specials
+    return names, ends[2 * begin], coded, specials
 
 
 def postings(docs: DataFrame, path: str) -> DataFrame:
