@@ -6,12 +6,14 @@ suffix, from the suffix to the domain and from the domain to the host. Counts of
 soft: sums of the text posteriors by grouped aggregation over all rows. A row's own contribution is taken out of its
 host's counts. Trigrams depend on each other, so their log likelihood counts as that of at most TEXT_WEIGHT of them.
 
-The trigram model is fitted on a sample of at most about MAX_LABELLED labelled rows, chosen by a hash of their text. An
-extra class, UNKNOWN, finds every trigram equally likely; text in another language or script lands there.
+Every label that a text with letters has is a class. The trigram model is fitted on about MAX_LABELLED distinct labelled
+texts, chosen by a hash within each language: the languages share that number evenly, what a small one leaves over goes
+to the others, and none has less than LEAST_LABELLED or all its texts. An extra class, UNKNOWN, finds every trigram
+equally likely; text in another language or script lands there.
 
 A row is accepted if it has letters, its language is known and its posterior is at least ACCEPT. Defined results: null,
 empty or letterless text is UNKNOWN and not accepted; a null or malformed address has the empty host, domain and
-suffix; a missing or foreign declaration counts as such; repeated rows repeat.
+suffix; a missing or foreign declaration counts as such; the labels "", "?" and UNKNOWN are none; repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -29,11 +31,14 @@ from gamestate.llm.common import materialize
 
 UNKNOWN = "und"
 MAX_LABELLED = 20_000
+LEAST_LABELLED = 50
 BUCKETS = 1 << 15
 TEXT_WEIGHT = 40.0
 SMOOTH = 8.0
 ACCEPT = 0.5
 
+_HASHES = 1 << 53
+_LETTER = "[\\p{L}\\p{Nl}\\p{No}]"  # what _GAP leaves of a text
 _GAP = re.compile(r"[\W\d_]+")
 _SKIP = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
@@ -60,12 +65,24 @@ def trigrams(text: str) -> np.ndarray:
     return ((h * np.uint32(0x2C1B3C6D)) >> np.uint32(17)).astype(np.int64)
 
 
+def shares(counts: dict[str, int], bound: int) -> dict[str, float]:
+    """The share of each language's texts that fits the bound: small languages whole, the others alike in number."""
+    out, left = {}, float(bound)
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        taken = min(n, max(LEAST_LABELLED, left / (len(counts) - k)))
+        out[lang], left = taken / max(1, n), left - taken
+    return out
+
+
 def fit(labelled: DataFrame, bound: int = MAX_LABELLED) -> tuple[list[str], np.ndarray]:
     """Languages and log probabilities (class, bucket) from (text, lang); the last class is UNKNOWN."""
-    rows = labelled.where("text is not null and lang is not null").select("text", F.lower("lang").alias("lang"))
-    total = rows.count()
-    share = min(1.0, bound / max(1, total))
-    rows = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = labelled.select("text", F.lower("lang").alias("lang")).where(F.col("text").rlike(_LETTER) & ~F.col("lang").isin("", "?", UNKNOWN))
+    # one row for each language
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("text", 0.01).alias("n")).collect()}
+    if counts:
+        below = F.create_map(*[F.lit(x) for lang, share in shares(counts, bound).items() for x in (lang, int(share * _HASHES))])
+        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(_HASHES)) < F.element_at(below, F.col("lang")))
+    rows = rows.distinct()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
