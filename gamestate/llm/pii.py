@@ -11,6 +11,7 @@ untouched; repeated rows repeat; all other columns are kept as they are.
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import math
@@ -189,25 +190,50 @@ KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
     ("phone", r"(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?!\w)|(?<![\w-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])", _phone),
 ]
 _EACH = [(kind, re.compile(pattern), make) for kind, pattern, make in KINDS]
+#: What must follow a value of the kinds whose matches can be cut shorter.
+_TAILS = {"iban": re.compile(r"\b"), "card": re.compile(r"(?![\w-])"), "phone": re.compile(r"(?!\w)")}
 _MAYBE = re.compile(r"[0-9@]|(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]")
 
 
+def _ends(kind: str, pattern: re.Pattern[str], text: str, a: int, b: int, limit: int) -> Iterator[int]:
+    """Ends up to limit at which a value of the kind that starts at a can stop, the furthest first; b is the pattern's own."""
+    if b <= limit:
+        yield b
+    if kind in _TAILS:
+        for e in range(min(b - 1, limit), a, -1):
+            if _TAILS[kind].match(text, e) and pattern.fullmatch(text, a, e):
+                yield e
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of every value, validated and without overlaps; an earlier kind wins."""
+    """Start, end and kind of every value, validated and without overlaps; an earlier kind wins, then an earlier start.
+
+    Where a match is no value or runs into one of an earlier kind, shorter ends are tried, then the starts behind it.
+    """
     found: list[tuple[int, int, str]] = []
     if not _MAYBE.search(text):
         return found
     same: Permute = lambda x, n, t: x
     for kind, pattern, make in _EACH:
-        for m in pattern.finditer(text):
+        starts, own, at = [a for a, _, _ in found], [], 0
+        while m := pattern.search(text, at):
             a, b = m.span()
-            if make(m[0], same) is not None and not any(a < y and x < b for x, y, _ in found):
-                found.append((a, b, kind))
-    return sorted(found)
-
-
-def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
-    found = find(text)
+            k = bisect.bisect_right(starts, a)
+            if k and found[k - 1][1] > a:
+                at = found[k - 1][1]
+                continue
+            limit = starts[k] if k < len(starts) else len(text)
+            end = next((e for e in _ends(kind, pattern, text, a, b, limit) if make(text[a:e], same) is not None), None)
+            if end is not None:
+                own.append((a, end, kind))
+            at = a + 1 if end is None else end
+        found = sorted(found + own)
+    return found
+
+
+def pseudonymise(text: str, key: bytes, back: bool = False, found: list[tuple[int, int, str]] | None = None) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with pseudonyms and their places. found: known places, as a pseudonym and the digits beside it can look like one value."""
+    found = find(text) if found is None else found
     if not found:
         return text, found
     permute: Permute = lambda x, n, t: feistel(x, n, key, t, back)
