@@ -2,8 +2,9 @@
 
 A text is normalised and cut into sentences, known licence sentences become identifiers, and ordered rules match runs of
 identifiers: a rule that matches gives its licence and uses its identifiers up. Sentences are looked for in the lines
-of a text and in the text with its lines joined, so wrapped sentences count; an identifier that only the lines have
-comes after those of the joined text.
+of a text, in the text with its lines joined, so wrapped sentences count, and in its paragraphs with their lines joined,
+where blank lines and copyright lines end a sentence. Of the two joined forms the one with more identifiers leads, the
+paragraphs if equal; identifiers that only the other or the lines have come after.
 
 Defined results: a null, empty or blank text has no sentences and no licence; repeated rows repeat; columns besides
 doc_id and text are not looked at.
@@ -103,6 +104,17 @@ _NOISE = "[\\x20\\x09-\\x0D\"'`*#/<>()\\[\\]{}|_-]+"
 _ENDS = "[.!?;:]+(?:[ \\n]|$)|\\n"
 
 
+_LINE_NOISE = _NOISE.replace("\\x09-\\x0D", "\\x09\\x0B-\\x0D")
+_BLANK = "\\n" + _NOISE[:-1] + "*\\n"
+_COPYRIGHT = "(?m)^(" + _LINE_NOISE[:-1] + "*copyright[ \\t]*(?:\\(c\\)|\u00a9|[0-9]{4})[^\\n]*)\\n"
+
+#: The notice of version 2 is cut before its version, so that is an identifier of its own.
+VERSIONS = {f"either version {n} of the license, or at your option any later version": f"GplVersion{n}" for n in (2, 3)}
+_FREE = [(f"GPL-{n}.0-or-later", ["GplFree", f"GplVersion{n}", *more]) for more in (["GplHope", "GplDetails"], []) for n in (2, 3)]
+#: The rules of scan(). A notice without a version gives GPL alone.
+STATED = [*_FREE, *((name, ids) for name, ids in RULES if "GplFree2" not in ids), ("GPL", ["GplFree"])]
+
+
 def plain(sentence: str) -> str:
     """The normal form of one sentence without its end."""
     s = re.sub(_NOISE, " ", sentence.lower().replace(*_SPELLED))
@@ -118,25 +130,32 @@ def known() -> dict[str, str]:
     return out
 
 
-def _sentences(text: Column, joined: bool) -> Column:
-    noise = _NOISE if joined else _NOISE.replace("\\x09-\\x0D", "\\x09\\x0B-\\x0D")
-    clean = F.regexp_replace(F.replace(F.lower(text), F.lit(_SPELLED[0]), F.lit(_SPELLED[1])), noise, " ")
+def _sentences(text: Column, joined: bool, paragraphs: bool = False) -> Column:
+    noise = _NOISE if joined else _LINE_NOISE
+    low = F.replace(F.lower(text), F.lit(_SPELLED[0]), F.lit(_SPELLED[1]))
+    if paragraphs:
+        low = F.regexp_replace(F.regexp_replace(low, _COPYRIGHT, "$1\n\n"), _BLANK, " . ")
+    clean = F.regexp_replace(low, noise, " ")
     return F.transform(F.split(clean, _ENDS), lambda s: F.trim(s))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_known, sentence_ids (known identifiers in order, joined by commas) and licenses (joined by |)."""
-    table = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("," + ",,".join(ids) + ",").alias("run")) for name, ids in RULES])
+    names_of = {s: "GplFree" if i == "GplFree2" else i for s, i in known().items()} | VERSIONS
+    table = F.create_map(*[F.lit(x) for pair in names_of.items() for x in pair])
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("," + ",,".join(ids) + ",").alias("run")) for name, ids in STATED])
     none = F.array().cast("array<string>")
 
-    def found(joined: bool) -> Column:
-        ids = F.transform(_sentences(F.col("text"), joined), lambda s: F.element_at(table, s))
+    def found(joined: bool, paragraphs: bool = False) -> Column:
+        ids = F.transform(_sentences(F.col("text"), joined, paragraphs), lambda s: F.element_at(table, s))
         return F.filter(ids, lambda i: i.isNotNull())
 
     worth = F.coalesce(F.lower("text").rlike(KEYS), F.lit(False))
-    both = F.concat(found(True), F.array_except(found(False), found(True)))
-    out = docs.select("doc_id", F.when(worth, both).otherwise(none).alias("ids"))
+    cut = lambda c: F.when(worth, c).otherwise(none)
+    cuts = docs.select("doc_id", cut(found(True, True)).alias("p"), cut(found(True)).alias("j"), cut(found(False)).alias("l"))
+    lead = F.when(F.size("p") >= F.size("j"), F.col("p")).otherwise(F.col("j"))
+    rest = F.array_except(F.concat(F.when(F.size("p") >= F.size("j"), F.col("j")).otherwise(F.col("p")), "l"), lead)
+    out = cuts.select("doc_id", F.concat(lead, rest).alias("ids"))
     start = F.struct(F.array_join(F.transform("ids", lambda i: F.concat(F.lit(","), i, F.lit(","))), "").alias("rest"), none.alias("names"))
 
     def step(acc: Column, rule: Column) -> Column:
@@ -154,7 +173,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in SQL."""
+    """The same in SQL, but without the paragraphs and with GplFree2 for the notice of any version."""
 
     def quoted(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
