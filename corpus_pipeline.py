@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from gamestate.llm import language, minhash, packing, pii
 from gamestate.llm.common import materialize, table
 
+#: The key of the pseudonyms where the session names none in spark.gamestate.pseudonymKey. It is known to all: set your own.
+KEY = b"documented key of the registered pipeline"
+
 #: SQL can't express the stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
 
@@ -27,7 +30,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets in the texts give way to pseudonyms of the same length."""
-    return pii.mask(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = spark.conf.get("spark.gamestate.pseudonymKey", None)
+    return pii.mask(docs, key.encode() if key else KEY).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
