@@ -2,11 +2,17 @@
 
 Found values are validated (check digits, ranges, calendar) and ranked among the values of their format; a Feistel
 network over that rank, with cycle walking, gives the rank of the pseudonym. So a pseudonym is as valid and as long as
-the value it replaces, equal values get equal pseudonyms in all documents, and the key's holder can reverse it. Numbers
-are permuted by their digits, whatever separates them, so differently written equal numbers stay linked.
+the value it replaces, equal values get equal pseudonyms in all documents, different ones of a format different ones, and
+the key's holder can reverse it. The key is an argument without a default.
+
+Numbers are permuted by their digits, whatever separates them, so differently written equal numbers stay linked; the
+calling code of a phone comes from a table, not from its separators, and stays. Numeric dates of all orders share one
+permutation, which keeps days up to 12 and days above 12 apart, since only those below can be read in two orders (as day
+before month). Dates with a written month keep its language and length and the digits of the day, and are permuted among
+the dates that are written alike; they aren't linked with numeric ones. Addresses of version 6 are permuted as written.
 
 Defined results: a null text stays null, an empty one empty, with nothing found; text outside found values is
-untouched; repeated rows repeat; all other columns are kept as they are.
+untouched; repeated rows repeat; all other columns are kept as they are, but for one named spans, which gives way.
 """
 
 from __future__ import annotations
@@ -14,17 +20,18 @@ from __future__ import annotations
 import bisect
 import datetime as dt
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: The key of the registered query. A user of the operator passes a secret one.
-PUBLIC_KEY = b"documented key of the registered query"
 
 
 def feistel(x: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -57,6 +64,14 @@ _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVW
 _HEX = "0123456789abcdef"
 
 
+def _walk(step: Callable[[str], str], value: str, fits: Callable[[str], bool]) -> str:
+    """Cycle walking: a permutation of the values that fit from one of a larger set. The value itself must fit."""
+    value = step(value)
+    while not fits(value):
+        value = step(value)
+    return value
+
+
 def _letters(value: str, tweak: str, permute: Permute, classes: tuple[str, ...] = _CLASSES) -> str:
     """Every digit becomes a digit, every letter a letter of its case; other characters stay.
 
@@ -99,8 +114,12 @@ def _card(value: str, permute: Permute) -> str | None:
     d = _digits(value)
     if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
         return None
-    body = d[0] + _letters(d[1:-1], "card", permute)
-    return _refill(value, body + luhn_digit(body))
+
+    def step(x: str) -> str:
+        body = x[0] + _letters(x[1:-1], "card", permute)
+        return body + luhn_digit(body)
+
+    return _refill(value, _walk(step, d, lambda x: len(set(x)) > 1))
 
 
 def iban_check(country: str, rest: str) -> str:
@@ -128,18 +147,26 @@ def _ssn(value: str, permute: Permute) -> str | None:
     return f"{_AREAS[rank // 99]:03d}-{rank % 99 + 1:02d}-{serial + 1:04d}"
 
 
+#: Calling codes of one and two digits; all others have three.
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+
+
+def _american(rest: str) -> bool:
+    return len(rest) == 10 and rest[0] >= "2" and rest[3] >= "2"
+
+
 def _phone(value: str, permute: Permute) -> str | None:
     d = _digits(value)
     if not 8 <= len(d) <= 15:
         return None
-    m = re.match(r"\+([0-9]{1,3})[ .(-]", value)
-    code = m[1] if m else d[:1] if value[0] == "+" else ""
+    code = "" if value[0] != "+" else next((d[:n] for n in (1, 2) if d[:n] in _CODES), d[:3])
     rest = d[len(code) :]
-    if len(rest) == 10 and code in ("", "1") and rest[0] >= "2" and rest[3] >= "2":
+    if code in ("", "1") and _american(rest):
         area, exchange, line = int(rest[:3]) - 200, int(rest[3:6]) - 200, int(rest[6:])
         rank, line = divmod(permute((area * 800 + exchange) * 10_000 + line, 6_400_000_000, "phone"), 10_000)
         return _refill(value, f"{code}{rank // 800 + 200}{rank % 800 + 200}{line:04d}")
-    return _refill(value, code + _letters(rest, "phone" + code, permute))
+    tweak = "phone" + ("" if code == "1" else code)
+    return _refill(value, code + _walk(lambda x: _letters(x, tweak, permute), rest, lambda x: code not in ("", "1") or not _american(x)))
 
 
 def _ipv4(value: str, permute: Permute) -> str | None:
@@ -158,10 +185,81 @@ def _ipv4(value: str, permute: Permute) -> str | None:
     return ".".join(reversed(out))
 
 
+def _is_ipv6(value: str) -> bool:
+    """A valid address of eight groups, or a shortened one that can't be a name of a program: with a group of four with a digit."""
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return "::" not in value or any(len(g) == 4 and re.search("[0-9]", g) for g in value.split(":"))
+
+
+def _ipv6(value: str, permute: Permute) -> str | None:
+    if not _is_ipv6(value) or (re.search("[a-f]", value) and re.search("[A-F]", value)):
+        return None
+    upper = bool(re.search("[A-F]", value))
+    letters = _HEX.upper() if upper else _HEX
+    return _walk(lambda x: _letters(x, f"ipv6{upper}", permute, (letters,)), value, lambda x: _is_ipv6(x) and bool(re.search("[A-F]", x)) == upper)
+
+
 _FIRST, _DAYS = dt.date(1900, 1, 1), (dt.date(2100, 1, 1) - dt.date(1900, 1, 1)).days
+_ALL = np.datetime64("1900-01-01") + np.arange(_DAYS)
+_MONTH = _ALL.astype("datetime64[M]").astype(int) % 12
+_DAY = (_ALL - _ALL.astype("datetime64[M]")).astype(int) + 1
+_EARLY, _LATE = np.flatnonzero(_DAY <= 12), np.flatnonzero(_DAY > 12)
+
+#: Names of the months. A name belongs to the first list that has it.
+MONTHS = [
+    "january february march april may june july august september october november december".split(),
+    "jan feb mar apr may jun jul aug sep oct nov dec".split(),
+    "januar februar märz april mai juni juli august september oktober november dezember".split(),
+    "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split(),
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split(),
+]
+_LIST_OF = {name: k for k, names in reversed(list(enumerate(MONTHS))) for name in names}
+_MONTH_NAME = "(?i:" + "|".join(sorted(_LIST_OF, key=len, reverse=True)) + ")"
+
+
+def _suffix(day: int) -> str:
+    return "th" if 10 < day < 14 else {1: "st", 2: "nd", 3: "rd"}.get(day % 10, "th")
+
+
+@lru_cache(maxsize=1024)
+def _alike(names: int, length: int, digits: int, padded: bool, suffix: str) -> np.ndarray:
+    """The days whose written form has a month name of that list and length and a day of these digits, padded or with that suffix."""
+    months = [len(m) == length and _LIST_OF[m] == names for m in MONTHS[names]]
+    days = [0 < d and (d < 10 if padded or digits == 1 else d > 9) and suffix in ("", _suffix(d)) for d in range(32)]
+    return np.flatnonzero(np.array(months)[_MONTH] & np.array(days)[_DAY])
+
+
+def _among(cell: np.ndarray, day: int, permute: Permute, tweak: str) -> int:
+    return int(cell[permute(int(np.searchsorted(cell, day)), len(cell), tweak)])
+
+
+def _written(value: str, month: re.Match[str], permute: Permute) -> str | None:
+    name = month[0].lower()
+    names = _LIST_OF[name]
+    found = re.search(r"([0-9]{1,2})((?:st|nd|rd|th)?)(?![0-9])", value)
+    year = int(value[-4:])
+    try:
+        day = (dt.date(year, MONTHS[names].index(name) + 1, int(found[1])) - _FIRST).days
+    except ValueError:
+        return None
+    if not 0 <= day < _DAYS or found[2] not in ("", _suffix(int(found[1]))):
+        return None
+    how = (names, len(name), len(found[1]), found[1][0] == "0", found[2])
+    new = _among(_alike(*how), day, permute, f"written{how}")
+    said = MONTHS[names][_MONTH[new]]
+    said = said.upper() if month[0].isupper() else said if month[0].islower() else said.capitalize()
+    out = value[: month.start()] + said + value[month.end() :]
+    out = out[: found.start(1)] + str(_DAY[new]).zfill(len(found[1])) + out[found.end(1) :]
+    return f"{out[:-4]}{1900 + int(_ALL[new].astype('datetime64[Y]').astype(int)) + 70}"
 
 
 def _date(value: str, permute: Permute) -> str | None:
+    month = re.search(_MONTH_NAME, value)
+    if month:
+        return _written(value, month, permute)
     a, b, c = (int(x) for x in re.split("[-/.]", value))
     sep = re.search("[-/.]", value)[0]
     iso = value[4] in "-/."
@@ -171,7 +269,8 @@ def _date(value: str, permute: Permute) -> str | None:
         except ValueError:
             continue
         if 0 <= day < _DAYS:
-            new = _FIRST + dt.timedelta(permute(day, _DAYS, "date"))
+            late = ymd[2] > 12
+            new = _FIRST + dt.timedelta(_among(_LATE if late else _EARLY, day, permute, f"date{late}"))
             part = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
             return sep.join(part[x] for x in order)
     return None
@@ -182,19 +281,33 @@ def _email(value: str, permute: Permute) -> str | None:
     return f"{_letters(name, 'email', permute)}@{domain}"
 
 
+#: Beginnings of issued tokens, and words before a secret.
+_ISSUED = r"AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-(?:proj-|ant-)?|[srp]k_(?:live|test)_|xox[abprs]-|AIza|hf_|npm_"
+_WORDS = r"(?ai:(?:[A-Z0-9]{1,24}[_-]){0,4}(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key)(?:[_-][A-Z0-9]{1,24}){0,2})"
+_SET = r"[\"']?\s{0,3}(?:=>|[=:])\s{0,3}"
+_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+_SECRET = re.compile(rf"(?s)({_ISSUED}|eyJ|(?i:bearer)\s{{1,3}}|{_BLOCK}|{_WORDS}{_SET}[\"']?)(.*?)(-----END [A-Z ]{{0,40}}PRIVATE KEY-----)?\Z")
+
+
 def _secret(value: str, permute: Permute) -> str | None:
-    m = re.match(r"(AKIA|[A-Za-z_-]+\s*[=:]\s*[\"']?)(.*)", value, re.S)
-    hexadecimal = len(m[2]) >= 16 and all(c in _HEX for c in m[2])
-    return m[1] + _letters(m[2], "secret", permute, (_HEX,) if hexadecimal else _CLASSES)
+    m = _SECRET.match(value)
+    head, body, end = m[1], m[2], m[3] or ""
+    if not re.search("[0-9]", body) and not re.search(r"=|[\"']\Z|BEGIN", head):
+        return None  # prose: a word after a colon
+    is_hex = lambda x: len(x) >= 16 and all(c in _HEX for c in x)
+    if is_hex(body):
+        return head + _letters(body, "secret", permute, (_HEX,)) + end
+    return head + _walk(lambda x: _letters(x, "secret", permute), body, lambda x: not is_hex(x)) + end
 
 
 #: Kind, pattern and pseudonym, in the order in which a place of the text is tried.
 KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", _email),
-    ("secret", r"\bAKIA[0-9A-Z]{16}\b|\b(?ai:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/-]{8,}(?![A-Za-z0-9_+/-])", _secret),
+    ("secret", rf"{_BLOCK}(?:[^-]|-(?!----)){{16,}}-----END [A-Z ]{{0,40}}PRIVATE KEY-----|\b(?:AKIA|ASIA)[0-9A-Z]{{16}}\b|(?<![A-Za-z0-9_-])(?:{_ISSUED})[A-Za-z0-9_-]{{16,}}|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{{8,}}\.[A-Za-z0-9_-]{{8,}}\.[A-Za-z0-9_-]{{8,}}|\b(?i:bearer)\s{{1,3}}[A-Za-z0-9._~+/-]{{16,}}|\b{_WORDS}{_SET}[\"']?[A-Za-z0-9_+/-]{{8,}}(?![A-Za-z0-9_+/-])", _secret),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", _ssn),
-    ("date", r"(?<![\w./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![\w/-])(?!\.[0-9])", _date),
+    ("date", rf"(?<![\w./-])(?:[0-9]{{4}}([-/.])[0-9]{{2}}\1[0-9]{{2}}|[0-9]{{2}}([-/.])[0-9]{{2}}\2[0-9]{{4}})(?![\w/-])(?!\.[0-9])|(?<!\w)[0-9]{{1,2}}(?:\.|st|nd|rd|th)?(?: of| de)? {_MONTH_NAME}\.?,?(?: de)? [0-9]{{4}}(?!\w)|(?<!\w){_MONTH_NAME}\.? [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}(?!\w)", _date),
+    ("ipv6", r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:|::)[0-9A-Fa-f:]{1,38}(?![\w:])", _ipv6),
     ("ipv4", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w])(?!\.[0-9])", _ipv4),
     ("card", r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", _card),
     ("phone", r"(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?!\w)|(?<![\w-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])", _phone),
@@ -202,7 +315,7 @@ KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
 _EACH = [(kind, re.compile(pattern), make) for kind, pattern, make in KINDS]
 #: What must follow a value of the kinds whose matches can be cut shorter.
 _TAILS = {"iban": re.compile(r"\b"), "card": re.compile(r"(?![\w-])"), "phone": re.compile(r"(?!\w)")}
-_MAYBE = re.compile(r"[0-9@]|(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]")
+_MAYBE = re.compile(r"[0-9@]|(?ai:passw|pwd|passphrase|secret|token|[_-]?key)")
 
 
 def _ends(kind: str, pattern: re.Pattern[str], text: str, a: int, b: int, limit: int) -> Iterator[int]:
@@ -258,7 +371,7 @@ def pseudonymise(text: str, key: bytes, back: bool = False, found: list[tuple[in
 SPANS = "array<struct<start:int,end:int,kind:string>>"
 
 
-def mask(docs: DataFrame, key: bytes = PUBLIC_KEY) -> DataFrame:
+def mask(docs: DataFrame, key: bytes) -> DataFrame:
     """docs with pseudonyms in text, and the column spans with their places (code points) and kinds."""
 
     @F.pandas_udf(f"text string, spans {SPANS}")

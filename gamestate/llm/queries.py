@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from gamestate.llm import bpe, embeddings, fingerprints, language, licenses, minhash, packing, pii, sharding, token_counts
 from gamestate.llm.common import table
 
+#: The key of the registered query, known to all. A user of the operator passes a secret one.
+PUBLIC_KEY = b"documented key of the registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,7 +38,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = pii.mask(table(spark, sf_dir, "documents"))
+    masked = pii.mask(table(spark, sf_dir, "documents"), PUBLIC_KEY)
 
     def number(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

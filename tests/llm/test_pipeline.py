@@ -18,5 +18,5 @@ def test_stages(spark, tiny):
     masked = corpus_pipeline.pseudonyms(spark, deduped, tiny).collect()
     before = {r["doc_id"]: r["text"] for r in deduped.collect()}
     for r in masked:
-        assert r["text"] == pii.pseudonymise(before[r["doc_id"]], pii.PUBLIC_KEY)[0]
+        assert r["text"] == pii.pseudonymise(before[r["doc_id"]], corpus_pipeline.KEY)[0]
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, tiny).collect()} == want

@@ -229,12 +229,12 @@ def test_pseudonyms_link_and_leave_others():
 
 
 def test_mask_keeps_columns(odd, none, docs):
-    out = pii.mask(odd)
+    out = pii.mask(odd, b"key")
     assert out.columns == [*odd.columns, "spans"]
     assert sorted(str(tuple(r)[:-1]) for r in out.collect()) == sorted(str(tuple(r)) for r in odd.collect())
-    assert pii.mask(none).count() == 0
+    assert pii.mask(none, b"key").count() == 0
     before = dict(texts(docs))
-    for r in pii.mask(docs).collect():
+    for r in pii.mask(docs, b"key").collect():
         for s in r["spans"]:
             assert before[r["doc_id"]][s["start"] : s["end"]] not in r["text"]
 
