@@ -40,6 +40,27 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Stages:
+    """Materialized frames of an operator, removed when the block ends: what it returns must not read them."""
+
+    def __enter__(self) -> Stages:
+        self.frames: list[DataFrame] = []
+        return self
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        self.frames.append(materialize(df, tag))
+        return self.frames[-1]
+
+    def __exit__(self, *_: object) -> None:
+        for f in self.frames:
+            discard(f)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of (u, v) by alternating large-star and small-star steps.
 

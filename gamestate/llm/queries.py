@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamestate.llm import bpe, embeddings, fingerprints, language, licenses, minhash, packing, pii, sharding, token_counts
-from gamestate.llm.common import table
+from gamestate.llm.common import shared_dir, table
 
 #: The key of the registered query, known to all. A user of the operator passes a secret one.
 PUBLIC_KEY = b"documented key of the registered query"
@@ -52,7 +53,9 @@ def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
+    # the map of each table stays in the shared folder, where later runs find and edit it
+    path = f"{shared_dir(spark)}/slot-maps/documents-40-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), path, 40)
 
 
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
