@@ -62,6 +62,11 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048)
 
 
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packing operator where its three limits differ: whole conversations with loss on what the assistant says."""
+    return packing.pack_conversations(table(spark, sf_dir, "conversations"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ def queries() -> dict[str, Query]:
         op8_slot_sharding,
         op9_vector_packing,
         op10_language_fusion,
+        conversation_packing,
     )
     return {f.__name__: f for f in every}
 

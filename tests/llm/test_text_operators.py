@@ -426,6 +426,8 @@ def test_pack_holds_all_limits(spark):
         packing.pack(np.array([3000]), np.array([1]), (2048, 4, 900), cut=False)
     ex = spark.createDataFrame([(i, 500, 100) for i in range(8)], "example_id long, tokens long, loss_tokens long").coalesce(1)
     assert packing.pack_examples(ex, 2048, 4, 400).select("sequence_id").distinct().count() == 2
+    assert packing.pack_examples(ex, 2048, 3, 400).select("sequence_id").distinct().count() == 3
+    assert packing.pack_examples(ex, 2048, 4, 300).select("sequence_id").distinct().count() == 3
 
 
 # 10 languages
