@@ -56,6 +56,18 @@ class Stages:
             discard(f)
 
 
+def clean(spark: SparkSession) -> None:
+    """Remove all frames this application has materialized. Results that read them must have been written before."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def broadcast_if(df: DataFrame, most_rows: int, tag: str) -> DataFrame:
+    """df, materialized, with the broadcast hint only if it has at most that many rows."""
+    df = materialize(df, tag)
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -64,7 +76,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of (u, v) by alternating large-star and small-star steps.
 
-    Returns (node, component) with the smallest node of each component, for every node of an edge. Each round
+    Returns the materialized frame (node, component) with the smallest node of each component, for every node of an edge. Each round
     is joins and minima only, and ends in files of the shared folder; no neighbour list is gathered.
     """
     e = (
@@ -91,7 +103,9 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
+    out = materialize(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct(), "components")
+    discard(e)
+    return out
 
 
 def in_blocks(members: DataFrame, bucket: str, item: str, limit: int, weight: str | None = None) -> DataFrame:

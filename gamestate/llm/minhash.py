@@ -7,14 +7,18 @@ threshold is missed with a probability below MISS.
 
 Buckets are never expanded into all their pairs. Equal sets are one class from the start. In each bucket all members
 are first tested against two centres, and confirmed links are joined into components. What is left are pairs of
-members that still lie in different components: these are compared by signature in blocks of bounded size, and those
-whose signatures may belong to a link are confirmed too. So each candidate pair ends linked, tested or already connected. In the last step a pair is looked at in one bucket, with whole sets at hand, and pairs that
-have become connected meanwhile are passed over; only links leave the task.
+members that still lie in different components. Blocks of bounded size compare them by signature and give the members
+that any pair may link, not the pairs; only these are fetched with their texts, in blocks again, where a pair is looked
+at in one bucket and passed over if it has become connected meanwhile; only links leave the task. So each candidate pair
+ends linked, tested or already connected.
+
+Texts move twice: to their requests and to the centre that tests them. A centre with many candidates is sent to several
+tasks, once to each, so no task takes all candidates of one. Sizes and signatures sort out pairs before texts move.
 
 Defined results: a null or blank text has an empty set, links with nothing and is kept; a text with fewer words than
-a shingle is one shingle; rows that repeat a doc_id are one document (if their texts differ, the text with the least
-set digest stands for it); a row with a null doc_id gets n_shingles, a null component and is kept; columns besides
-doc_id and text are not looked at.
+a shingle is one shingle; rows that repeat a doc_id are one document in near_groups (if their texts differ, the one with
+the least set digest stands for it) and, in kept_rows, one for each text; a row with a null doc_id gets n_shingles, a
+null component and is kept; columns besides doc_id and text are not looked at.
 
 Shingles are compared as 64-bit hashes of whole sets, never samples.
 """
@@ -27,20 +31,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamestate.llm.common import components, discard, in_blocks, materialize
+from gamestate.llm.common import Stages, components, in_blocks, materialize
 
 MISS = 1e-6
 ROWS = 4  # signature values in a band: the minima and maxima of two permutations
 BLOCK = 4_000_000  # shingles of a block of a bucket
+MEMBERS = 4096  # members of a block of a bucket
+FAN = 256  # candidates that a centre tests in one task
 
 
 def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - similarity**rows))
 
 
+def least_equal(values: int, similarity: float, miss: float = MISS / 10) -> int:
+    """The number of equal signature values that a pair at the threshold falls short of with a probability below miss."""
+    total, k = 0.0, 0
+    while k < values:
+        total += math.comb(values, k) * similarity**k * (1 - similarity) ** (values - k)
+        if total > miss:
+            break
+        k += 1
+    return k
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(31))
     x = x * np.uint64(0x9E3779B97F4A7C15)
@@ -77,182 +94,233 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def _signature(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """16 bits of each minimum and maximum, mixed before as extreme values share their leading bits."""
     low = np.full(len(mul), np.iinfo(np.uint64).max, np.uint64)
     high = np.zeros(len(mul), np.uint64)
     for at in range(0, len(s), 4096):
         v = mul[:, None] * s[None, at : at + 4096] + add[:, None]
         np.minimum(low, v.min(1), out=low)
         np.maximum(high, v.max(1), out=high)
-    return np.stack([low, high], 1).ravel()
+    return (_mix(np.stack([low, high], 1).ravel()) & np.uint64(0xFFFF)).astype("<u2")
+
+
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
 
 
 def signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, sig, bands) of every row; digest names the set, sig keeps 16 bits of each value."""
+    """(doc_id, no_id, key, n_shingles, digest, sig) of every row: key names the text, digest the set; rows without an id have no sig."""
     rng = np.random.default_rng(20240229)
     perms = bands * ROWS // 2
     mul = rng.integers(1, 2**63, perms, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     add = rng.integers(0, 2**63, perms, dtype=np.uint64)
-    place = np.arange(1, bands + 1, dtype=np.uint64)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = []
-            for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+            for no_id, text in zip(part["no_id"], part["text"], strict=True):
                 s = shingle_set(text, width)
-                if not len(s):
-                    out.append((doc_id, 0, None, None, None))
-                    continue
-                sig = _signature(s, mul, add)
-                key = place.copy()
-                for j in range(ROWS):
-                    key = _mix(key + sig[j::ROWS])
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                out.append((doc_id, len(s), digest, (sig >> np.uint64(48)).astype("<u2").tobytes(), key.view(np.int64)))
-            f = pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "sig", "bands"])
-            f["doc_id"] = part["doc_id"].values
-            yield f
-
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"
+                if no_id or not len(s):
+                    out.append((len(s), None, None))
+                else:
+                    out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), _signature(s, mul, add).tobytes()))
+            f = pd.DataFrame(out, columns=["n_shingles", "digest", "sig"])
+            yield pd.concat([part[["doc_id", "no_id", "key"]].reset_index(drop=True), f], axis=1)
+
+    # nulls apart, as pandas would turn ids beside a null into floats
+    rows = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), _text_key(), "text")
+    return rows.mapInPandas(run, "doc_id long, no_id boolean, key long, n_shingles long, digest binary, sig binary")
+
+
+def _buckets(classes: DataFrame, bands: int) -> DataFrame:
+    """(h, b, c1, n1, c2, n2, c, n): the members c of each bucket h of band b with more than one, and its two centres."""
+    hashes = [F.struct(F.lit(b).alias("b"), F.xxhash64(F.lit(b), F.substring("sig", 2 * ROWS * b + 1, 2 * ROWS)).alias("h")) for b in range(bands)]
+    shown = classes.select("c", "n", F.explode(F.array(*hashes)).alias("s")).select("c", "n", "s.b", "s.h")
+    this = F.struct("c", "n")
+    shared = shown.groupBy("h").agg(
+        F.count("*").alias("size"), F.min("b").alias("b"), F.min(this).alias("first"), F.min_by(this, F.xxhash64("c", F.lit(3))).alias("second")
     )
+    shared = shared.where("size > 1").select("h", "b", F.col("first.c").alias("c1"), F.col("first.n").alias("n1"), F.col("second.c").alias("c2"), F.col("second.n").alias("n2"))
+    return shown.drop("b").join(shared, "h")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets have 100 * intersection >= percent * union, given their digests du and dv."""
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v"))).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id")
-    both = pairs.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")), "v")
-    both = both.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u")
+def _alike(a: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
+    """The pairs (x, y) with at least that many equal signature values."""
+    sx, sy = (sigs.select(F.col("c").alias(k), F.col("sig").alias(f"sig_{k}")) for k in "xy")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: tuple = (None, None, None)
+        for part in parts:
+            if len(part):
+                u, v = (np.frombuffer(b"".join(part[c]), "<u2").reshape(len(part), -1) for c in ("sig_x", "sig_y"))
+                yield part.loc[(u == v).sum(1) >= least, ["x", "y"]]
 
-        def known(text: str | None, digest: bytes) -> np.ndarray | None:
-            s = shingle_set(text, width)
-            return s if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digest else None
+    return a.join(sy, "y").join(sx, "x").select("x", "y", "sig_x", "sig_y").mapInPandas(run, "x long, y long")
 
-        for part in parts:
-            keep = []
-            for u, v, du, dv, tu, tv in zip(*(part[c] for c in ("u", "v", "du", "dv", "tu", "tv")), strict=True):
-                if last[0] != u or last[1] != tu:
-                    last = (u, tu, known(tu, du))
-                a, b = last[2], known(tv, dv)
-                if a is None or b is None:
-                    continue
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(b) - both):
-                    keep.append((u, v))
-            yield pd.DataFrame(keep, columns=["u", "v"]).astype("int64")
 
-    return both.select("u", "v", "du", "dv", "tu", "tv").mapInPandas(run, "u long, v long")
+def _texts(requests: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """requests (with a class c) and the text of a document of that class."""
+    named = requests.join(classes.select("c", "doc_id", "key"), "c")
+    texts = docs.where("doc_id is not null").select("doc_id", _text_key(), "text")
+    # rows that repeat an id and a text would multiply the requests; they fall together before they move
+    one = texts.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    one = one.join(classes.join(requests.select("c").distinct(), "c", "left_semi").select("doc_id", "key"), ["doc_id", "key"], "left_semi")
+    return named.join(one, ["doc_id", "key"]).drop("doc_id", "key")
 
 
-def _texts_of(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """(rep, text) of the classes (rep, digest); a text that repeats the rep's doc_id without being the class's is left out."""
+def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (x: centre, y: candidate) whose whole sets have 100 * intersection >= percent * union, as (u, v)."""
+    degree = pairs.groupBy("x").agg(F.ceil(F.count("*") / F.lit(FAN)).cast("int").alias("parts"))
+    dealt = pairs.join(degree, "x").select("x", F.pmod(F.xxhash64("y", F.lit(5)), F.col("parts")).cast("int").alias("k"), "y")
+    centres = degree.select("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"), F.lit(-1).cast("long").alias("y"))
+    asked = dealt.withColumn("c", F.col("y")).union(centres.withColumn("c", F.col("x")))
+    rows = _texts(asked, docs, classes).select("x", "k", "y", "text").repartition("x", "k").sortWithinPartitions("x", "k", "y")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a = np.empty(0, np.uint64)
         for part in parts:
-            ok = [hashlib.blake2b(shingle_set(t, width).tobytes(), digest_size=16).digest() == d for t, d in zip(part["text"], part["digest"], strict=True)]
-            yield part.loc[ok, ["rep", "text"]]
+            found = []
+            for x, y, text in zip(part["x"], part["y"], part["text"], strict=True):
+                if y < 0:  # the centre comes before its candidates
+                    a = shingle_set(text, width)
+                    continue
+                b = shingle_set(text, width)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    found.append((min(x, y), max(x, y)))
+            yield pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
-    found = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep").mapInPandas(run, "rep long, text string")
-    return found.groupBy("rep").agg(F.min("text").alias("text"))
+    return rows.mapInPandas(run, "u long, v long")
 
 
-def _with_digests(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    d = classes.select("rep", "digest")
-    return pairs.join(d.withColumnsRenamed({"rep": "u", "digest": "du"}), "u").join(
-        d.withColumnsRenamed({"rep": "v", "digest": "dv"}), "v"
-    )
+def _candidates(a: pd.DataFrame, b: pd.DataFrame, one_block: bool, least: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a with the rows of b in other components that its signature may be linked with, in the first band they share."""
+    band = int(a["b"].iat[0])
+    sa, sb = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), -1) for x in (a, b))
+    ba, bb = sa.view("<u8"), sb.view("<u8")  # a band's values as one number
+    ca, cb, la, lb, na, nb = (x[c].to_numpy() for c in ("c", "label", "n") for x in (a, b))
+    for i in range(len(a)):
+        ok = (lb != la[i]) & (100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i]))
+        at = np.flatnonzero(ok & (cb > ca[i]) if one_block else ok)
+        at = at[(sb[at] == sa[i]).sum(1) >= least]
+        if len(at):
+            yield i, at[(bb[at] == ba[i]).argmax(1) == band]
 
 
-def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept."""
+def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    one_block = bool(group["bi"].iat[0] == group["bj"].iat[0])
+    group = group.sort_values("c", kind="stable")
+    a = group[group["side"] == 0]
+    return a, a if one_block else group[group["side"] == 1], one_block
+
+
+def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and by digest the smallest doc_id reachable by links and the text's key there."""
     bands = bands_for(percent / 100)
-    # apart, as pandas would turn ids beside a null into floats
-    sig = materialize(signatures(docs.where("doc_id is not null"), width, bands), "minmax")
-    unnamed = signatures(docs.where("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text"), width, bands)
-    one = F.min(F.struct("digest", "n_shingles", "sig", "bands")).alias("s")
-    full = sig.where("n_shingles > 0").groupBy("doc_id").agg(one).select("doc_id", "s.*")
-    by_class = full.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
-    )
-    classes = materialize(by_class, "classes")
-
-    shown = classes.select("rep", "n", F.explode("bands").alias("h"))
-    order = F.xxhash64("rep", F.lit(3))
-    shared = (
-        shown.groupBy("h")
-        .agg(F.count("*").alias("c"), F.min("rep").alias("c1"), F.min_by("rep", order).alias("c2"))
-        .where("c > 1")
-        .select("h", "c1", "c2")
-    )
-    members = materialize(shown.join(shared, "h"), "members")
-    size = members.select(F.col("rep").alias("y"), F.col("n").alias("ny"), F.explode(F.array("c1", "c2")).alias("x"))
-    pairs = size.where("x <> y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-    links = materialize(_confirm(_with_digests(pairs, classes), docs, width, percent), "links")
+    least = least_equal(bands * ROWS, percent / 100)
+    sig = st.keep(signatures(docs, width, bands), "minmax")
+    first = F.min(F.struct("doc_id", "key")).alias("first")
+    by_set = sig.where("not no_id and n_shingles > 0").groupBy("digest").agg(first, F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    classes = st.keep(by_set.select(F.monotonically_increasing_id().alias("c"), "digest", "n", "sig", "first.*"), "classes")
+    sigs = classes.select("c", "sig")
+
+    members = st.keep(_buckets(classes, bands), "members")
+    centre = F.explode(F.array(F.struct(F.col("c1").alias("x"), F.col("n1").alias("nx")), F.struct(F.col("c2").alias("x"), F.col("n2").alias("nx")))).alias("s")
+    pairs = members.select(F.col("c").alias("y"), "n", centre).select("s.x", "y", "n", "s.nx")
+    pairs = pairs.where("x <> y").where(100 * F.least("n", "nx") >= percent * F.greatest("n", "nx")).select("x", "y").distinct()
+    pairs = st.keep(_alike(pairs, sigs, least), "pairs")
+    links = st.keep(_confirm(pairs, docs, classes, width, percent), "links")
     comp = components(links)
-
-    lab = members.join(comp.withColumnsRenamed({"node": "rep"}), "rep", "left")
-    lab = lab.select("h", "rep", "n", F.coalesce("component", "rep").alias("label"))
-    open_ = lab.groupBy("h").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("c"))
-    lab = lab.join(open_.where("a <> b and c > 2").select("h"), "h")
-    values = bands * ROWS
-    p = percent / 100
-    least = math.floor(values * p - 6 * math.sqrt(values * p * (1 - p)))
+    st.frames.append(comp)
+
+    lab = members.select("h", "b", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
+    lab = lab.select("h", "b", "c", "n", F.coalesce("component", "c").alias("label"))
+    open_ = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
+    lab = st.keep(lab.join(open_.where("lo <> hi and size > 2").select("h"), "h"), "open")
+
+    def may_link(group: pd.DataFrame) -> pd.DataFrame:
+        a, b, one_block = _sides(group)
+        if not len(a) or not len(b):
+            return pd.DataFrame({"h": [], "c": []}, dtype="int64")
+        found: set[int] = set()
+        ca, cb = a["c"].to_numpy(), b["c"].to_numpy()
+        for i, at in _candidates(a, b, one_block, least, percent):
+            if len(at):
+                found |= {int(ca[i]), *cb[at].tolist()}
+        return pd.DataFrame({"h": group["h"].iat[0], "c": sorted(found)}, columns=["h", "c"]).astype("int64")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        one_block, bucket = group["bi"].iat[0] == group["bj"].iat[0], group["h"].iat[0]
-        group = group.sort_values("rep", kind="stable")
-        a = group[group["side"] == 0]
-        b = a if one_block else group[group["side"] == 1]
-        sa, sb = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(-1, values) for x in (a, b))
-        ba, bb = (np.stack(x["bands"].to_numpy()) for x in (a, b))
-        ra, rb, la, lb, na, nb = (x[c].to_numpy() for c in ("rep", "label", "n") for x in (a, b))
-        ta, tb = a["text"].to_numpy(), b["text"].to_numpy()
-        sets: dict[int, np.ndarray] = {}
-        root = {x: x for x in (*la, *lb)}
+        a, b, one_block = _sides(group)
+        found, sets = [], {}
+        root = {x: x for x in (*a["label"], *b["label"])}
 
         def find(x: int) -> int:
             while root[x] != x:
                 root[x] = x = root[root[x]]
             return x
 
-        def whole(rep: int, text: str) -> np.ndarray:
-            if rep not in sets:
-                sets[rep] = shingle_set(text, width)
-            return sets[rep]
-
-        found = []
-        for i in range(len(a)):
-            ok = (lb != la[i]) & (100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i]))
-            ok &= (rb > ra[i]) if one_block else True
-            at = np.flatnonzero(ok)
-            at = at[(sb[at] == sa[i]).sum(1) >= least]
-            same = bb[at] == ba[i]
-            at = at[ba[i][same.argmax(1)] == bucket]  # a pair is looked at in the first bucket it shares
-            for j in at:
-                x, y = find(la[i]), find(lb[j])
-                if x == y:
-                    continue
-                u, v = whole(ra[i], ta[i]), whole(rb[j], tb[j])
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                if 100 * both >= percent * (len(u) + len(v) - both):
-                    root[max(x, y)] = min(x, y)
-                    found.append((min(ra[i], rb[j]), max(ra[i], rb[j])))
+        def whole(c: int, text: str) -> np.ndarray:
+            if c not in sets:
+                sets[c] = shingle_set(text, width)
+            return sets[c]
+
+        if len(a) and len(b):
+            ca, cb, la, lb, ta, tb = (x[k].to_numpy() for k in ("c", "label", "text") for x in (a, b))
+            for i, at in _candidates(a, b, one_block, least, percent):
+                for j in at:
+                    x, y = find(la[i]), find(lb[j])
+                    if x == y:
+                        continue
+                    u, v = whole(ca[i], ta[i]), whole(cb[j], tb[j])
+                    both = len(np.intersect1d(u, v, assume_unique=True))
+                    if 100 * both >= percent * (len(u) + len(v) - both):
+                        root[max(x, y)] = min(x, y)
+                        found.append((min(ca[i], cb[j]), max(ca[i], cb[j])))
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
-    lab = materialize(in_blocks(lab, "h", "rep", BLOCK, "n"), "open")
-    texts = _texts_of(docs, lab.select("rep").distinct().join(classes.select("rep", "digest"), "rep"), width)
-    whole = lab.join(texts, "rep").join(classes.select("rep", "sig", "bands"), "rep")
-    more = materialize(whole.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "links")
-    if not more.isEmpty():
+    seen = in_blocks(lab, "h", "c", MEMBERS).join(sigs, "c").groupBy("h", "bi", "bj")
+    worth = st.keep(seen.applyInPandas(may_link, "h long, c long").distinct(), "worth")
+    if not worth.isEmpty():
+        weight = F.greatest("n", F.lit(BLOCK // MEMBERS)).alias("weight")
+        blocks = st.keep(in_blocks(lab.join(worth, ["h", "c"]).select("*", weight), "h", "c", BLOCK, "weight"), "blocks")
+        whole = _texts(blocks, docs, classes).join(sigs, "c")
+        more = st.keep(whole.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "links")
         comp = components(links.union(more))
+        st.frames.append(comp)
+
+    reached = classes.select("c", "digest", "doc_id", "key").join(comp.withColumnRenamed("node", "c"), "c", "left")
+    reached = reached.select("digest", "doc_id", "key", F.coalesce("component", "c").alias("root"))
+    # roots that stand for more than one class
+    first = reached.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    decided = reached.join(first, "root").select("digest", F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("component_key"))
+    return sig, st.keep(decided, "decided")
 
-    reps = classes.select("digest", "rep").join(comp.withColumnsRenamed({"node": "rep"}), "rep", "left")
-    reps = reps.select("digest", F.coalesce("component", "rep").alias("component_id"))
-    of_full = full.select("doc_id", "n_shingles", "digest").join(reps, "digest").drop("digest")
-    empty = sig.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")).where("n_shingles = 0")
-    unnamed = unnamed.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
-    out = of_full.union(empty.withColumn("component_id", F.col("doc_id"))).union(unnamed)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept."""
+    with Stages() as st:
+        sig, decided = _classes(docs, st, width, percent)
+        of_text = sig.where("not no_id").select("doc_id", "n_shingles", "digest").join(decided, "digest", "left")
+        one = F.min(F.struct((F.col("n_shingles") == 0).alias("empty"), "digest", "n_shingles", "component_id")).alias("s")
+        named = of_text.groupBy("doc_id").agg(one).select("doc_id", "s.n_shingles", F.coalesce("s.component_id", "doc_id").alias("component_id"))
+        none = F.lit(None).cast("long")
+        unnamed = sig.where("no_id").select(none.alias("doc_id"), "n_shingles", none.alias("component_id"))
+        out = named.union(unnamed).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        return materialize(out, "near-groups")
+
+
+def kept_rows(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay: of each group of near copies the text of the smallest doc_id (then of the smallest hash).
+
+    Every text is judged by itself, also where texts share a doc_id. Of rows that repeat id and text one stays, chosen by a
+    hash of its columns; texts without words and rows without an id stay.
+    """
+    with Stages() as st:
+        sig, decided = _classes(docs, st, width, percent)
+        linked = decided.select(F.col("component_id").alias("doc_id"), F.col("component_key").alias("key")).distinct()
+        empty = sig.where("not no_id and n_shingles = 0").select("doc_id", "key").distinct()
+        kept = materialize(linked.union(empty), "kept")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")])
+    one = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"), _text_key().alias("_key")).agg(F.min_by(row, order).alias("_row"))
+    named = one.join(kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), ["_id", "_key"], "left_semi").select("_row.*")
+    return named.unionByName(docs.where("doc_id is null"))
