@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamestate.llm.common import materialize
+from gamestate.llm.common import broadcast_if, materialize
 
 UNKNOWN = "und"
 MAX_LABELLED = 20_000
@@ -36,6 +36,8 @@ BUCKETS = 1 << 15
 TEXT_WEIGHT = 40.0
 SMOOTH = 8.0
 ACCEPT = 0.5
+#: Priors of so many hosts at most (of some 300 bytes each) are broadcast.
+MANY_HOSTS = 20_000
 
 _HASHES = 1 << 53
 _LETTER = "[\\p{L}\\p{Nl}\\p{No}]"  # what _GAP leaves of a text
@@ -175,18 +177,17 @@ def declarations(light: DataFrame, classes: list[str]) -> dict[str, list[float]]
     return {d: np.log(p[k]).tolist() for k, d in enumerate(known)}
 
 
-def identify(rows: DataFrame, classes: list[str], light: DataFrame | None = None) -> DataFrame:
+def identify(rows: DataFrame, classes: list[str]) -> DataFrame:
     """rows (with _ll, declared, host, domain, suffix) and lang_found, confidence, text_lang, accepted.
 
-    light: the same rows without their texts, for the counts; where it is left out, rows themselves.
+    rows are read three times and should be files: the counts read their light columns only.
     """
-    light = rows if light is None else light
     known = F.lower("declared").isin(classes[:-1])
     decl = F.when(F.col("declared").isNull() | (F.col("declared") == ""), "").when(known, F.lower("declared")).otherwise("?")
-    light, rows = light.withColumn("_decl", decl), rows.withColumn("_decl", decl)
-    logs = declarations(light, classes)
+    rows = rows.withColumn("_decl", decl)
+    logs = declarations(rows, classes)
     table = F.create_map(*[x for d, v in logs.items() for x in (F.lit(d), F.array(*map(F.lit, v)))])
-    priors = host_priors(light, classes)
+    priors = broadcast_if(host_priors(rows, classes), MANY_HOSTS, "host-priors")
     out = rows.join(priors, "host", "left").withColumn("_d", F.element_at(table, F.col("_decl")))
     score = []
     for i in range(len(classes)):
@@ -227,7 +228,6 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     names = {"declared": F.col("lang"), "host": F.coalesce("source", F.lit("")), "domain": F.lit(""), "suffix": F.lit("")}
     own = {n: f"_own_{n}" for n in (*names, "_ll", "_decl", "_s", "_d", "_n", "p_domain") if n in docs.columns}  # columns of the caller with names used here
     rows = docs.withColumnsRenamed(own).withColumns({**names, "_ll": posterior("text")})
-    light = docs.select(*[c.alias(n) for n, c in names.items()], posterior("text").alias("_ll"))
-    out = identify(rows, classes, materialize(light, "document-language"))
+    out = identify(materialize(rows, "document-language"), classes)
     kept = [F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns if c not in ("lang_found", "text_lang", "confidence", "accepted")]
     return out.select(*kept, "lang_found", "text_lang", "confidence", "accepted")
