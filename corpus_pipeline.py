@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamestate.llm import language, minhash, packing, pii
-from gamestate.llm.common import materialize, table
+from gamestate.llm.common import discard, materialize, table
 
 #: The key of the pseudonyms where the session names none in spark.gamestate.pseudonymKey. It is known to all: set your own.
 KEY = b"documented key of the registered pipeline"
@@ -22,10 +22,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id. Rows without an id stay."""
-    kept = minhash.near_groups(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies stays: the one with the smallest doc_id. Rows without an id stay.
+
+    Texts that share a doc_id are judged one by one; of rows that repeat id and text one stays.
+    """
+    return minhash.kept_rows(docs, width=5, percent=80).select(*[f"`{c}`" for c in docs.columns])
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,10 @@ STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("pii", pseu
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces that the last stage makes of documents. A stage's table is removed once the next one is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        done = materialize(stage(spark, docs, sf_dir), name)
+        discard(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
