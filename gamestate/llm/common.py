@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SALTS = 32
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -108,20 +111,31 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     return out
 
 
-def in_blocks(members: DataFrame, bucket: str, item: str, limit: int, weight: str | None = None) -> DataFrame:
+def in_blocks(members: DataFrame, bucket: str, item: str, limit: int, weight: str | None = None, main: str | None = None) -> DataFrame:
     """Deal every bucket out in blocks of about `limit` members (or weight) and pair the blocks, each with itself and each other.
 
-    A hot bucket becomes many (bucket, bi, bj) groups of bounded size instead of one task. A member carries
-    `side` 0 in the pairs where its block is bi and 1 where it is bj; in the pair of a block with itself, 0.
+    A hot bucket becomes many (bucket, bi, bj) groups of bounded size instead of one task; others are one group (0, 0). A
+    member carries `side` 0 in the pairs where its block is bi and 1 where it is bj; in the pair of a block with itself, 0.
+    Members of a hot bucket whose flag `main` is set need no comparison with each other: their blocks meet only those of
+    the rest. Sizes of hot buckets reach the members over SALTS copies, so no task reads a whole bucket.
     """
-    total = F.sum(weight) if weight else F.count("*")
-    sizes = members.groupBy(bucket).agg(F.count("*").alias("_n"), total.alias("_w")).where("_n > 1").drop("_n")
-    own = members.join(sizes, bucket).withColumn("_b", F.ceil(F.greatest(F.col("_w"), F.lit(1)) / F.lit(limit)).cast("int"))
-    own = own.withColumn("_i", F.pmod(F.xxhash64(item, F.lit(7)), F.col("_b")).cast("int"))
-    own = own.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))
-    return own.select(
-        *members.columns,
-        F.least("_i", "_j").alias("bi"),
-        F.greatest("_i", "_j").alias("bj"),
-        F.when(F.col("_i") <= F.col("_j"), 0).otherwise(1).alias("side"),
-    )
+    w = F.col(weight) if weight else F.lit(1)
+    is_main = F.coalesce(F.col(main), F.lit(False)) if main else F.lit(False)
+    sizes = members.groupBy(bucket).agg(F.sum(w).alias("_w"), F.sum(F.when(is_main, w).otherwise(0)).alias("_m")).where(F.col("_w") > limit)
+    blocks = lambda c: F.ceil(c / F.lit(limit)).cast("int")
+    sizes = sizes.select(bucket, F.greatest(blocks(F.col("_w") - F.col("_m")), F.lit(1)).alias("_b"), blocks(F.col("_m")).alias("_bm"))
+    sizes = sizes.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = members.withColumn("_s", F.pmod(F.xxhash64(item, F.lit(9)), F.lit(SALTS)).cast("int")).join(sizes, [bucket, "_s"], "left")
+    at = F.pmod(F.xxhash64(item, F.lit(7)), F.greatest(F.when(is_main, F.col("_bm")).otherwise(F.col("_b")), F.lit(1))).cast("int")
+
+    def pairs(n: Column, pair: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
+        numbers = F.filter(F.sequence(F.lit(0), n), lambda j: j < n)  # none where n is 0
+        return F.transform(numbers, lambda j: F.struct(*[c.cast("int").alias(k) for k, c in zip(("bi", "bj", "side"), pair(j), strict=True)]))
+
+    b, i, zero = F.col("_b"), F.col("_i"), F.lit(0)
+    rest = pairs(b, lambda j: (F.least(i, j), F.greatest(i, j), F.when(i <= j, 0).otherwise(1)))
+    rest = F.concat(rest, pairs(F.col("_bm"), lambda j: (i, b + j, zero)))
+    mains = pairs(b, lambda j: (j, b + i, F.lit(1)))
+    one = F.array(F.struct(zero.alias("bi"), zero.alias("bj"), zero.alias("side")))
+    each = F.explode(F.when(b.isNull(), one).when(is_main, mains).otherwise(rest)).alias("_p")
+    return own.withColumn("_i", at).select(*members.columns, each).select(*members.columns, "_p.bi", "_p.bj", "_p.side")

@@ -8,7 +8,7 @@ threshold is missed with a probability below MISS.
 Buckets are never expanded into all their pairs. Equal sets are one class from the start. In each bucket all members
 are first tested against two centres, and confirmed links are joined into components. What is left are pairs of
 members that still lie in different components. Blocks of bounded size compare them by signature and give the members
-that any pair may link, not the pairs; only these are fetched with their texts, in blocks again, where a pair is looked
+that any pair may link, not the pairs, where members of the centre's component aren't compared with each other; only these are fetched with their texts, in blocks again, where a pair is looked
 at in one bucket and passed over if it has become connected meanwhile; only links leave the task. So each candidate pair
 ends linked, tested or already connected.
 
@@ -39,7 +39,7 @@ from gamestate.llm.common import Stages, components, in_blocks, materialize
 MISS = 1e-6
 ROWS = 4  # signature values in a band: the minima and maxima of two permutations
 BLOCK = 4_000_000  # shingles of a block of a bucket
-MEMBERS = 4096  # members of a block of a bucket
+MEMBERS = 1024  # members of a block of a bucket
 FAN = 256  # candidates that a centre tests in one task
 
 
@@ -133,14 +133,14 @@ def signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, bands: int) -> DataFrame:
-    """(h, b, c1, n1, c2, n2, c, n): the members c of each bucket h of band b with more than one, and its two centres."""
+    """(h, b, size, c1, n1, c2, n2, c, n): the members c of each bucket h of band b with more than one, and its two centres."""
     hashes = [F.struct(F.lit(b).alias("b"), F.xxhash64(F.lit(b), F.substring("sig", 2 * ROWS * b + 1, 2 * ROWS)).alias("h")) for b in range(bands)]
     shown = classes.select("c", "n", F.explode(F.array(*hashes)).alias("s")).select("c", "n", "s.b", "s.h")
     this = F.struct("c", "n")
     shared = shown.groupBy("h").agg(
         F.count("*").alias("size"), F.min("b").alias("b"), F.min(this).alias("first"), F.min_by(this, F.xxhash64("c", F.lit(3))).alias("second")
     )
-    shared = shared.where("size > 1").select("h", "b", F.col("first.c").alias("c1"), F.col("first.n").alias("n1"), F.col("second.c").alias("c2"), F.col("second.n").alias("n2"))
+    shared = shared.where("size > 1").select("h", "b", "size", F.col("first.c").alias("c1"), F.col("first.n").alias("n1"), F.col("second.c").alias("c2"), F.col("second.n").alias("n2"))
     return shown.drop("b").join(shared, "h")
 
 
@@ -232,10 +232,12 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
     comp = components(links)
     st.frames.append(comp)
 
-    lab = members.select("h", "b", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
+    # a bucket of two has had its only pair tested
+    lab = members.where("size > 2").select("h", "b", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
     lab = lab.select("h", "b", "c", "n", F.coalesce("component", "c").alias("label"))
-    open_ = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-    lab = st.keep(lab.join(open_.where("lo <> hi and size > 2").select("h"), "h"), "open")
+    open_ = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "c").alias("of_centre"))
+    lab = lab.join(open_.where("lo <> hi").select("h", "of_centre"), "h")
+    lab = st.keep(lab.select("h", "b", "c", "n", "label", (F.col("label") == F.col("of_centre")).alias("main")), "open")
 
     def may_link(group: pd.DataFrame) -> pd.DataFrame:
         a, b, one_block = _sides(group)
@@ -277,11 +279,11 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
                         found.append((min(ca[i], cb[j]), max(ca[i], cb[j])))
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
-    seen = in_blocks(lab, "h", "c", MEMBERS).join(sigs, "c").groupBy("h", "bi", "bj")
+    seen = in_blocks(lab, "h", "c", MEMBERS, main="main").join(sigs, "c").groupBy("h", "bi", "bj")
     worth = st.keep(seen.applyInPandas(may_link, "h long, c long").distinct(), "worth")
     if not worth.isEmpty():
         weight = F.greatest("n", F.lit(BLOCK // MEMBERS)).alias("weight")
-        blocks = st.keep(in_blocks(lab.join(worth, ["h", "c"]).select("*", weight), "h", "c", BLOCK, "weight"), "blocks")
+        blocks = st.keep(in_blocks(lab.join(worth, ["h", "c"]).select("*", weight), "h", "c", BLOCK, "weight", "main"), "blocks")
         whole = _texts(blocks, docs, classes).join(sigs, "c")
         more = st.keep(whole.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "links")
         comp = components(links.union(more))

@@ -278,8 +278,28 @@ def variants(seed, n, words=60, groups=4):
     return rows
 
 
+def test_blocks_pair_all_members_but_mains(spark):
+    rows = [(b, i, i % 3 == 0) for b, n in ((1, 3), (2, 50), (3, 8)) for i in range(n)]
+    df = spark.createDataFrame(rows, "b int, i long, main boolean")
+    for main in (None, "main"):
+        got = common.in_blocks(df, "b", "i", 8, main=main).groupBy("b", "bi", "bj").agg(F.collect_list(F.struct("i", "side", "main")).alias("x")).collect()
+        seen = {}
+        for r in got:
+            left = [m["i"] for m in r["x"] if m["side"] == 0]
+            right = left if r["bi"] == r["bj"] else [m["i"] for m in r["x"] if m["side"] == 1]
+            assert len(r["x"]) <= 40
+            for p in {(min(u, v), max(u, v)) for u in left for v in right if u != v}:
+                seen[(r["b"], *p)] = seen.get((r["b"], *p), 0) + 1
+        need = {(b, i, j) for b, n in ((1, 3), (2, 50), (3, 8)) for i in range(n) for j in range(i + 1, n) if not (main and b == 2 and i % 3 == 0 and j % 3 == 0)}
+        assert need <= set(seen) and set(seen.values()) == {1}
+
+
+@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
-def test_near_copies(spark, docs, width, percent):
+def test_near_copies(spark, docs, width, percent, small, monkeypatch):
+    if small:  # so that hot buckets are dealt out
+        for name, n in (("MEMBERS", 8), ("BLOCK", 2000), ("FAN", 4)):
+            monkeypatch.setattr(minhash, name, n)
     rows = texts(docs) + [(10_000 + i, t) for i, t in variants(4, 24)]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_groups(docs_of(spark, rows), width, percent).collect()}
     assert got == brute(rows, width, percent)
