@@ -34,12 +34,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamestate.llm.common import Stages, components, in_blocks, materialize
+from gamestate.llm.common import SALTS, Stages, components, in_blocks, materialize
 
 MISS = 1e-6
 ROWS = 4  # signature values in a band: the minima and maxima of two permutations
-BLOCK = 4_000_000  # shingles of a block of a bucket
-MEMBERS = 1024  # members of a block of a bucket
+BLOCK = 1_000_000  # shingles of a block of a bucket
+MEMBERS = 16_384  # members of a block of a bucket, whose signatures are compared
+HOT = 1024  # members of a bucket above which no join may bring it to one task
 FAN = 256  # candidates that a centre tests in one task
 
 
@@ -70,7 +71,7 @@ class _Words(dict):
     """Hashes of the words seen, bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
@@ -233,10 +234,15 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
     st.frames.append(comp)
 
     # a bucket of two has had its only pair tested
-    lab = members.where("size > 2").select("h", "b", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
-    lab = lab.select("h", "b", "c", "n", F.coalesce("component", "c").alias("label"))
-    open_ = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "c").alias("of_centre"))
-    lab = lab.join(open_.where("lo <> hi").select("h", "of_centre"), "h")
+    lab = members.where("size > 2").select("h", "b", "size", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
+    lab = st.keep(lab.select("h", "b", "size", "c", "n", F.coalesce("component", "c").alias("label")), "labels")
+    open_ = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "c").alias("of_centre"), F.min("size").alias("size"))
+    open_ = open_.where("lo <> hi").select("h", "of_centre", "size")
+    cold = lab.where(F.col("size") <= HOT).join(open_.where(F.col("size") <= HOT).drop("size"), "h")
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s")
+    hot = lab.where(F.col("size") > HOT).withColumn("_s", F.pmod(F.xxhash64("c", F.lit(9)), F.lit(SALTS)).cast("int"))
+    hot = hot.join(open_.where(F.col("size") > HOT).select("h", "of_centre", salt), ["h", "_s"]).drop("_s")
+    lab = cold.unionByName(hot)
     lab = st.keep(lab.select("h", "b", "c", "n", "label", (F.col("label") == F.col("of_centre")).alias("main")), "open")
 
     def may_link(group: pd.DataFrame) -> pd.DataFrame:
@@ -282,7 +288,7 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
     seen = in_blocks(lab, "h", "c", MEMBERS, main="main").join(sigs, "c").groupBy("h", "bi", "bj")
     worth = st.keep(seen.applyInPandas(may_link, "h long, c long").distinct(), "worth")
     if not worth.isEmpty():
-        weight = F.greatest("n", F.lit(BLOCK // MEMBERS)).alias("weight")
+        weight = F.greatest("n", F.lit(BLOCK // 4096)).alias("weight")
         blocks = st.keep(in_blocks(lab.join(worth, ["h", "c"]).select("*", weight), "h", "c", BLOCK, "weight", "main"), "blocks")
         whole = _texts(blocks, docs, classes).join(sigs, "c")
         more = st.keep(whole.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "links")

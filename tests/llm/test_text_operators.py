@@ -298,7 +298,7 @@ def test_blocks_pair_all_members_but_mains(spark):
 @pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
 def test_near_copies(spark, docs, width, percent, small, monkeypatch):
     if small:  # so that hot buckets are dealt out
-        for name, n in (("MEMBERS", 8), ("BLOCK", 2000), ("FAN", 4)):
+        for name, n in (("MEMBERS", 8), ("BLOCK", 40_960), ("FAN", 4), ("HOT", 4)):
             monkeypatch.setattr(minhash, name, n)
     rows = texts(docs) + [(10_000 + i, t) for i, t in variants(4, 24)]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_groups(docs_of(spark, rows), width, percent).collect()}
