@@ -7,10 +7,12 @@ pair only under the smallest pivot it shares, and a block pair gives sums and a
 
 The pivots come from a bounded sample (SAMPLE_PER_PIVOT times their number, those with the smallest id hashes), of
 which mutually close ones are passed over; their number follows the square root of the number of vectors, up to
-MAX_PIVOTS. Every vector is indexed.
+MAX_PIVOTS. Every vector is indexed, each dimension among pivots of its own, so vectors of different dimensions never meet.
+Components are kept as floats or doubles, as they come; lengths are taken out by the largest component first, so tiny and
+huge ones count.
 
-Defined results: equal vectors form one class and link with each other; vectors that are null, empty, zero, of another
-dimension than most or hold null or non-finite components link with nothing; rows that repeat a vec_id are one vector
+Defined results: equal vectors form one class and link with each other; vectors that are null, empty, zero or hold null
+or non-finite components link with nothing; rows that repeat a vec_id are one vector
 (the least of its embeddings); a row with a null vec_id has no links, a null component and is kept. Columns besides
 vec_id and embedding are not looked at.
 """
@@ -51,17 +53,40 @@ def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     return chosen
 
 
-def _orders(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    k = min(NEAREST, len(pivots))
+def _orders(vectors: DataFrame, pivots: dict[int, tuple[int, np.ndarray]], kind: str) -> DataFrame:
+    """vectors and the ordered numbers of their nearest pivots. pivots: by dimension, the first number and the vectors."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            if len(part):
-                near = _unit(np.vstack(part["embedding"].to_numpy()).astype(np.float64)) @ pivots.T
-                part["pivots"] = list(np.argsort(-near, 1, kind="stable")[:, :k].astype(np.int32))
-                yield part
-
-    return vectors.mapInPandas(run, "rep long, n long, embedding array<float>, pivots array<int>")
+            for d, own in part.groupby(part["embedding"].str.len()):
+                base, p = pivots[d]
+                near = _unit(np.vstack(own["embedding"].to_numpy()).astype(np.float64)) @ p.T
+                order = np.argsort(-near, 1, kind="stable")[:, : min(NEAREST, len(p))]
+                yield own.assign(pivots=list((order + base).astype(np.int32)))
+
+    return vectors.mapInPandas(run, f"rep long, n long, embedding {kind}, pivots array<int>")
+
+
+def pivots_of(classes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
+    """Pivots of every dimension, from a sample of at most some SAMPLE_PER_PIVOT times as many vectors."""
+    d = F.size("embedding").alias("d")
+    counts = {r["d"]: r["count"] for r in classes.groupBy(d).count().collect()}  # one row for each dimension
+    want = {k: min(MAX_PIVOTS, max(16, 2 ** round(math.log2(2 * math.sqrt(n) + 1)))) for k, n in counts.items()}
+    out, base, wide = {}, 0, 1 << 53
+    if not counts:
+        return out
+    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, SAMPLE_PER_PIVOT * want[k] / n) * wide))])
+    order = F.xxhash64("rep", F.lit(11))
+    rows = classes.where(F.pmod(order, F.lit(wide)) < F.element_at(shares, d)).select(d, order.alias("o"), "rep", "embedding").toPandas()
+    for k, own in rows.sort_values(["d", "o", "rep"]).groupby("d"):
+        chosen = choose_pivots(_unit(np.vstack(own["embedding"].to_numpy()).astype(np.float64)), want[k])
+        out[k] = (base, chosen)
+        base += len(chosen)
+    for k in counts.keys() - out.keys():  # the hash has chosen none of a small dimension
+        x = classes.where(d == k).orderBy(order, "rep").limit(1).toPandas()
+        out[k] = (base, _unit(np.vstack(x["embedding"].to_numpy()).astype(np.float64)))
+        base += 1
+    return out
 
 
 def _compare(least: float, shared: int):
@@ -69,6 +94,7 @@ def _compare(least: float, shared: int):
         pivot, same = int(group["pivot"].iat[0]), group["bi"].iat[0] == group["bj"].iat[0]
         a = group[group["side"] == 0]
         b = a if same else group[group["side"] == 1]
+        least_shared = min(shared, len(group["pivots"].iat[0]))
         names = np.unique(np.concatenate([np.concatenate(x["pivots"].to_numpy()) for x in (a, b)]))
 
         def lists(x: pd.DataFrame) -> np.ndarray:
@@ -78,7 +104,7 @@ def _compare(least: float, shared: int):
 
         la, lb = lists(a), lists(b)
         before = int(np.searchsorted(names, pivot))
-        ok = (la @ lb.T >= shared) & (la[:, :before] @ lb[:, :before].T == 0)
+        ok = (la @ lb.T >= least_shared) & (la[:, :before] @ lb[:, :before].T == 0)
         va, vb = (_unit(np.vstack(x["embedding"].to_numpy()).astype(np.float64)) for x in (a, b))
         ok &= va @ vb.T >= least
         ra, rb = a["rep"].to_numpy(), b["rep"].to_numpy()
@@ -104,8 +130,8 @@ def _compare(least: float, shared: int):
 
 def near_vectors(vectors: DataFrame, least: float = 0.9, shared: int = SHARED) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (smallest vec_id reachable by links of cosine >= least), kept."""
-    e = F.col("embedding").cast("array<float>")
-    every = vectors.select("vec_id", e.alias("embedding"))
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    every = vectors.select("vec_id", F.col("embedding").cast(kind).alias("embedding"))
     good = F.coalesce(
         (F.size("embedding") > 0)
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -113,22 +139,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, shared: int = SHARED) -
         F.lit(False),
     )
     named = every.where("vec_id is not null").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    named = named.withColumn("good", good)
-    dims = named.where("good").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        out = named.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-        return _finish(out, every)
-    named = materialize(named.withColumn("good", F.col("good") & (F.size("embedding") == dims["d"])), "vectors")
-    plus = F.transform("embedding", lambda x: x + F.lit(0.0).cast("float"))  # -0.0 becomes 0.0
+    named = materialize(named.withColumn("good", good), "vectors")
+    plus = F.transform("embedding", lambda x: x + F.lit(0.0).cast(kind[6:-1]))  # -0.0 becomes 0.0
     classes = named.where("good").groupBy(plus.alias("embedding")).agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     classes = materialize(classes.select("rep", "n", "embedding"), "classes")
-    total = classes.count()
-    want = min(MAX_PIVOTS, max(16, 2 ** round(math.log2(2 * math.sqrt(total) + 1))))
-    sample = classes.orderBy(F.xxhash64("rep", F.lit(11)), "rep").limit(SAMPLE_PER_PIVOT * want).select("embedding").toPandas()
-    pivots = choose_pivots(_unit(np.vstack(sample["embedding"].to_numpy()).astype(np.float64)), want)
-    shared = min(shared, len(pivots))
 
-    index = materialize(_orders(classes, pivots), "orders").withColumn("pivot", F.explode("pivots"))
+    index = materialize(_orders(classes, pivots_of(classes), kind), "orders").withColumn("pivot", F.explode("pivots"))
     found = in_blocks(index, "pivot", "rep", BLOCK).groupBy("pivot", "bi", "bj")
     found = materialize(found.applyInPandas(_compare(least, shared), "rep long, links long, root long"), "links")
     comp = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
