@@ -14,7 +14,8 @@ def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
 def _cumulative(df: DataFrame, label: str, score: str, parts: int = 64) -> DataFrame:
     """Positives and negatives at or above each score, without one task for all scores.
 
-    Scores are cut into ranges; sums within a range come from windows, those of the ranges above from a small table.
+    Scores are cut into ranges; sums within a range come from windows, those of the ranges above from a small table. P and
+    N are all positives and negatives. Everything follows from the aggregation by score, whose shuffle is made once.
     """
     by = _by_score(df, label, score)
     cuts = by.agg(F.percentile_approx("score", F.array(*[F.lit(i / parts) for i in range(1, parts)]), F.lit(parts * 100)).alias("cuts"))
@@ -22,14 +23,14 @@ def _cumulative(df: DataFrame, label: str, score: str, parts: int = 64) -> DataF
     sums = by.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))  # at most `parts` rows
     higher = sums.alias("a").join(sums.alias("b"), F.col("b.part") > F.col("a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.p"), F.lit(0)).alias("above_p"), F.coalesce(F.sum("b.n"), F.lit(0)).alias("above_n"))
     w = Window.partitionBy("part").orderBy(F.desc("score"))
-    out = by.join(F.broadcast(higher), "part")
-    return out.select("score", "pos", "neg", (F.sum("pos").over(w) + F.col("above_p")).alias("tp"), (F.sum("neg").over(w) + F.col("above_n")).alias("fp"))
+    total = sums.agg(F.sum("p").alias("P"), F.sum("n").alias("N"))
+    out = by.join(F.broadcast(higher), "part").crossJoin(F.broadcast(total))
+    return out.select("score", "pos", "neg", "P", "N", (F.sum("pos").over(w) + F.col("above_p")).alias("tp"), (F.sum("neg").over(w) + F.col("above_n")).alias("fp"))
 
 
 def roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """threshold, tpr, fpr for each distinct score."""
-    total = df.agg(F.sum(label).alias("P"), F.sum(1 - F.col(label)).alias("N"))
-    c = _cumulative(df, label, score).crossJoin(F.broadcast(total))
+    c = _cumulative(df, label, score)
     return c.select(F.col("score").alias("threshold"), F.try_divide(F.col("tp"), F.col("P").cast("double")).alias("tpr"), F.try_divide(F.col("fp"), F.col("N").cast("double")).alias("fpr"))
 
 
@@ -42,11 +43,18 @@ def youden(df: DataFrame, label: str = "label", score: str = "score") -> DataFra
 def auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve: a positive beats the negatives below it, and half of those of its score."""
     c = _cumulative(df, label, score)
-    total = df.agg(F.sum(label).alias("P"), F.sum(1 - F.col(label)).alias("N"))
-    wins = c.crossJoin(F.broadcast(total)).agg(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") / 2)).alias("w"), F.max("P").alias("P"), F.max("N").alias("N"))
+    wins = c.agg(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") / 2)).alias("w"), F.max("P").alias("P"), F.max("N").alias("N"))
     return wins.select(F.try_divide("w", (F.col("P") * F.col("N")).cast("double")).alias("auc"))
 
 
+def density(df: DataFrame, label: str = "label", score: str = "score", bins: int = 50) -> DataFrame:
+    """label, bin, from and density of scores from 0 to 1: histograms of equal width whose areas are 1."""
+    at = F.least(F.greatest(F.floor(F.col(score) * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
+    counts = df.groupBy(F.col(label).alias("label"), at.alias("bin")).agg(F.count("*").alias("n"))  # at most bins rows for each label
+    total = counts.groupBy("label").agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(total), "label").select("label", "bin", (F.col("bin") / bins).alias("from"), (F.col("n") * bins / F.col("total")).alias("density"))
+
+
 def logloss(df: DataFrame, label: str = "label", score: str = "score", eps: float = 1e-15) -> DataFrame:
     p = F.least(F.greatest(F.col(score), F.lit(eps)), F.lit(1 - eps))
     return df.agg((-F.avg(F.col(label) * F.log(p) + (1 - F.col(label)) * F.log(1 - p))).alias("logloss"))

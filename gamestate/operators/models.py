@@ -62,12 +62,29 @@ def sweep(df: DataFrame, columns: list[str], etas: list[float], **params: float)
     return df.sparkSession.createDataFrame(rows, "eta double, auc double")
 
 
-def search(df: DataFrame, columns: list[str], depths: list[int], rounds: list[int], seed: int = 66) -> PipelineModel:
-    """The best of a grid by AUC on a held-out fifth."""
+def refit(df: DataFrame, columns: list[str], etas: list[float], **params: float) -> tuple[PipelineModel, DataFrame]:
+    """The sweep's table, and a model of the best rate fitted on the train and valid rows alike, none of which stop it early."""
+    rates = sweep(df, columns, etas, **params)
+    best = rates.agg(F.max_by("eta", F.struct("auc", -F.col("eta")))).first()[0]  # one row for each rate
+    rows = df.where(F.col("fold").isin("train", "valid"))
+    assemble = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
+    kept = {"rounds": "maxIter", "depth": "maxDepth", "seed": "seed"}
+    trees = GBTClassifier(labelCol="is_goal", stepSize=best, **{kept[k]: v for k, v in params.items()})
+    return Pipeline(stages=[assemble, trees]).fit(rows), rates
+
+
+def search(df: DataFrame, columns: list[str], seed: int = 66, **values: list[float]) -> PipelineModel:
+    """The best of a grid by AUC on a held-out fifth.
+
+    values: candidates by parameter of the trees: maxDepth, maxIter, stepSize, subsamplingRate, minInstancesPerNode,
+    minInfoGain, maxBins.
+    """
     pipe = goal_pipeline(columns, seed=seed)
     trees = pipe.getStages()[1]
-    grid = ParamGridBuilder().addGrid(trees.maxDepth, depths).addGrid(trees.maxIter, rounds).build()
-    tune = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol="is_goal"), trainRatio=0.8, seed=seed, parallelism=2)
+    grid = ParamGridBuilder()
+    for name, candidates in values.items():
+        grid = grid.addGrid(trees.getParam(name), candidates)
+    tune = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid.build(), evaluator=BinaryClassificationEvaluator(labelCol="is_goal"), trainRatio=0.8, seed=seed, parallelism=2)
     return tune.fit(df.where("fold <> 'current'").withColumn("valid", F.col("fold") == "valid")).bestModel
 
 
@@ -78,9 +95,21 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.drop("features", "rawPrediction", "probability", "prediction", "valid")
 
 
-def importance(spark: SparkSession, model: PipelineModel, columns: list[str], top: int = 10) -> DataFrame:
-    weights = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame([(c, float(w)) for c, w in zip(columns, weights, strict=True)], "feature string, gain double").orderBy(F.desc("gain"), "feature").limit(top)
+def importance(spark: SparkSession, model: PipelineModel, columns: list[str], top: int | None = 10) -> DataFrame:
+    """feature, gain (Spark's importance), weight (splits on it in all trees) and cover (mean training rows at these splits)."""
+    trees = model.stages[-1]
+    splits: dict[int, list[float]] = {}
+    for k in range(trees.getNumTrees):  # nodes of the model, of a size set by rounds and depth
+        nodes = [trees._call_java("trees")[k].rootNode()]
+        while nodes:
+            n = nodes.pop()
+            if n.subtreeDepth() > 0:
+                splits.setdefault(n.split().featureIndex(), []).append(float(n.impurityStats().count()))
+                nodes += [n.leftChild(), n.rightChild()]
+    gain = trees.featureImportances.toArray()
+    rows = [(c, float(g), len(x := splits.get(i, [])), sum(x) / len(x) if x else 0.0) for i, (c, g) in enumerate(zip(columns, gain, strict=True))]
+    out = spark.createDataFrame(rows, "feature string, gain double, weight long, cover double").orderBy(F.desc("gain"), "feature")
+    return out if top is None else out.limit(top)
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -72,9 +72,14 @@ def append_new(known: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def roster(landed: DataFrame) -> DataFrame:
     """Players of landed roster documents (season, team, positions by kind), with indicators of position and hand."""
     p = landed.select("season", "team", F.explode("positions").alias("position", "players")).select("season", "team", "position", F.explode("players").alias("p"))
+    return p.select(*_player(F.col("position")))
+
+
+def _player(position: Column) -> list[Column | str]:
+    """The columns of a player p of a kind of position, with indicators."""
     named = lambda c: F.upper(F.col(f"p.{c}.default"))
-    forward, goalie = flag(F.col("position") == "forwards"), flag(F.col("position") == "goalies")
-    return p.select(
+    forward, goalie = flag(position == "forwards"), flag(position == "goalies")
+    return [
         "season",
         "team",
         F.col("p.id").alias("player_id"),
@@ -92,7 +97,18 @@ def roster(landed: DataFrame) -> DataFrame:
         goalie.alias("pos_G"),
         flag(F.col("p.shootsCatches") == "R").alias("hand_R"),
         flag(F.col("p.shootsCatches") == "L").alias("hand_L"),
-    )
+    ]
+
+
+def additions(landed: DataFrame, season: int) -> DataFrame:
+    """Players of landed player documents, in the columns of roster(): those that no roster of a team has."""
+    code = F.col("position")
+    return landed.select(
+        F.lit(season).cast("long").alias("season"),
+        F.col("currentTeamAbbrev").alias("team"),
+        F.when(code == "G", "goalies").when(code == "D", "defensemen").otherwise("forwards").alias("kind"),
+        F.struct(F.col("playerId").alias("id"), "firstName", "lastName", "sweaterNumber", code.alias("positionCode"), "shootsCatches", "birthDate", "birthCity", "birthStateProvince", "birthCountry").alias("p"),
+    ).select(*_player(F.col("kind")))
 
 
 def slim(full: DataFrame) -> DataFrame:

@@ -30,6 +30,15 @@ def auc_ranksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.auc(scored(spark, sf_dir)).select(rounded("auc"))
 
 
+@query(
+    _with()
+    + f"""SELECT label, bin, {sql_rounded('bin / 50.0', 'from')}, {sql_rounded('n * 50.0 / sum(n) OVER (PARTITION BY label)', 'density')}
+    FROM (SELECT label, CAST(least(floor(score * 50), 49) AS INTEGER) AS bin, count(*) AS n FROM sc GROUP BY ALL)"""
+)
+def score_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.density(scored(spark, sf_dir)).select("label", "bin", rounded("from"), rounded("density"))
+
+
 @query(_with() + f"SELECT {sql_rounded('-avg(label * ln(score) + (1 - label) * ln(1 - score))', 'logloss')} FROM sc")
 def logloss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.logloss(scored(spark, sf_dir)).select(rounded("logloss"))

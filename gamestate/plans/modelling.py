@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamestate.operators import features, models
+from gamestate.operators import features, metrics, models
 from gamestate.plans import synthetic
 from gamestate.plans.domain import KEYS, shots
 from gamestate.plans.registry import query
+from gamestate.plans.storage import kept
 
 _IMPUTE = ["x_abs", "y_abs", "event_distance", "event_angle", "seconds_since_last", "distance_from_last"]
 _INPUT = ["event_distance", "event_angle", "seconds_since_last", "distance_from_last", "x_abs", "y_abs", "is_home", "same_team_last", "off_wing", *features.SHOT_COLUMNS]
 
 
 def prepared(spark: SparkSession, sf_dir: str, name: str = "EV") -> DataFrame:
-    df = features.prepare(features.split(shots(spark, sf_dir), name), synthetic.roster(spark, sf_dir), name)
-    df = features.shot_types(models.impute_types(df, _IMPUTE, trees=5), "event_detail")
-    return df.withColumn("fold", models.fold(20242025))
+    """The frame of a split as a table: every fit, and every round of one, reads it again."""
+    df = kept(features.prepare(features.split(shots(spark, sf_dir), name), synthetic.roster(spark, sf_dir), name))
+    df = features.shot_types(models.impute_types(df, _IMPUTE), "event_detail")
+    return kept(df.withColumn("fold", models.fold(20242025)))
 
 
 @query()
@@ -28,11 +30,27 @@ def impute_shot_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def xg_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = prepared(spark, sf_dir)
-    model = models.train(df, _INPUT, rounds=5, depth=3)
+    model = models.train(df, _INPUT)
     return models.score(model, df).select(*KEYS, "fold", "is_goal", F.col("xG"))
 
 
 @query()
 def importance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = prepared(spark, sf_dir)
-    return models.importance(spark, models.train(df, _INPUT, rounds=3, depth=3), _INPUT)
+    return models.importance(spark, models.train(df, _INPUT), _INPUT)
+
+
+@query()
+def refit_best_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of each learning rate on the valid rows, and on the test rows that of the model refitted at the best one."""
+    df = prepared(spark, sf_dir)
+    model, rates = models.refit(df, _INPUT, [0.05, 0.3], rounds=8)
+    scored = models.score(model, df.where("fold = 'test'")).select("is_goal", "xG")
+    return rates.crossJoin(metrics.auc(scored, "is_goal", "xG").withColumnRenamed("auc", "test_auc"))
+
+
+@query()
+def xg_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plotted tables of a model: the density of xG by outcome."""
+    df = prepared(spark, sf_dir)
+    return metrics.density(models.score(models.train(df, _INPUT), df), "is_goal", "xG")

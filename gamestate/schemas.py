@@ -40,29 +40,131 @@ SHOT_TYPES = {"wrist": "Wrist", "slap": "Slap", "snap": "Snap", "backhand": "Bac
 SHOT_COLUMNS = {"wrist_shot": "Wrist", "deflected_shot": "Deflected", "tip_shot": "Tip-In", "slap_shot": "Slap", "backhand_shot": "Backhand", "snap_shot": "Snap", "wrap_shot": "Wrap-Around"}
 SEASON_TYPES = {2: "R", 3: "P"}
 
-
-def _struct(**kinds: str) -> T.StructType:
-    of = {"i": T.IntegerType(), "l": T.LongType(), "s": T.StringType(), "d": T.DoubleType(), "t": T.TimestampType()}
-    return T.StructType([T.StructField(name, of[k]) for k, names in kinds.items() for name in names.split()])
-
-
-PBP_RAW = _struct(
-    i="id season sortOrder gameType period eventId typeCode",
-    s="gameDate periodType timeRemaining timeInPeriod situationCode homeTeamDefendingSide eventOwnerTeamId penaltyTypeCode typeDescKey descKey reason secondaryReason shotType zoneCode scoringPlayerId shootingPlayerId goalieInNetId blockingPlayerId committedByPlayerId drawnByPlayerId servedByPlayerId duration hittingPlayerId hitteePlayerId winningPlayerId losingPlayerId assist1PlayerId assist2PlayerId playerId away_id away_abbrev home_id home_abbrev",
-    d="awayScore homeScore xCoord yCoord",
+# Columns of the tables, as the feed and its users name them.
+PBP_RAW = T.StructType(
+    [
+        T.StructField("id", T.IntegerType()),
+        T.StructField("season", T.IntegerType()),
+        T.StructField("gameDate", T.StringType()),
+        T.StructField("gameType", T.IntegerType()),
+        T.StructField("away_id", T.StringType()),
+        T.StructField("away_abbrev", T.StringType()),
+        T.StructField("home_id", T.StringType()),
+        T.StructField("home_abbrev", T.StringType()),
+        T.StructField("eventId", T.IntegerType()),
+        T.StructField("sortOrder", T.IntegerType()),
+        T.StructField("period", T.IntegerType()),
+        T.StructField("periodType", T.StringType()),
+        T.StructField("typeCode", T.IntegerType()),
+        T.StructField("typeDescKey", T.StringType()),
+        T.StructField("timeInPeriod", T.StringType()),
+        T.StructField("timeRemaining", T.StringType()),
+        T.StructField("situationCode", T.StringType()),
+        T.StructField("homeTeamDefendingSide", T.StringType()),
+        T.StructField("eventOwnerTeamId", T.StringType()),
+        T.StructField("xCoord", T.DoubleType()),
+        T.StructField("yCoord", T.DoubleType()),
+        T.StructField("zoneCode", T.StringType()),
+        T.StructField("shotType", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("secondaryReason", T.StringType()),
+        T.StructField("descKey", T.StringType()),
+        T.StructField("penaltyTypeCode", T.StringType()),
+        T.StructField("duration", T.StringType()),
+        T.StructField("scoringPlayerId", T.StringType()),
+        T.StructField("shootingPlayerId", T.StringType()),
+        T.StructField("goalieInNetId", T.StringType()),
+        T.StructField("blockingPlayerId", T.StringType()),
+        T.StructField("committedByPlayerId", T.StringType()),
+        T.StructField("drawnByPlayerId", T.StringType()),
+        T.StructField("servedByPlayerId", T.StringType()),
+        T.StructField("hittingPlayerId", T.StringType()),
+        T.StructField("hitteePlayerId", T.StringType()),
+        T.StructField("winningPlayerId", T.StringType()),
+        T.StructField("losingPlayerId", T.StringType()),
+        T.StructField("assist1PlayerId", T.StringType()),
+        T.StructField("assist2PlayerId", T.StringType()),
+        T.StructField("playerId", T.StringType()),
+        T.StructField("awayScore", T.DoubleType()),
+        T.StructField("homeScore", T.DoubleType()),
+    ]
+)
+SHIFTS = T.StructType(
+    [
+        T.StructField("game_id", T.IntegerType()),
+        T.StructField("team_id", T.StringType()),
+        T.StructField("player_id", T.StringType()),
+        T.StructField("player_name", T.StringType()),
+        T.StructField("team_abbr", T.StringType()),
+        T.StructField("period", T.IntegerType()),
+        T.StructField("period_start_seconds", T.LongType()),
+        T.StructField("period_end_seconds", T.LongType()),
+        T.StructField("game_start_seconds", T.LongType()),
+        T.StructField("game_end_seconds", T.LongType()),
+    ]
+)
+SCHEDULE = T.StructType(
+    [
+        T.StructField("game_id", T.IntegerType()),
+        T.StructField("season", T.IntegerType()),
+        T.StructField("game_date", T.StringType()),
+        T.StructField("start_time_ET", T.StringType()),
+        T.StructField("season_type", T.StringType()),
+        T.StructField("game_schedule_state", T.StringType()),
+        T.StructField("away_team_id", T.StringType()),
+        T.StructField("away_score", T.IntegerType()),
+        T.StructField("away_abbreviation", T.StringType()),
+        T.StructField("home_score", T.IntegerType()),
+        T.StructField("home_team_id", T.StringType()),
+        T.StructField("home_abbreviation", T.StringType()),
+        T.StructField("pbp_link", T.StringType()),
+        T.StructField("shift_link", T.StringType()),
+        T.StructField("start_time_utc", T.TimestampType()),
+    ]
 )
-SHIFTS = _struct(i="game_id period", s="team_id player_id player_name team_abbr", l="period_start_seconds period_end_seconds game_start_seconds game_end_seconds")
-SCHEDULE = _struct(
-    i="game_id season away_score home_score",
-    s="game_date start_time_ET season_type game_schedule_state away_team_id away_abbreviation home_team_id home_abbreviation pbp_link shift_link",
-    t="start_time_utc",
+ROSTER_SLIM = T.StructType(
+    [
+        T.StructField("player_id", T.StringType()),
+        T.StructField("firstName", T.StringType()),
+        T.StructField("lastName", T.StringType()),
+        T.StructField("pos_F", T.IntegerType()),
+        T.StructField("pos_D", T.IntegerType()),
+        T.StructField("pos_G", T.IntegerType()),
+        T.StructField("hand_R", T.IntegerType()),
+        T.StructField("hand_L", T.IntegerType()),
+    ]
 )
-ROSTER_SLIM = _struct(s="player_id firstName lastName", i="pos_F pos_D pos_G hand_R hand_L")
 
-_PERSON = "struct<id:string,firstName:struct<default:string>,lastName:struct<default:string>,sweaterNumber:int,positionCode:string,shootsCatches:string,heightInInches:int,weightInPounds:int,birthDate:string,birthCity:struct<default:string>,birthStateProvince:struct<default:string>,birthCountry:string>"
-ROSTER_JSON = f"season long, team string, positions map<string,array<{_PERSON}>>"
-_TEAM = "struct<id:string,abbrev:string,score:int,placeName:struct<default:string>,odds:array<struct<providerId:int,value:string>>>"
-SCHEDULE_JSON = f"gameWeek array<struct<date:string,games:array<struct<id:int,season:int,gameType:int,startTimeUTC:string,gameState:string,gameScheduleState:string,neutralSite:boolean,venue:struct<default:string>,awayTeam:{_TEAM},homeTeam:{_TEAM}>>>>"
-_DETAILS = ",".join(f"{c}:{k}" for k, names in (("double", "xCoord yCoord awayScore homeScore"), ("string", "eventOwnerTeamId zoneCode shotType reason secondaryReason descKey typeCode duration scoringPlayerId shootingPlayerId goalieInNetId blockingPlayerId committedByPlayerId drawnByPlayerId servedByPlayerId hittingPlayerId hitteePlayerId winningPlayerId losingPlayerId assist1PlayerId assist2PlayerId playerId")) for c in names.split())
-PBP_JSON = f"id int, season int, gameDate string, gameType int, awayTeam struct<id:string,abbrev:string>, homeTeam struct<id:string,abbrev:string>, plays array<struct<eventId:int,sortOrder:int,typeCode:int,typeDescKey:string,timeInPeriod:string,timeRemaining:string,situationCode:string,homeTeamDefendingSide:string,periodDescriptor:struct<number:int,periodType:string>,details:struct<{_DETAILS}>>>"
-SHIFT_JSON = "data array<struct<id:long,gameId:int,teamId:string,teamAbbrev:string,playerId:string,firstName:string,lastName:string,period:int,startTime:string,endTime:string,duration:string>>"
+# Fields of the feed's documents.
+_PERSON = """struct<
+    id: string, headshot: string, firstName: struct<default: string>, lastName: struct<default: string>, sweaterNumber: int,
+    positionCode: string, shootsCatches: string, heightInInches: int, weightInPounds: int, heightInCentimeters: int,
+    weightInKilograms: int, birthDate: string, birthCity: struct<default: string>, birthStateProvince: struct<default: string>,
+    birthCountry: string>"""
+ROSTER_JSON = f"season long, team string, positions map<string, array<{_PERSON}>>"
+PLAYER_JSON = """
+    playerId string, currentTeamAbbrev string, headshot string, firstName struct<default: string>, lastName struct<default: string>,
+    position string, shootsCatches string, sweaterNumber int, heightInInches int, weightInPounds int, heightInCentimeters int,
+    weightInKilograms int, birthDate string, birthCity struct<default: string>, birthStateProvince struct<default: string>,
+    birthCountry string"""
+_TEAM = """struct<
+    id: string, abbrev: string, score: int, placeName: struct<default: string>, odds: array<struct<providerId: int, value: string>>>"""
+SCHEDULE_JSON = f"""gameWeek array<struct<date: string, games: array<struct<
+    id: int, season: int, gameType: int, startTimeUTC: string, gameState: string, gameScheduleState: string, neutralSite: boolean,
+    venue: struct<default: string>, awayTeam: {_TEAM}, homeTeam: {_TEAM}>>>>"""
+_DETAILS = """struct<
+    eventOwnerTeamId: string, xCoord: double, yCoord: double, zoneCode: string, shotType: string, reason: string,
+    secondaryReason: string, descKey: string, typeCode: string, duration: string, scoringPlayerId: string,
+    shootingPlayerId: string, goalieInNetId: string, blockingPlayerId: string, committedByPlayerId: string,
+    drawnByPlayerId: string, servedByPlayerId: string, hittingPlayerId: string, hitteePlayerId: string,
+    winningPlayerId: string, losingPlayerId: string, assist1PlayerId: string, assist2PlayerId: string, playerId: string,
+    awayScore: double, homeScore: double>"""
+PBP_JSON = f"""
+    id int, season int, gameDate string, gameType int, awayTeam struct<id: string, abbrev: string>,
+    homeTeam struct<id: string, abbrev: string>, plays array<struct<
+    eventId: int, sortOrder: int, typeCode: int, typeDescKey: string, timeInPeriod: string, timeRemaining: string,
+    situationCode: string, homeTeamDefendingSide: string, periodDescriptor: struct<number: int, periodType: string>,
+    details: {_DETAILS}>>"""
+SHIFT_JSON = """data array<struct<
+    id: long, gameId: int, teamId: string, teamAbbrev: string, playerId: string, firstName: string, lastName: string, period: int,
+    startTime: string, endTime: string, duration: string>>"""

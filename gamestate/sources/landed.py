@@ -6,10 +6,10 @@ no JSON go to _corrupt_record, to be set aside by `bad`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gamestate.schemas import PBP_JSON, PBP_RAW, ROSTER_JSON, SCHEDULE_JSON, SHIFT_JSON
+from gamestate.schemas import PBP_JSON, PBP_RAW, PLAYER_JSON, ROSTER_JSON, SCHEDULE_JSON, SHIFT_JSON
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -25,6 +25,11 @@ def rosters(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, ROSTER_JSON)
 
 
+def players(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed player document."""
+    return _read(spark, path, PLAYER_JSON)
+
+
 def shifts(spark: SparkSession, path: str) -> DataFrame:
     """One row per shift of the landed shift documents."""
     return _read(spark, path, SHIFT_JSON).select(F.explode("data").alias("s")).select("s.*")
@@ -53,6 +58,26 @@ def bad(docs: DataFrame) -> DataFrame:
     return docs.where("_corrupt_record is not null").select("_corrupt_record")
 
 
+def good(docs: DataFrame) -> DataFrame:
+    return docs.where("_corrupt_record is null").drop("_corrupt_record")
+
+
+def set_aside(docs: DataFrame, path: str) -> DataFrame:
+    """The lines that are JSON; the others are added to a table of bad records at path, with the time of the load."""
+    bad(docs).withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(path)
+    return good(docs)
+
+
+def counted(docs: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """docs, and an observation that has the numbers of documents and bad records once docs has been written.
+
+    The counts come with the load itself; no other pass reads the files.
+    """
+    seen = Observation(name)
+    broken = F.count_if(F.col("_corrupt_record").isNotNull())
+    return docs.observe(seen, F.count(F.lit(1)).alias("documents"), broken.alias("bad")), seen
+
+
 def seasons(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """A table partitioned by season; the bounds prune partitions."""
     df = spark.read.parquet(path)
