@@ -56,3 +56,14 @@ def landed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     e.write.json(path)
     docs = spark.read.schema("event_id long, event_type string, details struct<k:int,absent:string>").json(path)
     return docs.select("event_id", "event_type", F.col("details.k").alias("k"), F.col("details.absent").alias("missing"))
+
+
+@query("SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders")
+def append_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A season's table grows by increments that overlap what is there; only the folders of an increment's seasons are read."""
+    path = folder(spark)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("season"))
+    mid = rows.agg(F.percentile_approx("season", 0.5)).first()[0]
+    for part in (rows.where(F.col("season") <= mid), rows.where(F.col("season") >= mid), rows):
+        sinks.append(part, path, ["season", "o_orderkey"], "season")
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "season")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def by_season(df: DataFrame, path: str) -> None:
@@ -50,3 +51,20 @@ def add(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
 
     old = spark.read.parquet(path)
     replace(append_new(old, df, keys) if keys else old.unionByName(df, allowMissingColumns=True).distinct(), path)
+
+
+def append(df: DataFrame, path: str, keys: list[str], by: str | None = None) -> None:
+    """Append the rows whose keys the table lacks, one for each key; nothing is rewritten.
+
+    by: the table is partitioned by this column, of few values in df, and only their folders are read.
+    """
+    spark = df.sparkSession
+    new = df.dropDuplicates(keys)
+    fs, at = _fs(spark, path)
+    if fs.exists(at):
+        known = spark.read.parquet(path)
+        if by is not None:
+            known = known.where(F.col(by).isin([r[0] for r in df.select(by).distinct().collect()]))
+        new = new.join(known.select(*keys).distinct(), keys, "left_anti").select(*df.columns)
+    out = new.write.mode("append")
+    (out if by is None else out.partitionBy(by)).parquet(path)

@@ -7,21 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from gamestate.sources import sinks
+
 
 def stream(spark: SparkSession, path: str, schema: str, files: int = 100) -> DataFrame:
     """Documents that arrive in a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(path)
 
 
-def load(docs: DataFrame, make: Callable[[DataFrame], DataFrame], out: str, keys: list[str], checkpoint: str) -> StreamingQuery:
-    """Turn each batch into rows and append those whose keys the table lacks. A repeated batch adds nothing twice."""
+def load(docs: DataFrame, make: Callable[[DataFrame], DataFrame], out: str, keys: list[str], checkpoint: str, by: str | None = None) -> StreamingQuery:
+    """Turn each batch into rows and append those whose keys the table lacks. A repeated batch adds nothing twice.
+
+    by: a column, such as the season, that partitions the table and that keys determine: then a batch reads the folders of
+    its own values only.
+    """
 
     def one(batch: DataFrame, _: int) -> None:
-        rows = make(batch).dropDuplicates(keys)
-        spark = batch.sparkSession
-        p = spark._jvm.org.apache.hadoop.fs.Path(out)
-        if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-            rows = rows.join(spark.read.parquet(out).select(*keys).distinct(), keys, "left_anti")
-        rows.write.mode("append").parquet(out)
+        sinks.append(make(batch), out, keys, by)
 
     return docs.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -167,6 +167,24 @@ def test_stream_appends_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_append_reads_only_the_seasons_of_its_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, 2020, "a"), (2, 2020, "b"), (2, 2020, "c"), (3, 2021, "d")], "id int, season int, v string")
+    sinks.append(rows, path, ["season", "id"], "season")
+    sinks.append(rows.where("season = 2021").union(spark.createDataFrame([(4, 2021, "e")], rows.schema)), path, ["season", "id"], "season")
+    sinks.append(rows.limit(0), path, ["season", "id"], "season")
+    assert sorted((r["season"], r["id"]) for r in spark.read.parquet(path).collect()) == [(2020, 1), (2020, 2), (2021, 3), (2021, 4)]
+
+
+def test_stream_by_season(spark, tmp_path):
+    src = _landed(tmp_path, [{"gameWeek": [{"games": [{"id": 1, "season": 2020}, {"id": 2, "season": 2021}]}]}])
+    make = lambda b: b.select(F.explode(F.get("gameWeek", F.lit(0))["games"]).alias("g")).select(F.col("g.id").alias("game_id"), F.col("g.season").alias("season"))
+    out = str(tmp_path / "out")
+    for n in ("c1", "c2"):
+        incremental.load(incremental.stream(spark, src, SCHEDULE_JSON), make, out, ["game_id"], str(tmp_path / n), "season").awaitTermination(60)
+    assert spark.read.parquet(out).where("season = 2021").count() == 1 and spark.read.parquet(out).count() == 2
+
+
 def test_replace_while_reading(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.replace(spark.range(5), path)
