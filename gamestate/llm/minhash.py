@@ -193,18 +193,45 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return rows.mapInPandas(run, "u long, v long")
 
 
-def _candidates(a: pd.DataFrame, b: pd.DataFrame, one_block: bool, least: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each row of a with the rows of b in other components that its signature may be linked with, in the first band they share."""
+def _candidates(a: pd.DataFrame, b: pd.DataFrame, la: np.ndarray, lb: np.ndarray, one_block: bool, least: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a with the rows of b in other components that its signature may be linked with, in the first band they share.
+
+    la and lb are the components of the rows; the caller may join some while it takes the candidates.
+    """
     band = int(a["b"].iat[0])
     sa, sb = (np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), -1) for x in (a, b))
-    ba, bb = sa.view("<u8"), sb.view("<u8")  # a band's values as one number
-    ca, cb, la, lb, na, nb = (x[c].to_numpy() for c in ("c", "label", "n") for x in (a, b))
+    ba, bb = (np.ascontiguousarray(x.view("<u8")[:, :band]) for x in (sa, sb))  # values of an earlier band as one number
+    ca, cb, na, nb = (x[c].to_numpy() for c in ("c", "n") for x in (a, b))
     for i in range(len(a)):
         ok = (lb != la[i]) & (100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i]))
         at = np.flatnonzero(ok & (cb > ca[i]) if one_block else ok)
-        at = at[(sb[at] == sa[i]).sum(1) >= least]
+        if band:
+            at = at[~(bb[at] == ba[i]).any(1)]
+        at = at[(sb[at] == sa[i]).sum(1, dtype=np.uint16) >= least]
         if len(at):
-            yield i, at[(bb[at] == ba[i]).argmax(1) == band]
+            yield i, at
+
+
+class _Marks:
+    """A table of marked shingles that shows, for many sets at once, how many shingles each can share with one set.
+
+    A shingle's place is the low bits of its hash, so a count is never too low; the few pairs that pass are compared whole.
+    """
+
+    BITS = 20
+
+    def __init__(self) -> None:
+        self.table = np.zeros(1 << self.BITS, np.uint8)
+
+    def places(self, s: np.ndarray) -> np.ndarray:
+        return (s & np.uint64((1 << self.BITS) - 1)).astype(np.intp)
+
+    def shared(self, one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
+        self.table[one] = 1
+        starts = np.cumsum([0, *map(len, many[:-1])])
+        counts = np.add.reduceat(self.table[np.concatenate(many)], starts, dtype=np.int64)
+        self.table[one] = 0
+        return counts
 
 
 def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
@@ -249,39 +276,40 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
         a, b, one_block = _sides(group)
         if not len(a) or not len(b):
             return pd.DataFrame({"h": [], "c": []}, dtype="int64")
-        found: set[int] = set()
-        ca, cb = a["c"].to_numpy(), b["c"].to_numpy()
-        for i, at in _candidates(a, b, one_block, least, percent):
-            if len(at):
-                found |= {int(ca[i]), *cb[at].tolist()}
-        return pd.DataFrame({"h": group["h"].iat[0], "c": sorted(found)}, columns=["h", "c"]).astype("int64")
+        found_a, found_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        for i, at in _candidates(a, b, a["label"].to_numpy(), b["label"].to_numpy(), one_block, least, percent):
+            found_a[i] = True
+            found_b[at] = True
+        found = np.union1d(a["c"].to_numpy()[found_a], b["c"].to_numpy()[found_b])
+        return pd.DataFrame({"h": group["h"].iat[0], "c": found}, columns=["h", "c"]).astype("int64")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         a, b, one_block = _sides(group)
-        found, sets = [], {}
-        root = {x: x for x in (*a["label"], *b["label"])}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        def whole(c: int, text: str) -> np.ndarray:
-            if c not in sets:
-                sets[c] = shingle_set(text, width)
-            return sets[c]
-
+        found = []
         if len(a) and len(b):
-            ca, cb, la, lb, ta, tb = (x[k].to_numpy() for k in ("c", "label", "text") for x in (a, b))
-            for i, at in _candidates(a, b, one_block, least, percent):
-                for j in at:
-                    x, y = find(la[i]), find(lb[j])
+            ca, cb, na, nb, ta, tb = (x[k].to_numpy() for k in ("c", "n", "text") for x in (a, b))
+            la = a["label"].to_numpy().copy()
+            lb = la if one_block else b["label"].to_numpy().copy()
+            marks, sets = _Marks(), {}
+
+            def whole(c: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+                if c not in sets:
+                    s = shingle_set(text, width)
+                    sets[c] = s, marks.places(s)
+                return sets[c]
+
+            for i, at in _candidates(a, b, la, lb, one_block, least, percent):
+                u, here = whole(ca[i], ta[i])
+                most = marks.shared(here, [whole(cb[j], tb[j])[1] for j in at])
+                for j in at[100 * most >= percent * (na[i] + nb[at] - most)]:
+                    x, y = la[i], lb[j]
                     if x == y:
                         continue
-                    u, v = whole(ca[i], ta[i]), whole(cb[j], tb[j])
+                    v = whole(cb[j], tb[j])[0]
                     both = len(np.intersect1d(u, v, assume_unique=True))
                     if 100 * both >= percent * (len(u) + len(v) - both):
-                        root[max(x, y)] = min(x, y)
+                        for of in (la, lb):
+                            of[of == max(x, y)] = min(x, y)
                         found.append((min(ca[i], cb[j]), max(ca[i], cb[j])))
         return pd.DataFrame(found, columns=["u", "v"]).astype("int64")
 
