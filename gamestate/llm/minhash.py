@@ -223,14 +223,15 @@ class _Marks:
     def __init__(self) -> None:
         self.table = np.zeros(1 << self.BITS, np.uint8)
 
-    def places(self, s: np.ndarray) -> np.ndarray:
-        return (s & np.uint64((1 << self.BITS) - 1)).astype(np.intp)
-
     def shared(self, one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
-        self.table[one] = 1
+        low = np.uint64(len(self.table) - 1)
+        places = np.concatenate(many)
+        places &= low
+        here = (one & low).view(np.int64)
+        self.table[here] = 1
         starts = np.cumsum([0, *map(len, many[:-1])])
-        counts = np.add.reduceat(self.table[np.concatenate(many)], starts, dtype=np.int64)
-        self.table[one] = 0
+        counts = np.add.reduceat(self.table[places.view(np.int64)], starts, dtype=np.int64)
+        self.table[here] = 0
         return counts
 
 
@@ -292,20 +293,19 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
             lb = la if one_block else b["label"].to_numpy().copy()
             marks, sets = _Marks(), {}
 
-            def whole(c: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+            def whole(c: int, text: str) -> np.ndarray:
                 if c not in sets:
-                    s = shingle_set(text, width)
-                    sets[c] = s, marks.places(s)
+                    sets[c] = shingle_set(text, width)
                 return sets[c]
 
             for i, at in _candidates(a, b, la, lb, one_block, least, percent):
-                u, here = whole(ca[i], ta[i])
-                most = marks.shared(here, [whole(cb[j], tb[j])[1] for j in at])
+                u = whole(ca[i], ta[i])
+                most = marks.shared(u, [whole(cb[j], tb[j]) for j in at])
                 for j in at[100 * most >= percent * (na[i] + nb[at] - most)]:
                     x, y = la[i], lb[j]
                     if x == y:
                         continue
-                    v = whole(cb[j], tb[j])[0]
+                    v = whole(cb[j], tb[j])
                     both = len(np.intersect1d(u, v, assume_unique=True))
                     if 100 * both >= percent * (len(u) + len(v) - both):
                         for of in (la, lb):
