@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamestate.llm.common import SALTS, Stages, components, in_blocks, materialize
+from gamestate.llm.common import SALTS, Stages, broadcast_if, components, in_blocks, materialize
 
 MISS = 1e-6
 ROWS = 4  # signature values in a band: the minima and maxima of two permutations
@@ -42,6 +42,7 @@ BLOCK = 1_000_000  # shingles of a block of a bucket
 MEMBERS = 16_384  # members of a block of a bucket, whose signatures are compared
 HOT = 1024  # members of a bucket above which no join may bring it to one task
 FAN = 256  # candidates that a centre tests in one task
+NAMES = 1_000_000  # names of documents, of 8 bytes, up to which they are broadcast; more are joined by a shuffle
 
 
 def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -158,14 +159,24 @@ def _alike(a: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     return a.join(sy, "y").join(sx, "x").select("x", "y", "sig_x", "sig_y").mapInPandas(run, "x long, y long")
 
 
+def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, key, text) of the rows of docs whose (doc_id, key) wanted names; a row that repeats both comes once.
+
+    Rows are sorted out before any text moves: where few are wanted, their names reach the scan as one number each.
+    """
+    texts = docs.where("doc_id is not null").select("doc_id", _text_key(), "text")
+    name = F.xxhash64("doc_id", "key").alias("_name")
+    names = broadcast_if(wanted.select(name).distinct(), NAMES, "wanted")
+    there = texts.withColumn("_name", name).join(names, "_name", "left_semi").drop("_name")
+    one = there.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    return one.join(wanted.distinct(), ["doc_id", "key"], "left_semi")
+
+
 def _texts(requests: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """requests (with a class c) and the text of a document of that class."""
     named = requests.join(classes.select("c", "doc_id", "key"), "c")
-    texts = docs.where("doc_id is not null").select("doc_id", _text_key(), "text")
-    # rows that repeat an id and a text would multiply the requests; they fall together before they move
-    one = texts.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
-    one = one.join(classes.join(requests.select("c").distinct(), "c", "left_semi").select("doc_id", "key"), ["doc_id", "key"], "left_semi")
-    return named.join(one, ["doc_id", "key"]).drop("doc_id", "key")
+    wanted = classes.join(requests.select("c").distinct(), "c", "left_semi").select("doc_id", "key")
+    return named.join(_only(docs, wanted), ["doc_id", "key"]).drop("doc_id", "key")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -353,10 +364,16 @@ def kept_rows(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     with Stages() as st:
         sig, decided = _classes(docs, st, width, percent)
         linked = decided.select(F.col("component_id").alias("doc_id"), F.col("component_key").alias("key")).distinct()
-        empty = sig.where("not no_id and n_shingles = 0").select("doc_id", "key").distinct()
-        kept = materialize(linked.union(empty), "kept")
+        rows = sig.where("not no_id").groupBy("doc_id", "key").agg(F.count("*").alias("rows"), F.first("n_shingles").alias("n"))
+        rows = rows.join(linked.withColumn("linked", F.lit(True)), ["doc_id", "key"], "left")
+        stays = F.coalesce("linked", F.lit(False)) | (F.col("n") == 0)
+        # all but the rows that stay as they are: those that go, and those that repeat id and text
+        names = materialize(rows.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), stays.alias("stays"), (F.col("rows") > 1).alias("repeated")).where("repeated or not stays"), "kept")
+    marked = docs.where("doc_id is not null").withColumns({"_id": F.col("doc_id"), "_key": _text_key()})
+    few = F.broadcast if names.count() <= NAMES else (lambda df: df)
+    single = marked.join(few(names), ["_id", "_key"], "left_anti").drop("_id", "_key")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     order = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")])
-    one = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"), _text_key().alias("_key")).agg(F.min_by(row, order).alias("_row"))
-    named = one.join(kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), ["_id", "_key"], "left_semi").select("_row.*")
-    return named.unionByName(docs.where("doc_id is null"))
+    again = marked.join(few(names.where("repeated and stays")), ["_id", "_key"], "left_semi")
+    one = again.groupBy("_id", "_key").agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    return single.unionByName(one).unionByName(docs.where("doc_id is null"))
