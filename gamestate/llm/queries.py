@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamestate.llm import bpe, embeddings, fingerprints, language, licenses, minhash, packing, pii, sharding, token_counts
+from gamestate.llm import bpe, divergence, embeddings, fingerprints, language, licenses, minhash, packing, pii, search, sharding, token_counts
 from gamestate.llm.common import shared_dir, table
 
 #: The key of the registered query, known to all. A user of the operator passes a secret one.
@@ -71,6 +71,14 @@ def op10_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_license_scan,
@@ -83,10 +91,12 @@ def queries() -> dict[str, Query]:
         op8_slot_sharding,
         op9_vector_packing,
         op10_language_fusion,
+        op12_source_divergence,
+        op13_ranked_search,
         conversation_packing,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.oracle()}
+    return {"op1_license_scan": licenses.oracle(), "op12_source_divergence": divergence.oracle(), "op13_ranked_search": search.oracle()}
