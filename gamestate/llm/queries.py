@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamestate.llm import bpe, divergence, embeddings, fingerprints, language, licenses, minhash, packing, pii, search, sharding, token_counts
+from gamestate.llm import bpe, divergence, embeddings, fingerprints, language, licenses, lm, minhash, packing, pii, search, sharding, token_counts
 from gamestate.llm.common import shared_dir, table
 
 #: The key of the registered query, known to all. A user of the operator passes a secret one.
@@ -71,6 +71,10 @@ def op10_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ def queries() -> dict[str, Query]:
         op8_slot_sharding,
         op9_vector_packing,
         op10_language_fusion,
+        op11_ngram_score,
         op12_source_divergence,
         op13_ranked_search,
         conversation_packing,
