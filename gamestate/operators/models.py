@@ -1,16 +1,27 @@
-"""Models of goal probability with Spark ML: folds, imputation of shot types, boosted trees, search, scoring."""
+"""Models of goal probability: folds, imputed shot types, boosted trees, rates with early stopping, search, scoring.
+
+Two kinds of trees: those of `boosting` (nulls with a direction of their own, softmax, stop after patience) are what the
+registered queries take; Spark ML's stay for users of its pipelines. Neither drops a row: Spark ML's vectors get a second
+column for each input, which says where it is null.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gamestate.operators import boosting, metrics, tuning
+from gamestate.operators.boosting import Booster, Params
+
 KEYS = ["season", "game_id", "event_idx"]
 
 
@@ -25,25 +36,75 @@ def fold(current_season: int, seed: int = 66) -> Column:
     )
 
 
-def impute_types(df: DataFrame, columns: list[str], target: str = "secondary_type", trees: int = 20, seed: int = 66) -> DataFrame:
-    """df with event_detail: the target where known, else a random forest's choice from the numeric columns."""
-    index = StringIndexer(inputCol=target, outputCol="_y", handleInvalid="skip")
-    assemble = VectorAssembler(inputCols=columns, outputCol="_x", handleInvalid="keep")
-    known = df.where(F.col(target).isNotNull()).na.fill(0, columns)
-    labels = index.fit(known)
-    forest = RandomForestClassifier(labelCol="_y", featuresCol="_x", predictionCol="_p", numTrees=trees, maxDepth=6, seed=seed)
-    model = forest.fit(assemble.transform(labels.transform(known)))
-    out = model.transform(assemble.transform(df.withColumns({f"_raw_{c}": F.col(c) for c in columns}).na.fill(0, columns)))
-    out = IndexToString(inputCol="_p", outputCol="_named", labels=labels.labels).transform(out)
-    out = out.withColumn("event_detail", F.coalesce(target, "_named")).withColumns({c: F.col(f"_raw_{c}") for c in columns})
-    return out.drop("_x", "_p", "_named", "rawPrediction", "probability", *[f"_raw_{c}" for c in columns])
+#: Shot types too rare to learn; they are imputed like missing ones.
+RARE = ["Poked", "Batted", "Between Legs"]
+
+
+def impute_types(df: DataFrame, columns: list[str], keep: Callable[[DataFrame], DataFrame], target: str = "secondary_type", params: Params | None = None) -> tuple[DataFrame, Booster | None]:
+    """df with event_detail, the target where known and not RARE, else the likeliest class of softmax boosting; and the model.
+
+    Equal probabilities give the first class by name. A fifth of the known rows, by a hash of the keys, stops the rounds. If
+    no row has a known type, event_detail is null and there is no model.
+    """
+    known = F.when(~F.col(target).isin(RARE), F.col(target))
+    df = df.withColumn("_y", known)
+    if df.where("_y is not null").isEmpty():
+        return df.withColumn("event_detail", F.lit(None).cast("string")).drop("_y"), None
+    fifth = f"pmod(xxhash64({', '.join(KEYS)}), 5) = 0"
+    binned = boosting.bin_rows(df, columns, "_y", KEYS, keep, train=f"not {fifth}", valid=fifth)
+    (model,) = boosting.fit(binned, [params or Params(rounds=60, patience=5)])
+    named = F.array(*[F.lit(c) for c in model.classes])
+    out = boosting.predict(model, df, "_p").withColumn("event_detail", F.coalesce("_y", F.element_at(named, F.array_position("_p", F.array_max("_p")).cast("int"))))
+    return out.drop("_p", "_y"), model
+
+
+def boosted(df: DataFrame, columns: list[str], keep: Callable[[DataFrame], DataFrame], every: list[Params], **options: object) -> list[Booster]:
+    """A model of is_goal for each of the parameters, trained on the fold train and stopped by the fold valid, in the same passes."""
+    return boosting.fit(boosting.bin_rows(df, columns, "is_goal", KEYS, keep), every, **options)
+
+
+def goals(model: Booster, df: DataFrame) -> DataFrame:
+    """df with xG, the probability of a goal; every row gets one."""
+    if 1 not in model.classes:
+        return df.withColumn("xG", F.lit(0.0))
+    return boosting.predict(model, df, "_p").withColumn("xG", F.col("_p")[model.classes.index(1)]).drop("_p")
+
+
+def refit_boosted(df: DataFrame, columns: list[str], keep: Callable[[DataFrame], DataFrame], etas: list[float], params: Params | None = None) -> tuple[Booster, list[Booster], list[float]]:
+    """A model for each rate, their AUC on the valid rows, and first one of the best rate refitted on train and valid rows.
+
+    It takes as many rounds as were best for that rate.
+    """
+    models = boosted(df, columns, keep, [replace(params or Params(), eta=e) for e in etas])
+    aucs = [metrics.auc(goals(m, df.where("fold = 'valid'")), "is_goal", "xG").first()[0] or 0.0 for m in models]
+    best = max(range(len(etas)), key=lambda i: (aucs[i], -etas[i]))
+    both = boosting.bin_rows(df, columns, "is_goal", KEYS, keep, train="fold in ('train', 'valid')", valid="false")
+    (model,) = boosting.fit(both, [replace(models[best].params, rounds=max(models[best].best, 1))])
+    return model, models, aucs
+
+
+def tuned(df: DataFrame, columns: list[str], keep: Callable[[DataFrame], DataFrame], trials: int, together: int = 4, seconds: float | None = None, params: Params | None = None, seed: int = 71) -> tuple[Booster, list[tuning.Trial]]:
+    """The best model of an adaptive search over seven parameters of the trees, and all trials."""
+    base = params or Params()
+    binned = boosting.bin_rows(df, columns, "is_goal", KEYS, keep)
+    return tuning.search(lambda chosen, stop, left: boosting.fit(binned, [replace(base, **c) for c in chosen], stop, left), tuning.TREES, trials, together, seconds, seed)
+
+
+_SOURCE = "_filled_"
+_VOID = "_null_"
+
+
+def _assembled(columns: list[str]) -> list[SQLTransformer | VectorAssembler]:
+    """Stages that make features of the columns, nulls as 0, followed by a column for each that is 1 where it is null."""
+    shown = ", ".join(f"coalesce(cast(`{c}` as double), 0d) as `{_SOURCE}{c}`, cast(`{c}` is null as double) as `{_VOID}{c}`" for c in columns)
+    inputs = [f"{kind}{c}" for kind in (_SOURCE, _VOID) for c in columns]
+    return [SQLTransformer(statement=f"select *, {shown} from __THIS__"), VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
 def goal_pipeline(columns: list[str], eta: float = 0.1, rounds: int = 20, depth: int = 4, seed: int = 66) -> Pipeline:
     """Boosted trees over the columns; rows with valid = true stop the boosting early."""
-    assemble = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
     trees = GBTClassifier(labelCol="is_goal", stepSize=eta, maxIter=rounds, maxDepth=depth, seed=seed, validationIndicatorCol="valid")
-    return Pipeline(stages=[assemble, trees])
+    return Pipeline(stages=[*_assembled(columns), trees])
 
 
 def train(df: DataFrame, columns: list[str], **params: float) -> PipelineModel:
@@ -67,10 +128,9 @@ def refit(df: DataFrame, columns: list[str], etas: list[float], **params: float)
     rates = sweep(df, columns, etas, **params)
     best = rates.agg(F.max_by("eta", F.struct("auc", -F.col("eta")))).first()[0]  # one row for each rate
     rows = df.where(F.col("fold").isin("train", "valid"))
-    assemble = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip")
     kept = {"rounds": "maxIter", "depth": "maxDepth", "seed": "seed"}
     trees = GBTClassifier(labelCol="is_goal", stepSize=best, **{kept[k]: v for k, v in params.items()})
-    return Pipeline(stages=[assemble, trees]).fit(rows), rates
+    return Pipeline(stages=[*_assembled(columns), trees]).fit(rows), rates
 
 
 def search(df: DataFrame, columns: list[str], seed: int = 66, **values: list[float]) -> PipelineModel:
@@ -80,7 +140,7 @@ def search(df: DataFrame, columns: list[str], seed: int = 66, **values: list[flo
     minInfoGain, maxBins.
     """
     pipe = goal_pipeline(columns, seed=seed)
-    trees = pipe.getStages()[1]
+    trees = pipe.getStages()[-1]
     grid = ParamGridBuilder()
     for name, candidates in values.items():
         grid = grid.addGrid(trees.getParam(name), candidates)
@@ -92,7 +152,8 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """df with xG, the probability of a goal, between 0 and 1."""
     df = df if "valid" in df.columns else df.withColumn("valid", F.lit(False))
     out = model.transform(df).withColumn("xG", vector_to_array("probability")[1])
-    return out.drop("features", "rawPrediction", "probability", "prediction", "valid")
+    made = [c for c in out.columns if c.startswith((_SOURCE, _VOID))]
+    return out.drop("features", "rawPrediction", "probability", "prediction", "valid", *made)
 
 
 def importance(spark: SparkSession, model: PipelineModel, columns: list[str], top: int | None = 10) -> DataFrame:
@@ -104,9 +165,9 @@ def importance(spark: SparkSession, model: PipelineModel, columns: list[str], to
         while nodes:
             n = nodes.pop()
             if n.subtreeDepth() > 0:
-                splits.setdefault(n.split().featureIndex(), []).append(float(n.impurityStats().count()))
+                splits.setdefault(n.split().featureIndex() % len(columns), []).append(float(n.impurityStats().count()))
                 nodes += [n.leftChild(), n.rightChild()]
-    gain = trees.featureImportances.toArray()
+    gain = trees.featureImportances.toArray().reshape(2, -1).sum(0)  # of a column and of its nulls
     rows = [(c, float(g), len(x := splits.get(i, [])), sum(x) / len(x) if x else 0.0) for i, (c, g) in enumerate(zip(columns, gain, strict=True))]
     out = spark.createDataFrame(rows, "feature string, gain double, weight long, cover double").orderBy(F.desc("gain"), "feature")
     return out if top is None else out.limit(top)

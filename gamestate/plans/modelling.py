@@ -1,25 +1,37 @@
-"""Model queries: imputed shot types, a trained and scored model, importances. No SQL says the same."""
+"""Model queries: imputed shot types, a model of each split, learning curves, search, importances. No SQL says the same.
+
+A split's frame is written once and read by each fit; the models take all numeric columns of their split.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamestate.operators import features, metrics, models
+from gamestate.operators import boosting, features, metrics, models
+from gamestate.operators.boosting import Params
 from gamestate.plans import synthetic
 from gamestate.plans.domain import KEYS, shots
 from gamestate.plans.registry import query
 from gamestate.plans.storage import kept
 
-_IMPUTE = ["x_abs", "y_abs", "event_distance", "event_angle", "seconds_since_last", "distance_from_last"]
-_INPUT = ["event_distance", "event_angle", "seconds_since_last", "distance_from_last", "x_abs", "y_abs", "is_home", "same_team_last", "off_wing", *features.SHOT_COLUMNS]
+ETAS = [0.02, 0.05, 0.1, 0.3]
+
+
+def columns_of(name: str) -> list[str]:
+    return features.model_columns(name)
+
+
+def _framed(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, boosting.Booster | None]:
+    df = kept(features.prepare(features.split(shots(spark, sf_dir), name), synthetic.roster(spark, sf_dir), name))
+    inputs = [c for c in columns_of(name) if c not in features.SHOT_COLUMNS]
+    df, model = models.impute_types(df, inputs, kept)
+    return kept(features.shot_types(df, "event_detail").withColumn("fold", models.fold(20242025))), model
 
 
 def prepared(spark: SparkSession, sf_dir: str, name: str = "EV") -> DataFrame:
     """The frame of a split as a table: every fit, and every round of one, reads it again."""
-    df = kept(features.prepare(features.split(shots(spark, sf_dir), name), synthetic.roster(spark, sf_dir), name))
-    df = features.shot_types(models.impute_types(df, _IMPUTE), "event_detail")
-    return kept(df.withColumn("fold", models.fold(20242025)))
+    return _framed(spark, sf_dir, name)[0]
 
 
 @query()
@@ -27,30 +39,70 @@ def impute_shot_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark, sf_dir).select(*KEYS, "secondary_type", "event_detail")
 
 
+@query()
+def impute_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loss of softmax boosting on its train and held-out rows by round."""
+    return boosting.curve(spark, [_framed(spark, sf_dir, "EV")[1]]).drop("seconds")
+
+
+def _scored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = prepared(spark, sf_dir, name)
+    (model,) = models.boosted(df, columns_of(name), kept, [Params()])
+    return models.goals(model, df)
+
+
 @query()
 def xg_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = prepared(spark, sf_dir)
-    model = models.train(df, _INPUT)
-    return models.score(model, df).select(*KEYS, "fold", "is_goal", F.col("xG"))
+    return _scored(spark, sf_dir, "EV").select(*KEYS, "fold", "is_goal", "xG")
+
+
+@query()
+def xg_train_score_pp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, "PP").select(*KEYS, "fold", "is_goal", "xG")
+
+
+@query()
+def xg_train_score_sh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, "SH").select(*KEYS, "fold", "is_goal", "xG")
+
+
+@query()
+def xg_train_score_en(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, "EN").select(*KEYS, "fold", "is_goal", "xG")
 
 
 @query()
 def importance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = prepared(spark, sf_dir)
-    return models.importance(spark, models.train(df, _INPUT), _INPUT)
+    (model,) = models.boosted(prepared(spark, sf_dir), columns_of("EV"), kept, [Params()])
+    return boosting.importance(spark, model).orderBy(F.desc("gain"), "feature").limit(10)
+
+
+@query()
+def eta_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learning curves of several rates, trained in the same passes; a rate ends when its valid loss stops falling."""
+    every = models.boosted(prepared(spark, sf_dir), columns_of("EV"), kept, [Params(eta=e) for e in ETAS])
+    return boosting.curve(spark, every)
 
 
 @query()
 def refit_best_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUC of each learning rate on the valid rows, and on the test rows that of the model refitted at the best one."""
     df = prepared(spark, sf_dir)
-    model, rates = models.refit(df, _INPUT, [0.05, 0.3], rounds=8)
-    scored = models.score(model, df.where("fold = 'test'")).select("is_goal", "xG")
+    model, every, aucs = models.refit_boosted(df, columns_of("EV"), kept, ETAS)
+    rates = spark.createDataFrame([(m.params.eta, a, m.best) for m, a in zip(every, aucs, strict=True)], "eta double, auc double, rounds int")
+    scored = models.goals(model, df.where("fold = 'test'")).select("is_goal", "xG")
     return rates.crossJoin(metrics.auc(scored, "is_goal", "xG").withColumnRenamed("auc", "test_auc"))
 
 
+@query()
+def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trials of an adaptive search over seven parameters of the trees, at a fixed rate."""
+    _, trials = models.tuned(prepared(spark, sf_dir), columns_of("EV"), kept, 16, together=4, params=Params(eta=0.3, rounds=40, patience=5))
+    shown = "trial int, coarse boolean, depth int, min_child_weight int, max_delta_step int, subsample double, colsample double, alpha double, valid_logloss double, rounds int, state string, seconds double"
+    return spark.createDataFrame([(t.number, *(t.params[k] for k in ("coarse", "depth", "min_child_weight", "max_delta_step", "subsample", "colsample", "alpha")), t.loss, t.rounds, t.state, t.seconds) for t in trials], shown)
+
+
 @query()
 def xg_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plotted tables of a model: the density of xG by outcome."""
-    df = prepared(spark, sf_dir)
-    return metrics.density(models.score(models.train(df, _INPUT), df), "is_goal", "xG")
+    return metrics.density(_scored(spark, sf_dir, "EV"), "is_goal", "xG")

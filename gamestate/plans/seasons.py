@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gamestate.functions.core import GAME
 from gamestate.operators import features, game, models, onice, schedule
+from gamestate.operators.boosting import Booster
 from gamestate.sources import landed, sinks
 
 SPLITS = ("EV", "PP", "SH", "EN")
@@ -65,9 +66,9 @@ def predictions(scored: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def score_events(pbp: DataFrame, frames: dict[str, DataFrame], fitted: dict[str, PipelineModel]) -> DataFrame:
+def score_events(pbp: DataFrame, frames: dict[str, DataFrame], fitted: dict[str, Booster | PipelineModel]) -> DataFrame:
     """Events with the xG of each split that a shot belongs to."""
-    scored = {s: models.score(fitted[s], frames[s]) for s in fitted}
+    scored = {s: models.goals(m, frames[s]) if isinstance(m, Booster) else models.score(m, frames[s]) for s, m in fitted.items()}
     slim = None
     for df in scored.values():
         part = df.select(*models.KEYS, "strength_type", "is_goal", "event_distance", "event_angle")
