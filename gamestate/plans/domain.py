@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from gamestate.functions.core import clock_seconds, padded
 from gamestate.operators import features, game, onice
 from gamestate.plans import synthetic, twins
 from gamestate.plans.registry import query, shown, sql_rounded, sql_shown, table
+from gamestate.plans.storage import kept
+from gamestate.sources import layout
 
 ON = {"home": ["home_on"], "away": ["away_on"]}
 KEYS = ["season", "game_id", "event_idx"]
@@ -133,6 +137,20 @@ def onice_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(onice.on_ice(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir)), _OI)
 
 
+@query(twins.on_ice() + f"SELECT {sql_shown(_OI)} FROM oi")
+def onice_slots_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over tables laid out by game: no row moves between the scan and the result."""
+    names = [f"{n}_{uuid.uuid4().hex}" for n in ("events", "shifts")]
+    try:
+        with layout.in_place(spark):
+            events = layout.by_game(synthetic.pbp(spark, sf_dir), names[0], 8, ["event_idx"])
+            shifts = layout.by_game(synthetic.shifts(spark, sf_dir), names[1], 8, ["period", "start_s"])
+            return kept(shown(onice.on_ice(events, shifts), _OI))
+    finally:
+        for n in names:
+            spark.sql(f"drop table if exists {n}")
+
+
 @query(
     twins.on_ice()
     + "SELECT season, game_id, period, CAST(count(*) FILTER (WHERE d_home_skater IS NULL AND NOT boundary) AS BIGINT) AS holes, CAST(count(*) FILTER (WHERE lst) AS BIGINT) AS last_of_second, CAST(count(*) FILTER (WHERE d_away_goalie LIKE 'G%') AS BIGINT) AS with_goalie FROM oi2 GROUP BY ALL"

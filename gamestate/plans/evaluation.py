@@ -39,6 +39,15 @@ def score_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.density(scored(spark, sf_dir)).select("label", "bin", rounded("from"), rounded("density"))
 
 
+@query(
+    _with()
+    + f"""SELECT label, round(i / 100.0, 2) AS "at", {sql_rounded('sum(n * exp(-0.5 * power((i / 100.0 - bin / 1000.0) / h, 2)) / (total * h * sqrt(2 * pi())))', 'density')}
+    FROM (SELECT label, CAST(round(score * 1000) AS INTEGER) AS bin, CAST(count(*) AS DOUBLE) AS n FROM sc GROUP BY ALL) JOIN (SELECT label, count(*) AS total, stddev_samp(score) * power(count(*), -0.2) AS h FROM sc GROUP BY label) USING (label), range(0, 101) AS g(i) GROUP BY label, i"""
+)
+def kernel_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.kde(scored(spark, sf_dir)).select("label", F.round("at", 2).alias("at"), rounded("density"))
+
+
 @query(_with() + f"SELECT {sql_rounded('-avg(label * ln(score) + (1 - label) * ln(1 - score))', 'logloss')} FROM sc")
 def logloss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.logloss(scored(spark, sf_dir)).select(rounded("logloss"))

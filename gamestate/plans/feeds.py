@@ -9,6 +9,8 @@ from gamestate.operators import game, onice, schedule
 from gamestate.plans.registry import query, table
 from gamestate.plans.storage import folder
 from gamestate.sources import landed
+from gamestate.sources.lines import LandedLines
+from gamestate.streaming import incremental
 
 
 def _land(docs: DataFrame, broken: int = 0) -> str:
@@ -35,7 +37,7 @@ def _team(side: str, number: str, score: str) -> F.Column:
     FROM orders WHERE o_orderkey % 4 IN (2, 3)"""
 )
 def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schedule documents, one for each day; games of other kinds than season and playoffs, and broken lines, go."""
+    """Schedule documents of a day, as many as its games fill; games of other kinds than season and playoffs, and broken lines, go."""
     start = F.date_format(F.col("o_orderdate") + F.expr("make_interval(0, 0, 0, 0, o_orderkey % 24, 0, 0)"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     state = F.when(F.col("o_orderstatus") == "F", "Final").otherwise(F.col("o_orderstatus"))
     g = F.struct(
@@ -49,7 +51,8 @@ def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         _team("h", "(o_orderkey % 32)", "cast(null as int)").alias("homeTeam"),
         F.lit("not declared").alias("extra"),
     )
-    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.collect_list(g).alias("games"))
+    part = F.expr("o_orderkey div 1000")  # a document holds games of so many keys at most
+    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day"), part).agg(F.collect_list(g).alias("games"))
     path = _land(days.select(F.array(F.struct(F.col("day").cast("string").alias("date"), "games")).alias("gameWeek")), broken=3)
     out = schedule.games(landed.good(landed.schedules(spark, path)), "plays/{}.json", "shifts/{}")
     return out.drop("start_time_utc")
@@ -81,10 +84,10 @@ def _people(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
 
 @query(f"SELECT CAST(20232024 AS BIGINT) AS season, 'N' || c_nationkey AS team, {_WHO} FROM customer")
 def landed_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roster documents, one for each team and kind of position."""
+    """Roster documents of a team and kind of position, as many as its people fill."""
     p = _people(spark, sf_dir, "id").withColumn("kind", F.expr("case code when 'G' then 'goalies' when 'D' then 'defensemen' else 'forwards' end"))
     person = F.struct("id", "firstName", "lastName", "sweaterNumber", F.col("code").alias("positionCode"), "shootsCatches", "birthStateProvince")
-    docs = p.groupBy("c_nationkey", "kind").agg(F.collect_list(person).alias("people"))
+    docs = p.groupBy("c_nationkey", "kind", F.expr("c_custkey div 10000")).agg(F.collect_list(person).alias("people"))
     docs = docs.select(F.lit(20232024).alias("season"), F.concat(F.lit("N"), "c_nationkey").alias("team"), F.create_map("kind", "people").alias("positions"))
     return schedule.roster(landed.good(landed.rosters(spark, _land(docs, broken=2)))).select(_SHOWN)
 
@@ -158,6 +161,19 @@ def landed_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("game_id", "player_id", "player_name", "period", "period_start_seconds", "period_end_seconds", "game_start_seconds")
 
 
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that land twice, read as a stream by the package's own source, each once by a state that forgets."""
+    spark.dataSource.register(LandedLines)
+    path, out = folder(spark), folder(spark)
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    e.select(F.to_json(F.struct("*")).alias("value")).union(e.select(F.to_json(F.struct("*")).alias("value"))).write.text(path)
+    lines = spark.readStream.format("landed").load(path)
+    rows = incremental.once(landed.parsed(lines, "event_id long, user_id long, event_type string, ts timestamp"), ["event_id"], "ts", "1 day")
+    rows.select("event_id", "user_id", "event_type").writeStream.format("parquet").option("checkpointLocation", folder(spark)).option("path", out).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("event_id long, user_id long, event_type string").parquet(out)
+
+
 @query("SELECT 'players' AS feed, CAST(count(*) + 5 AS BIGINT) AS documents, CAST(5 AS BIGINT) AS bad, CAST(5 AS BIGINT) AS set_aside, CAST(count(*) AS BIGINT) AS loaded FROM customer")
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a load, observed while it runs, and the side table of its bad records."""

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gamestate.functions.core import whole
 from gamestate.operators import game
 from gamestate.plans import synthetic
+from gamestate.operators.running import running
 from gamestate.plans.registry import query, table
+from gamestate.plans.storage import kept
 
 _P = f"WITH {synthetic.PBP_SQL} "
 
@@ -246,3 +248,20 @@ def incremental_antijoin_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = e.join(F.broadcast(middle), F.col("event_id") < F.col("m")).select("event_id", "user_id", "event_type", F.lit("old").alias("load"))
     new = e.select("event_id", "user_id", "event_type", F.lit("new").alias("load"))
     return append_new(old, new, ["event_id"])
+
+
+@query(
+    _P
+    + """SELECT event_id, sum(CASE WHEN event_type = 'FACEOFF' THEN 1 ELSE 0 END) OVER w AS face_index, sum(CASE WHEN event_type = 'PENALTY' THEN 1 ELSE 0 END) OVER w AS pen_index,
+    sum(CASE WHEN changed THEN 1 ELSE 0 END) OVER w AS home_shift_index, last_home
+    FROM (SELECT *, lag(home_on) OVER (ORDER BY season, game_id, event_idx) AS last_home, home_on IS DISTINCT FROM lag(home_on) OVER (ORDER BY season, game_id, event_idx) AS changed FROM syn_pbp)
+    WINDOW w AS (ORDER BY season, game_id, event_idx ROWS UNBOUNDED PRECEDING)"""
+)
+def global_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that run over all games and seasons, and the row before each, across games too."""
+    order = ["season", "game_id", "event_idx"]
+    df = synthetic.pbp(spark, sf_dir).select("event_id", *order, "event_type", "home_on")
+    df = running(df, order, kept, previous={"last_home": "home_on"})
+    sums = {"face_index": F.col("event_type") == "FACEOFF", "pen_index": F.col("event_type") == "PENALTY", "home_shift_index": ~F.col("home_on").eqNullSafe(F.col("last_home"))}
+    out = running(df, order, kept, {k: c.cast("long") for k, c in sums.items()})
+    return out.select("event_id", *sums, "last_home")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamestate.plans.registry import query, table
-from gamestate.sources import sinks
+from gamestate.sources import sinks, snapshots, variants
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -67,3 +67,33 @@ def append_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (rows.where(F.col("season") <= mid), rows.where(F.col("season") >= mid), rows):
         sinks.append(part, path, ["season", "o_orderkey"], "season")
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "season")
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, 1 AS version FROM supplier UNION ALL SELECT * FROM (SELECT s_suppkey, s_name, 2 FROM supplier UNION SELECT c_custkey, c_name, 2 FROM customer)")
+def snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is read, changed and written as a new version, while the old one stays readable."""
+    path = folder(spark)
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    snapshots.update(spark, path, lambda old: s)
+    snapshots.update(spark, path, lambda old: old.union(c).distinct())
+    return snapshots.read(spark, path, 1).withColumn("version", F.lit(1)).union(snapshots.read(spark, path, 2).withColumn("version", F.lit(2)))
+
+
+@query(
+    """SELECT 'details.k2' AS path, 'BIGINT' AS kind, count(*) AS documents, CAST(sum(event_id % 7) AS BIGINT) AS total FROM events WHERE event_id % 3 = 0
+    UNION ALL SELECT 'plays[].mood', 'STRING', count(*), CAST(NULL AS BIGINT) FROM events
+    UNION ALL SELECT 'venue', 'OBJECT<id: BIGINT>', count(*), CAST(sum(user_id) AS BIGINT) FROM events WHERE event_id % 2 = 0"""
+)
+def undeclared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that landed documents hold and no schema declares, with what they hold."""
+    e = table(spark, sf_dir, "events")
+    details = F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.when(F.col("event_id") % 3 == 0, F.col("event_id") % 7).alias("k2"))
+    plays = F.array(F.struct("event_type", F.concat(F.lit("m"), "user_id").alias("mood")))
+    venue = F.when(F.col("event_id") % 2 == 0, F.struct(F.col("user_id").alias("id")))
+    path = folder(spark)
+    e.select(F.to_json(F.struct("event_id", details.alias("details"), plays.alias("plays"), venue.alias("venue"))).alias("value")).write.text(path)
+    docs = variants.documents(spark, path)
+    declared = spark.createDataFrame([], "event_id long, details struct<k:int>, plays array<struct<event_type:string>>").schema
+    sums = docs.agg(F.sum(variants.get("details.k2", "long")).alias("details.k2"), F.sum(variants.get("venue.id", "long")).alias("venue")).unpivot([], ["`details.k2`", "venue"], "path", "total")
+    return variants.undeclared(docs, declared).join(F.broadcast(sums.withColumn("path", F.regexp_replace("path", "`", ""))), "path", "left")

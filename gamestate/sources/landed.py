@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 from gamestate.schemas import PBP_JSON, PBP_RAW, PLAYER_JSON, ROSTER_JSON, SCHEDULE_JSON, SHIFT_JSON
 
 
+def parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """The documents of lines (value), in batches or of a stream."""
+    doc = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return lines.where("trim(value) <> ''").select(doc.alias("d")).select("d.*")
+
+
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return spark.read.text(path).where("trim(value) <> ''").select(parsed.alias("d")).select("d.*")
+    return parsed(spark.read.text(path), schema)
 
 
 def schedules(spark: SparkSession, path: str) -> DataFrame:
@@ -37,9 +42,13 @@ def shifts(spark: SparkSession, path: str) -> DataFrame:
 
 def pbp(spark: SparkSession, path: str) -> DataFrame:
     """One row per play with the header of its game, in the declared raw columns."""
+    return plays(_read(spark, path, PBP_JSON))
+
+
+def plays(docs: DataFrame) -> DataFrame:
+    """The rows of pbp from documents in its declared type."""
     from gamestate.operators.game import conform
 
-    docs = _read(spark, path, PBP_JSON)
     plays = docs.select("id", "season", "gameDate", "gameType", F.col("awayTeam.id").alias("away_id"), F.col("awayTeam.abbrev").alias("away_abbrev"), F.col("homeTeam.id").alias("home_id"), F.col("homeTeam.abbrev").alias("home_abbrev"), F.explode("plays").alias("p"))
     own = [f.name for f in plays.schema["p"].dataType.fields if f.name not in ("periodDescriptor", "details", "typeCode")]
     inner = plays.schema["p"].dataType["details"].dataType.fieldNames()
@@ -88,5 +97,5 @@ def seasons(spark: SparkSession, path: str, first: int | None = None, last: int
 
 def pairs_to_load(teams: DataFrame, season_ids: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Every team and season, without those already known; both inputs are dimension tables."""
-    every = teams.select("team").distinct().na.drop().crossJoin(F.broadcast(season_ids.select("season").distinct().na.drop()))
+    every = teams.select("team").distinct().na.drop().crossJoin(season_ids.select("season").distinct().na.drop())
     return every if known is None else every.join(known.select("team", "season").distinct(), ["team", "season"], "left_anti")
