@@ -10,7 +10,7 @@ from gamestate.plans.registry import query, table
 from gamestate.plans.storage import folder
 from gamestate.sources import landed
 from gamestate.sources.lines import LandedLines
-from gamestate.streaming import incremental
+from gamestate.streaming import incremental, progress
 
 
 def _land(docs: DataFrame, broken: int = 0) -> str:
@@ -185,3 +185,18 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = spark.createDataFrame([("players", seen.get["documents"], seen.get["bad"])], "feed string, documents long, bad long")
     counts = loaded.agg(F.count("*").alias("loaded")).crossJoin(spark.read.parquet(aside).agg(F.count("*").alias("set_aside")))
     return row.crossJoin(counts).select("feed", "documents", "bad", "set_aside", "loaded")
+
+
+@query()
+def load_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, games and seconds of each batch of a stream that loads the events' files."""
+    path, loads = folder(spark), progress.Loads()
+    table(spark, sf_dir, "events").repartition(4).select(F.to_json(F.struct("event_id", "user_id")).alias("value")).write.text(path)
+    spark.streams.addListener(loads)
+    try:
+        docs = progress.measured(incremental.stream(spark, path, "event_id long, user_id long", files=2), "user_id")
+        docs.writeStream.queryName("events").format("parquet").option("checkpointLocation", folder(spark)).option("path", folder(spark)).trigger(availableNow=True).start().awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return loads.take(spark)
+    finally:
+        spark.streams.removeListener(loads)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gamestate.operators import metrics, models, schedule
+from gamestate.plans import feeds
 from gamestate.sources import landed
 
 PLAYER = {"playerId": 8, "currentTeamAbbrev": "ABC", "firstName": {"default": "Jo"}, "lastName": {"default": "Doe"}, "position": "D", "shootsCatches": "R", "birthCity": {"default": "X"}, "birthCountry": "Y"}
@@ -35,6 +36,13 @@ def test_bad_records_go_aside_and_are_counted(spark, players, tmp_path):
     assert [r["_corrupt_record"] for r in spark.read.parquet(aside).collect()] == ["{broken"] * 2
 
 
+def test_load_speed_of_each_batch(spark, tiny):
+    rows = feeds.load_speed(spark, tiny).collect()
+    events = spark.read.parquet(f"{tiny}/events.parquet")
+    assert len(rows) == 2 and sum(r["rows"] for r in rows) == events.count() and [r["batch"] for r in rows] == [0, 1]
+    assert all(r["seconds"] > 0 and r["rows_a_second"] == pytest.approx(r["rows"] / r["seconds"]) and r["games_a_minute"] > 0 and r["query"] == "events" for r in rows)
+
+
 @pytest.fixture(scope="module")
 def frame(spark):
     df = spark.range(2400).select(F.lit(20232024).alias("season"), (F.col("id") % 60).alias("game_id"), F.col("id").alias("event_idx"), ((F.col("id") * 7919) % 101).cast("double").alias("a"), ((F.col("id") * 104729) % 13).cast("double").alias("b"), F.lit(1.0).alias("c"))
