@@ -13,7 +13,8 @@ equally likely; text in another language or script lands there.
 
 A row is accepted if it has letters, its language is known and its posterior is at least ACCEPT. Defined results: null,
 empty or letterless text is UNKNOWN and not accepted; a null or malformed address has the empty host, domain and
-suffix; a missing or foreign declaration counts as such; the labels "", "?" and UNKNOWN are none; repeated rows repeat.
+suffix; a missing or foreign declaration counts as such; the labels "", "?" and UNKNOWN are none; repeated rows repeat; of
+equal posteriors the first class by name counts. Texts and pages are read whole in a time in proportion to their length.
 """
 
 from __future__ import annotations
@@ -42,18 +43,44 @@ MANY_HOSTS = 20_000
 _HASHES = 1 << 53
 _LETTER = "[\\p{L}\\p{Nl}\\p{No}]"  # what _GAP leaves of a text
 _GAP = re.compile(r"[\W\d_]+")
-_SKIP = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
+_OPEN = re.compile(r"<!--|<(script|style)\b", re.I)
+_CLOSE = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style")} | {None: re.compile("-->")}
 _TAG = re.compile(r"<[^>]*>")
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+
+
+def _shown(page: str) -> str:
+    """A page without comments, scripts and styles; what is never closed stays. One pass: a kind without an end is looked for once."""
+    out, kept, at, lost = [], 0, 0, set()
+    while m := _OPEN.search(page, at):
+        kind = m[1] and m[1].lower()
+        end = None if kind in lost else _CLOSE[kind].search(page, m.end())
+        if end is None:
+            lost.add(kind)
+            at = m.end()
+            continue
+        out.append(page[kept : m.start()])
+        kept = at = end.end()
+    return " ".join([*out, page[kept:]])
 
 
 def page_text(page: str) -> str:
-    return html_lib.unescape(_TAG.sub(" ", _SKIP.sub(" ", page)))
+    """The text of a page, in a time that its length bounds: tags are looked for up to the last one's end."""
+    shown = _shown(page)
+    end = shown.rfind(">") + 1
+    return html_lib.unescape(_TAG.sub(" ", shown[:end]) + shown[end:])
 
 
 def declared_in(page: str) -> str | None:
-    m = _LANG.search(page)
-    return m[1].lower() if m else None
+    """The language that an html tag declares; a tag is looked at once, up to its end."""
+    at = 0
+    while m := _HTML.search(page, at):
+        at = page.find(">", m.end())
+        at = len(page) if at < 0 else at
+        if found := _LANG.search(page, m.end(), at):
+            return found[1].lower()
+    return None
 
 
 def trigrams(text: str) -> np.ndarray:
