@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +84,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def move_new(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder to a name that nobody has yet; False, and nothing happens, if it is taken."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.getFileSystem(conf).getUri(), conf)
+    try:
+        context.rename(source, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or exists(spark, to):
+            return False
+        raise
+    return True
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of (u, v) by alternating large-star and small-star steps.
 

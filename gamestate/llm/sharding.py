@@ -3,7 +3,9 @@
 A record's slot is a hash of its doc_id, one of SLOTS. Bytes and rows are summed per slot, and a map from slots to
 shards is kept at a path, one folder for each version. The first version deals slots out largest first to the shard that
 has the fewest bytes. Every later run reads the latest version, edits it where bytes have moved or shards were added, and
-writes the next one; slots move, records keep their slots, and all versions stay readable. Only the map's SLOTS rows are
+writes the next one; slots move, records keep their slots, and all versions stay readable. So a repeated run may depend on
+what earlier ones left at the path. A version is written apart and then renamed, which fails if another run was first; then
+the newer version is read and edited. A run that ends before the rename leaves no version. Only the map's SLOTS rows are
 ever on the driver, whatever the number of records.
 
 An id that alone holds more than HOT of a shard's fair share (a bounded number of ids can) is spread: its rows are hashed
@@ -17,11 +19,13 @@ doc_id and text are not looked at. A single row above the fair share stays whole
 from __future__ import annotations
 
 import heapq
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gamestate.llm.common import exists, materialize
+from gamestate.llm.common import exists, materialize, move_new
 
 SLOTS = 8192
 OVERHEAD = 16
@@ -65,7 +69,17 @@ def spread_hot(records: DataFrame, shards: int, slots: int = SLOTS) -> DataFrame
 
 def versions(spark: SparkSession, path: str) -> DataFrame | None:
     """All versions of the map at path, with the column version; None where there is none."""
-    return spark.read.schema(f"{MAP}, version int").parquet(path) if exists(spark, path) else None
+    complete = [f"{path}/version={v}" for v in _numbers(spark, path) if exists(spark, f"{path}/version={v}/_SUCCESS")]
+    return spark.read.schema(f"{MAP}, version int").option("basePath", path).parquet(*complete) if complete else None
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """The versions that have a folder, complete or not."""
+    if not exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return [int(m[1]) for n in names if (m := re.fullmatch(r"version=(\d+)", n))]
 
 
 def read_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
@@ -123,7 +137,17 @@ def edited(shard_of: dict[int, int], sizes: dict[int, tuple[int, int]], shards:
 
 
 def rebalance(spark: SparkSession, sizes: DataFrame, shards: int, path: str) -> DataFrame:
-    """The map for these slot sizes: the latest version at path if nothing has changed, else a new version written there."""
+    """The map for these slot sizes: the latest version at path if nothing has changed, else a new version written there.
+
+    If another run writes that version meanwhile, its map is what is edited next.
+    """
+    while (done := _rebalanced(spark, sizes, shards, path)) is None:
+        pass
+    return done
+
+
+def _rebalanced(spark: SparkSession, sizes: DataFrame, shards: int, path: str) -> DataFrame | None:
+    """None if another run has taken the version."""
     now = {r["virtual_slot"]: (r["slot_bytes"], r["slot_rows"]) for r in sizes.collect()}  # one row for each slot
     before = read_map(spark, path)
     rows = before.collect() if before is not None else []
@@ -131,7 +155,7 @@ def rebalance(spark: SparkSession, sizes: DataFrame, shards: int, path: str) ->
     new = edited(old, now, shards) if rows else dealt(now, shards)
     if rows and new == old and now == {r["virtual_slot"]: (r["slot_bytes"], r["slot_rows"]) for r in rows}:
         return before
-    version = 1 + max((r["version"] for r in rows), default=0)
+    version = 1 + max(_numbers(spark, path), default=0)
     held: dict[int, int] = {}
     out = []
     for slot in sorted(new):
@@ -140,8 +164,12 @@ def rebalance(spark: SparkSession, sizes: DataFrame, shards: int, path: str) ->
         held[shard] = held.get(shard, 0) + count
     if not out and not rows:
         return spark.createDataFrame([], f"{MAP}, version int")
-    # fails where another run has written this version meanwhile; maps are never overwritten
-    spark.createDataFrame(out, MAP).coalesce(1).write.mode("errorifexists").parquet(f"{path}/version={version}")
+    beside = f"{path}/_new-{uuid.uuid4().hex}"
+    spark.createDataFrame(out, MAP).coalesce(1).write.parquet(beside)
+    if not move_new(spark, beside, f"{path}/version={version}"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(beside)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        return None
     return read_map(spark, path, version)
 
 
