@@ -36,7 +36,7 @@ from gamestate.llm.bpe import PATTERN, byte_letters, encoder, named_texts, own_i
 from gamestate.llm.common import materialize
 
 POOL_TOKENS = 4_000_000
-SEGMENTS = 256
+SEGMENTS = 256  # of examples; documents have no limit of their own, as a sequence can't hold more than it has tokens
 END = 1
 #: Above so many characters a text is encoded by bpe.Encoder, whose results are the same; tiktoken's pattern engine can give up.
 LONG = 200_000
@@ -135,9 +135,9 @@ def pack(
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack_documents(docs: DataFrame, path: str, limit: int = 2048, segments: int = SEGMENTS, most_loss: int | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, limit: int = 2048, segments: int | None = None, most_loss: int | None = None) -> DataFrame:
     """Pieces of every document's ids and the end id, in sequences of at most `limit` tokens."""
-    capacity = (limit, segments, most_loss or limit)
+    capacity = (limit, segments or limit, most_loss or limit)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, base = ids_of(path), TaskContext.get().partitionId() << 36
