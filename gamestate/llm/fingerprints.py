@@ -6,11 +6,14 @@ resemblance and containment from the K smallest of their union, and one sketch t
 
 Defined results: a null or blank text has no shingles and an empty sketch; a text with fewer words than a shingle is
 one shingle; two empty sketches are alike (1.0) and an empty one is unlike (0.0) any other. Words end at ASCII white
-space.
+space. A text of any length is sketched whole, in one row's memory. The next document of several with one doc_id is that of
+the next text hash; rows that repeat id and text follow each other.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -84,53 +87,75 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), digits, "0")), "")
 
 
-def _cut_points(docs: DataFrame, buckets: int) -> list[int]:
-    if buckets < 2:
-        return []
-    shares = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
-    found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(20 * buckets)).alias("p")).first()["p"]
-    return sorted(set(found or []))
+SUB = 8192  # numbers of ranges within one id
 
 
-def _place(doc_id: Column, cuts: list[int]) -> Column:
-    """Number of cut points up to doc_id, by a coarse and a fine look; nulls come first."""
-    if not cuts:
-        return F.lit(0)
-    step = max(1, int(len(cuts) ** 0.5))
-    longs = lambda values: F.expr(f"array({', '.join(f'{c}L' for c in values)})")
-    every = longs(cuts)
-    coarse = F.size(F.filter(longs(cuts[::step]), lambda c: c <= doc_id))
-    lo = F.greatest((coarse - 1) * step, F.lit(0))
-    fine = F.size(F.filter(F.slice(every, lo + 1, F.lit(step)), lambda c: c <= doc_id))
-    return F.when(doc_id.isNull(), 0).otherwise((lo + fine).cast("int"))
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.lit(17))
+
+
+def _cut_points(docs: DataFrame, buckets: int) -> tuple[list[int], dict[int | None, int]]:
+    """Ids at which ranges begin, and the ids (None: the null ids) so frequent that their texts' hashes cut them again, with the number of cuts."""
+    if buckets < 2:
+        return [], {}
+    shares = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
+    found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(20 * buckets)).alias("p"), F.count_if(F.col("doc_id").isNull()).alias("void"), F.count("*").alias("n")).first()
+    points = found["p"] or []
+    heavy: dict[int | None, int] = {i: n + 1 for i, n in Counter(points).items() if n > 1}
+    void = math.ceil(buckets * found["void"] / max(found["n"], 1))
+    return sorted(set(points)), {k: min(v, SUB - 2) for k, v in {**heavy, None: void}.items() if v > 1}
+
+
+def _place(doc_id: Column, text_hash: Column, cuts: list[int], heavy: dict[int | None, int]) -> Column:
+    """The number of a row's range, in the order of doc_id (nulls first) and of the text's hash where an id is frequent."""
+    base = F.lit(0)
+    if cuts:
+        step = max(1, int(len(cuts) ** 0.5))
+        longs = lambda values: F.expr(f"array({', '.join(f'{c}L' for c in values)})")
+        coarse = F.size(F.filter(longs(cuts[::step]), lambda c: c <= doc_id))
+        lo = F.greatest((coarse - 1) * step, F.lit(0))
+        base = 1 + lo + F.size(F.filter(F.slice(longs(cuts), lo + 1, F.lit(step)), lambda c: c <= doc_id))
+    share = F.shiftrightunsigned(text_hash.bitwiseXOR(F.lit(-(2**63))), 33)  # 31 bits, in the order of the hash
+    part = lambda n: F.shiftright(share * F.lit(n).cast("long"), 31).cast("int")
+    named = {k: v for k, v in heavy.items() if k is not None}
+    sub = F.lit(0)
+    if named:
+        pieces = F.create_map(*[F.lit(x) for k, v in named.items() for x in (k, v)])
+        own = F.element_at(pieces, doc_id)
+        # ids beyond a frequent one, in the range that it begins, come after its last part
+        starts = F.element_at(pieces, F.element_at(F.expr(f"array({', '.join(f'{c}L' for c in cuts)})"), F.greatest(base - 1, F.lit(1))))
+        sub = F.when(own.isNotNull(), part(1) + F.shiftright(share * own, 31).cast("int")).otherwise(F.when(base > 1, F.coalesce(starts, F.lit(0))).otherwise(0))
+    void = part(heavy[None]) if None in heavy else F.lit(0)
+    return F.when(doc_id.isNull(), void).otherwise(SUB + base * SUB + sub).cast("int")
 
 
 def edited_fingerprints(docs: DataFrame, width: int = WIDTH, k: int = K, buckets: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose second half gives way to the next document's beginning.
 
     Documents are dealt out in ranges of doc_id, so that the next document is a neighbour in its range; the first row
-    of each range is copied to the one before. Rows with equal or null doc_ids are ordered by their texts, nulls first.
+    of each range is copied to the one before. Rows with equal or null doc_ids are ordered by their texts' hashes, and an id
+    that many rows share is cut into ranges by them, so no range takes all of it.
     """
     spark = docs.sparkSession
     buckets = buckets or min(4096, 3 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = _cut_points(docs, buckets)
-    placed = own.withColumn("bucket", _place(F.col("doc_id"), cuts))
-    firsts = docs.select("doc_id").withColumn("bucket", _place(F.col("doc_id"), cuts)).groupBy("bucket").agg(
-        F.when(F.max(F.col("doc_id").isNull()), F.lit(None)).otherwise(F.min("doc_id")).alias("first")
-    )
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _text_hash().alias("h"))
+    cuts, heavy = _cut_points(docs, buckets)
+    placed = own.withColumn("bucket", _place(F.col("doc_id"), F.col("h"), cuts, heavy))
+    order = F.struct(F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), "h")
+    firsts = placed.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "h"), order).alias("first"))
     # one row a range: its first document is wanted by the range before it, round to the last
     ring = sorted((r for r in firsts.collect()), key=lambda r: r["bucket"])
-    wanted = [(r["first"], ring[i - 1]["bucket"]) for i, r in enumerate(ring)]
-    guests = [(d, b, i == 0) for i, (d, b) in enumerate(wanted)]
-    ghost = spark.createDataFrame(guests, "doc_id long, bucket int, wraps boolean")
-    copies = own.join(F.broadcast(ghost.withColumnRenamed("doc_id", "g")), F.col("doc_id").eqNullSafe(F.col("g")))
-    every = placed.select("doc_id", "text", "bucket", F.lit(0).alias("guest")).union(
-        copies.select("doc_id", "text", "bucket", F.when(F.col("wraps"), 2).otherwise(1))
+    guests = [(*r["first"], ring[i - 1]["bucket"], i == 0) for i, r in enumerate(ring)]
+    ghost = spark.createDataFrame(guests, "g long, gh long, bucket int, wraps boolean")
+    # rows that repeat a guest's id and text are one guest; names are looked at before texts are grouped
+    copies = own.join(F.broadcast(ghost), F.col("doc_id").eqNullSafe(F.col("g")) & (F.col("h") == F.col("gh")))
+    copies = copies.groupBy("doc_id", "h", "bucket", "wraps").agg(F.first("text").alias("text"))
+    every = placed.select("doc_id", "h", "text", "bucket", F.lit(0).alias("guest")).union(
+        copies.select("doc_id", "h", "text", "bucket", F.when(F.col("wraps"), 2).otherwise(1))
     )
     every = every.repartition("bucket").withColumn("sketch", sketch(F.col("text"), width, k))
     # guests stand last: the next range's first row, or the very first row behind the last
-    w = Window.partitionBy("bucket").orderBy("guest", F.asc_nulls_first("doc_id"), "text")
+    w = Window.partitionBy("bucket").orderBy("guest", F.asc_nulls_first("doc_id"), "h", "text")
     every = every.withColumns({"next_text": F.lead("text").over(w), "next_sketch": F.lead("sketch").over(w)}).where("guest = 0")
     edited = F.concat(F.expr("left(text, char_length(text) - char_length(text) div 2)"), F.expr("left(next_text, cast(char_length(text) div 2 as int))"))
     out = every.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "sketch", "next_sketch", edited.alias("edited"))
