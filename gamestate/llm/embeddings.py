@@ -6,7 +6,7 @@ every candidate pair is verified by its cosine in double precision. Lists are co
 pair only under the smallest pivot it shares, and a block pair gives sums and a spanning forest, never its pairs.
 
 The pivots come from a bounded sample (SAMPLE_PER_PIVOT times their number, those with the smallest id hashes), of
-which mutually close ones are passed over; their number follows the square root of the number of vectors, up to
+which mutually close ones, by the sample's own cosines, are passed over; their number follows the square root of the number of vectors, up to
 MAX_PIVOTS. Every vector is indexed, each dimension among pivots of its own, so vectors of different dimensions never meet.
 Components are kept as floats or doubles, as they come; lengths are taken out by the largest component first, so tiny and
 huge ones count.
@@ -43,10 +43,16 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
-    """The first n vectors of the sample that are not close to one chosen before."""
+    """The first n vectors of the sample that are not close to one chosen before.
+
+    How close that is follows from the sample: vectors that all lie in a cone are told apart by what they differ in.
+    """
+    some = sample[:512]
+    usual = float(np.median((some @ some.T)[np.triu_indices(len(some), 1)])) if len(some) > 1 else 0.0
+    apart = 1 - (1 - max(usual, 0.0)) * (1 - APART)
     chosen = np.empty((0, sample.shape[1]))
     for x in sample:
-        if not len(chosen) or (chosen @ x).max() < APART:
+        if not len(chosen) or (chosen @ x).max() < apart:
             chosen = np.vstack([chosen, x])
         if len(chosen) == n:
             break
