@@ -5,7 +5,8 @@ encoded once per task and remembered in a bounded memory. Results equal those of
 special tokens, truncation or padding; strings of special tokens inside a text become their ids, as there.
 
 Defined results: a null text counts as empty and has no tokens; rows are treated one by one, so repeated rows repeat
-their result; columns besides doc_id and text are not looked at.
+their result; columns besides doc_id and text are not looked at. A text of any length is encoded whole, in a time that
+grows with its length (and, within one pre-token, with its logarithm).
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 #: The pattern that cuts a text into pre-tokens before byte-level merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 REMEMBER = 200_000
+#: Longer pieces hardly come again; they are made anew, so that the memory is bounded in bytes too.
+LONGEST_KNOWN = 64
 
 
 def byte_letters() -> dict[int, str]:
@@ -42,6 +45,8 @@ class Memory(dict):
         self.make, self.bound, self.old = make, bound, {}
 
     def __missing__(self, piece):
+        if len(piece) > LONGEST_KNOWN:
+            return self.make(piece)
         value = self.old.get(piece)
         if value is None:
             value = self.make(piece)

@@ -74,7 +74,9 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 200_000:
             self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:  # longer ones hardly come again, and would fill the memory
+            self[word] = h
         return h
 
 
