@@ -12,7 +12,8 @@ with more identifiers leads, the paragraphs if equal; identifiers that only the
 rule spans the two parts.
 
 Defined results: a null, empty or blank text has no sentences and no licence; repeated rows repeat; columns besides
-doc_id and text are not looked at.
+doc_id and text are not looked at. A text of any length is cut up whole, within one row. Of rules that could use the same
+identifiers the first in order does. Exceptions that an SPDX line adds to a licence don't change its name.
 """
 
 from __future__ import annotations
@@ -83,6 +84,7 @@ GNU = [
     ("Gpl", "GPL", "GNU General Public License", ("2", "3"), ("gpl", "gnu gpl")),
     ("Lgpl", "LGPL", "GNU Lesser General Public License", ("2.1", "3"), ("lgpl", "gnu lgpl", "gnu lesser gpl")),
     ("Agpl", "AGPL", "GNU Affero General Public License", ("3",), ("agpl", "gnu agpl", "gnu affero gpl")),
+    ("LibGpl", "LGPL", "GNU Library General Public License", ("2",), ("library gpl", "gnu library gpl")),
 ]
 THINGS = ("program", "library", "software", "file")
 OPTION = "either version {} of the License, or (at your option) any later version"
@@ -104,6 +106,11 @@ NAMES = {
     "CC0-1.0": ("CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"),
     "Unlicense": ("Unlicense",),
     "WTFPL": ("WTFPL",),
+    "Artistic-2.0": ("Artistic License 2.0", "Artistic License, Version 2.0", "Artistic 2.0"),
+    "Artistic-1.0": ("Artistic License 1.0", "Artistic License, Version 1.0", "Artistic 1.0", "Artistic License"),
+    "EUPL-1.2": ("European Union Public License, Version 1.2", "European Union Public License 1.2", "EUPL 1.2", "EUPL v1.2", "EUPL, Version 1.2"),
+    "EUPL-1.1": ("European Union Public License, Version 1.1", "European Union Public License 1.1", "EUPL 1.1", "EUPL v1.1", "EUPL, Version 1.1"),
+    "PSF-2.0": ("Python Software Foundation License Version 2", "Python Software Foundation License", "PSF License Agreement", "PSF License", "PSF License Version 2"),
 }
 CC_PARTS = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
 CC_KINDS = ("BY", "BY-SA", "BY-NC", "BY-NC-SA", "BY-ND", "BY-NC-ND")
@@ -166,6 +173,13 @@ _TAIL = "(?: the license| at your option)+$"
 _SAYS = "^(?:(?:this|the|our) (?:project|work|software|program|library|file|code|source code|source|repository|package|module|document|documentation|text|content|article|page|dataset) is )?(?:also |dual |hereby )?(?:licensed|released|distributed|published|available|made available|provided|shared) under (?:the )?(?:terms of )?(?:either of |either |both )?(?:the |a |an )?"
 _TAG = "spdx license identifier:"
 _SPDX = "^spdx license identifier "
+#: A line that names its licence after a word and a colon says the same as a sentence.
+_FIELD = "(?m)^ ?license: ?"
+_FIELD_SAYS = "licensed under "
+#: What an SPDX line adds to a licence doesn't change its name.
+_EXCEPTION = "( with [a-z0-9. ]{1,60}(?:exception|note|exemption)(?: [0-9.]{1,4})?)+"
+#: Marks of quotes in texts that were pages.
+_MARKS = "&(?:quot|apos|lt|gt|nbsp|#34|#39|#x27|#x22);"
 _JOINED = " or (?:the )?| and (?:the )?"
 
 
@@ -202,9 +216,10 @@ def known() -> dict[str, str]:
             add(f"{short}Only{v}", f"{TERMS.format(full)}, version {v} of the License")
             licence = f"{spdx}-{_dotted(v)}"
             forms = [f"{n} {k}{w}" for n in (full.lower(), *names) for k in ("version ", "") for w in {v, _dotted(v)}]
-            for form in [*forms, f"{names[0]}v{v}", f"{names[1]}v{v}"]:
+            for form in [*forms, *(f"{n}v{w}" for n in names for w in (v, _dotted(v)))]:
                 named(f"{licence}-only", form)
                 named(f"{licence}-or-later", form + "+later")
+                named(f"{licence}-or-later", form + "+")
     for licence, names in NAMES.items():
         for n in names:
             named(licence, n)
@@ -213,6 +228,10 @@ def known() -> dict[str, str]:
         for v in CC_VERSIONS:
             for n in (f"CC {kind} {v}", f"Creative Commons {kind} {v}", f"Creative Commons {words} {v} License", f"Creative Commons {words} {v} International License", f"Creative Commons {words} {v} International", f"Creative Commons {words} {v} Unported License"):
                 named(f"CC-{kind}-{v}", n)
+    for _, spdx, _, versions, _ in GNU:  # identifiers without an end, as older files have them
+        for v in versions:
+            out["under spdx " + plain(f"{spdx}-{_dotted(v)}")] = f"{spdx}-{_dotted(v)}-only.name"
+            out["under spdx " + plain(f"{spdx}-{_dotted(v)}") + "+"] = f"{spdx}-{_dotted(v)}-or-later.name"
     for licence in _named_licences():
         out["under spdx " + plain(licence).replace(" or later", "+later")] = f"{licence}.name"
     return out
@@ -239,8 +258,8 @@ def _sentences(text: Column, joined: bool, paragraphs: bool = False) -> Column:
     low = F.replace(F.lower(text), F.lit(_SPELLED[0]), F.lit(_SPELLED[1]))
     if paragraphs:
         low = F.regexp_replace(F.regexp_replace(low, _COPYRIGHT, "$1\n\n"), _BLANK, " . ")
-    clean = F.regexp_replace(low, _NOISE if joined else _LINE_NOISE, " ")
-    clean = F.replace(clean, F.lit(_TAG), F.lit(_TAG[:-1]))
+    clean = F.regexp_replace(F.regexp_replace(low, _MARKS, " "), _NOISE if joined else _LINE_NOISE, " ")
+    clean = F.regexp_replace(F.replace(clean, F.lit(_TAG), F.lit(_TAG[:-1])), _FIELD, _FIELD_SAYS)
     clean = F.regexp_replace(F.regexp_replace(clean, _VERSION, "version $1"), _NAMED, _HOLDER)
     return F.transform(F.split(clean, _ENDS), lambda s: _stated(F.trim(s)))
 
@@ -248,6 +267,7 @@ def _sentences(text: Column, joined: bool, paragraphs: bool = False) -> Column:
 def _stated(s: Column) -> Column:
     says, spdx = s.rlike(_SAYS), s.rlike(_SPDX)
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(s, _SAYS, ""), _SPDX, ""), _LATER, "+later"), _TAIL, "")
+    bare = F.when(spdx, F.regexp_replace(bare, _EXCEPTION, "")).otherwise(bare)
     return F.when(says, F.concat(F.lit("under "), F.regexp_replace(bare, _JOINED, "\nunder "))).when(spdx, F.concat(F.lit("under spdx "), F.regexp_replace(bare, _JOINED, "\nunder spdx "))).otherwise(s)
 
 
@@ -299,11 +319,12 @@ def oracle() -> str:
         s = f"replace(lower(text), '{_SPELLED[0]}', '{_SPELLED[1]}')"
         if paragraphs:
             s = replaced(replaced(s, _COPYRIGHT, "\\1\n\n"), _BLANK, " . ")
-        s = replaced(s, _NOISE if joined else _LINE_NOISE, " ")
-        s = f"replace({s}, '{_TAG}', '{_TAG[:-1]}')"
+        s = replaced(replaced(s, _MARKS, " "), _NOISE if joined else _LINE_NOISE, " ")
+        s = replaced(f"replace({s}, '{_TAG}', '{_TAG[:-1]}')", _FIELD, _FIELD_SAYS)
         s = replaced(replaced(s, _VERSION, "version \\1"), _NAMED, _HOLDER)
         bare = replaced(replaced(replaced(replaced("trim(s)", _SAYS, ""), _SPDX, ""), _LATER, "+later"), _TAIL, "")
-        each = f"CASE WHEN regexp_matches(trim(s), {quoted(_SAYS)}) THEN 'under ' || {replaced(bare, _JOINED, chr(10) + 'under ')} WHEN regexp_matches(trim(s), {quoted(_SPDX)}) THEN 'under spdx ' || {replaced(bare, _JOINED, chr(10) + 'under spdx ')} ELSE trim(s) END"
+        spdx = replaced(bare, _EXCEPTION, "")
+        each = f"CASE WHEN regexp_matches(trim(s), {quoted(_SAYS)}) THEN 'under ' || {replaced(bare, _JOINED, chr(10) + 'under ')} WHEN regexp_matches(trim(s), {quoted(_SPDX)}) THEN 'under spdx ' || {replaced(spdx, _JOINED, chr(10) + 'under spdx ')} ELSE trim(s) END"
         split = f"list_transform(string_split_regex({s}, {quoted(_ENDS)}), lambda s: {each})"
         names = f"string_split(array_to_string({split}, chr(10)), chr(10))"
         return f"list_filter(list_transform({names}, lambda s: known[s]), lambda i: i IS NOT NULL)"
