@@ -11,8 +11,12 @@ permutation, which keeps days up to 12 and days above 12 apart, since only those
 before month). Dates with a written month keep its language and length and the digits of the day, and are permuted among
 the dates that are written alike; they aren't linked with numeric ones. Addresses of version 6 are permuted as written.
 
+The domain of an address stays, so mail of one provider can still be told from that of another: a domain that names a
+family or a firm of one person still points to them. Mask domains before this, if that matters.
+
 Defined results: a null text stays null, an empty one empty, with nothing found; text outside found values is
-untouched; repeated rows repeat; all other columns are kept as they are, but for one named spans, which gives way.
+untouched; repeated rows repeat; texts of any length are read whole, in a time in proportion to it (some 10 seconds for a
+megabyte of short numbers); all other columns are kept as they are, but for one named spans, which gives way.
 """
 
 from __future__ import annotations
@@ -105,9 +109,13 @@ def _refill(shape: str, digits: str) -> str:
     return re.sub("[0-9]", lambda _: next(it), shape)
 
 
+_TWICE = bytes(sum(divmod(2 * (c - 48), 10)) if 48 <= c < 58 else 0 for c in range(256))
+_ONCE = bytes(c - 48 if 48 <= c < 58 else 0 for c in range(256))
+
+
 def luhn_digit(body: str) -> str:
-    total = sum(sum(divmod(int(d) * (2 if i % 2 == 0 else 1), 10)) for i, d in enumerate(reversed(body)))
-    return str(-total % 10)
+    b = body.encode()
+    return str(-(sum(b[-1::-2].translate(_TWICE)) + sum(b[-2::-2].translate(_ONCE))) % 10)
 
 
 def _card(value: str, permute: Permute) -> str | None:
@@ -127,6 +135,9 @@ def iban_check(country: str, rest: str) -> str:
 
 
 def _iban(value: str, permute: Permute) -> str | None:
+    if value.islower():  # one case throughout
+        made = _iban(value.upper(), permute)
+        return made and made.lower()
     s = value.replace(" ", "")
     if not 15 <= len(s) <= 34 or iban_check(s[:2], s[4:]) != s[2:4]:
         return None
@@ -144,7 +155,7 @@ def _ssn(value: str, permute: Permute) -> str | None:
         return None
     rank = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
     rank, serial = divmod(permute(rank, len(_AREAS) * 99 * 9999, "ssn"), 9999)
-    return f"{_AREAS[rank // 99]:03d}-{rank % 99 + 1:02d}-{serial + 1:04d}"
+    return f"{_AREAS[rank // 99]:03d}{value[3]}{rank % 99 + 1:02d}{value[6]}{serial + 1:04d}"
 
 
 #: Calling codes of one and two digits; all others have three.
@@ -157,6 +168,8 @@ def _american(rest: str) -> bool:
 
 def _phone(value: str, permute: Permute) -> str | None:
     d = _digits(value)
+    if value[0] == "0":  # dialled within a country: the leading zero stays
+        return _refill(value, "0" + _letters(d[1:], "phone0", permute)) if 9 <= len(d) <= 12 and len(set(d)) > 2 else None
     if not 8 <= len(d) <= 15:
         return None
     code = "" if value[0] != "+" else next((d[:n] for n in (1, 2) if d[:n] in _CODES), d[:3])
@@ -256,13 +269,48 @@ def _written(value: str, month: re.Match[str], permute: Permute) -> str | None:
     return f"{out[:-4]}{1900 + int(_ALL[new].astype('datetime64[Y]').astype(int)) + 70}"
 
 
+def _form(number: int, said: str) -> bool:
+    """Whether a number is written with as many digits, and as much padding, as another is."""
+    return 0 < number and (number < 10 if len(said) == 1 or said[0] == "0" else number > 9)
+
+
+@lru_cache(maxsize=1024)
+def _numbered(day: str, month: str, short: bool, late: bool) -> np.ndarray:
+    """The days whose numbers have the forms of these; with years of two digits those of 1930 to 2029."""
+    year = _ALL.astype("datetime64[Y]").astype(int) + 1970
+    fit = np.array([_form(d, day) for d in range(32)])[_DAY] & np.array([_form(m, month) for m in range(13)])[_MONTH + 1] & ((_DAY > 12) == late)
+    return np.flatnonzero(fit & ((year >= 1930) & (year < 2030) if short else True))
+
+
+def _short(parts: list[str], sep: str, permute: Permute) -> str | None:
+    """A date whose day or month has one digit, or its year two: permuted among the dates that are written alike."""
+    year = int(parts[2]) + (0 if len(parts[2]) == 4 else 1900 if int(parts[2]) >= 30 else 2000)
+    for d, m in ((0, 1), (1, 0)):
+        try:
+            day = (dt.date(year, int(parts[m]), int(parts[d])) - _FIRST).days
+        except ValueError:
+            continue
+        late = int(parts[d]) > 12
+        how = ("0" if parts[d][0] == "0" else "1" * len(parts[d]), "0" if parts[m][0] == "0" else "1" * len(parts[m]))
+        if 0 <= day < _DAYS:
+            cell = _numbered(parts[d], parts[m], len(parts[2]) == 2, late)
+            new = _FIRST + dt.timedelta(_among(cell, day, permute, f"short{how}{len(parts[2])}{late}"))
+            out = ["", "", f"{new.year:04d}"[-len(parts[2]) :]]
+            out[d], out[m] = str(new.day).zfill(len(parts[d])), str(new.month).zfill(len(parts[m]))
+            return sep.join(out)
+    return None
+
+
 def _date(value: str, permute: Permute) -> str | None:
     month = re.search(_MONTH_NAME, value)
     if month:
         return _written(value, month, permute)
-    a, b, c = (int(x) for x in re.split("[-/.]", value))
+    parts = re.split("[-/.]", value)
+    a, b, c = (int(x) for x in parts)
     sep = re.search("[-/.]", value)[0]
-    iso = value[4] in "-/."
+    iso = len(parts[0]) == 4
+    if not iso and (len(parts[0]), len(parts[1]), len(parts[2])) != (2, 2, 4):
+        return _short(parts, sep, permute)
     for order, ymd in (("ymd", (a, b, c)),) if iso else (("dmy", (c, b, a)), ("mdy", (c, a, b))):
         try:
             day = (dt.date(*ymd) - _FIRST).days
@@ -281,6 +329,23 @@ def _email(value: str, permute: Permute) -> str | None:
     return f"{_letters(name, 'email', permute)}@{domain}"
 
 
+def _login(value: str, permute: Permute) -> str:
+    name, _, word = value.partition(":")
+    return f"{_letters(name, 'login', permute)}:{_letters(word, 'password', permute)}"
+
+
+def _mac(value: str, permute: Permute) -> str | None:
+    if re.search("[a-f]", value) and re.search("[A-F]", value):
+        return None
+    upper = bool(re.search("[A-F]", value))
+    return _walk(lambda x: _letters(x, f"mac{upper}", permute, (_HEX.upper() if upper else _HEX,)), value, lambda x: bool(re.search("[A-F]", x)) == upper)
+
+
+def _passport(value: str, permute: Permute) -> str | None:
+    m = re.search("[A-Z0-9]+\\Z", value)
+    return value[: m.start()] + _letters(m[0], "passport", permute) if re.search("[0-9]{4}", m[0]) else None
+
+
 #: Beginnings of issued tokens, and words before a secret.
 _ISSUED = r"AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-(?:proj-|ant-)?|[srp]k_(?:live|test)_|xox[abprs]-|AIza|hf_|npm_"
 _WORDS = r"(?ai:(?:[A-Z0-9]{1,24}[_-]){0,4}(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key)(?:[_-][A-Z0-9]{1,24}){0,2})"
@@ -304,13 +369,16 @@ def _secret(value: str, permute: Permute) -> str | None:
 KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", _email),
     ("secret", rf"{_BLOCK}(?:[^-]|-(?!----)){{16,}}-----END [A-Z ]{{0,40}}PRIVATE KEY-----|\b(?:AKIA|ASIA)[0-9A-Z]{{16}}\b|(?<![A-Za-z0-9_-])(?:{_ISSUED})[A-Za-z0-9_-]{{16,}}|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{{8,}}\.[A-Za-z0-9_-]{{8,}}\.[A-Za-z0-9_-]{{8,}}|\b(?i:bearer)\s{{1,3}}[A-Za-z0-9._~+/-]{{16,}}|\b{_WORDS}{_SET}[\"']?[A-Za-z0-9_+/-]{{8,}}(?![A-Za-z0-9_+/-])", _secret),
-    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
-    ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", _ssn),
-    ("date", rf"(?<![\w./-])(?:[0-9]{{4}}([-/.])[0-9]{{2}}\1[0-9]{{2}}|[0-9]{{2}}([-/.])[0-9]{{2}}\2[0-9]{{4}})(?![\w/-])(?!\.[0-9])|(?<!\w)[0-9]{{1,2}}(?:\.|st|nd|rd|th)?(?: of| de)? {_MONTH_NAME}\.?,?(?: de)? [0-9]{{4}}(?!\w)|(?<!\w){_MONTH_NAME}\.? [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}(?!\w)", _date),
+    ("login", r"(?<=://)[^\s:/@?#]{1,64}:[^\s:/@?#]{3,128}(?=@[A-Za-z0-9\[])", _login),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b|\b[a-z]{2}[0-9]{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?\b", _iban),
+    ("ssn", r"(?<![\w-])[0-9]{3}([- ])[0-9]{2}\1[0-9]{4}(?![\w-])(?! [0-9])", _ssn),
+    ("passport", r"\b(?i:passport)(?:[ -](?i:no|nr|number))?\.?:?\s{1,3}[A-Z0-9]{6,9}\b", _passport),
+    ("mac", r"(?<![\w:-])[0-9A-Fa-f]{2}([:-])(?:[0-9A-Fa-f]{2}\1){4}[0-9A-Fa-f]{2}(?![\w:-])", _mac),
+    ("date", rf"(?<![\w./-])(?:[0-9]{{4}}([-/.])[0-9]{{2}}\1[0-9]{{2}}|[0-9]{{1,2}}([-/.])[0-9]{{1,2}}\2[0-9]{{4}}|[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}})(?![\w/-])(?!\.[0-9])|(?<!\w)[0-9]{{1,2}}(?:\.|st|nd|rd|th)?(?: of| de)? {_MONTH_NAME}\.?,?(?: de)? [0-9]{{4}}(?!\w)|(?<!\w){_MONTH_NAME}\.? [0-9]{{1,2}}(?:st|nd|rd|th)?,? [0-9]{{4}}(?!\w)", _date),
     ("ipv6", r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:|::)[0-9A-Fa-f:]{1,38}(?![\w:])", _ipv6),
     ("ipv4", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w])(?!\.[0-9])", _ipv4),
     ("card", r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", _card),
-    ("phone", r"(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?!\w)|(?<![\w-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])", _phone),
+    ("phone", r"(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?!\w)|(?<![\w-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])|(?<![\w.,/+-])(?<![0-9] )0[1-9][0-9]{1,3}[ /-][0-9]{3,8}(?:[ -][0-9]{3,4})?(?![\w/-])(?![ .,][0-9])", _phone),
 ]
 _EACH = [(kind, re.compile(pattern), make) for kind, pattern, make in KINDS]
 #: What must follow a value of the kinds whose matches can be cut shorter.
@@ -324,6 +392,8 @@ def _ends(kind: str, pattern: re.Pattern[str], text: str, a: int, b: int, limit:
         yield b
     if kind in _TAILS:
         for e in range(min(b - 1, limit), a, -1):
+            if text[e].isalnum() or not (text[e - 1].isalnum() or text[e - 1] == ")"):  # a value neither stops inside a number nor behind a gap
+                continue
             if _TAILS[kind].match(text, e) and pattern.fullmatch(text, a, e):
                 yield e
 
