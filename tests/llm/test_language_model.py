@@ -83,12 +83,26 @@ def test_empty_and_nothing_to_learn(spark):
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"], row["score"]) == (3, 0, 0, 0.0, 0.0)
 
 
-def test_hot_first_word_is_dealt_to_many_shards():
+def test_hot_first_word_is_dealt_to_many_shards(spark, monkeypatch):
     import numpy as np
 
     u = np.full(50_000, 12345, np.uint64)
     w = lm._mix(np.arange(50_000, dtype=np.uint64))
-    assert np.bincount(lm._pair_shard(u, w, 64)).max() < 5000
+    hot = (np.array([7, 12345], np.uint64), np.array([2, 40], np.uint64))
+    assert np.bincount(lm._pair_shard(u, w, 64, hot)).max() < 5000
+    monkeypatch.setattr(lm, "ENTRIES", 300)
+    rows = [(i, " ".join(f"the w{i * 31 + k}" for k in range(40))) for i in range(60)]
+    same(lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), brute(rows)[0])
+
+
+def test_packed_keys():
+    import numpy as np
+
+    keys = np.unique(lm._mix(np.arange(5000, dtype=np.uint64)) >> np.uint64(16))
+    assert (lm._unpacked(lm._packed(keys)) == keys).all() and (lm._unpacked(lm._packed(keys[::-1], False), False) == keys[::-1]).all()
+    for v in ([], [0, 255], [3, 70_000], [2**40, 1]):
+        b, size = lm._narrow(np.array(v, np.int64))
+        assert lm._wide(b, size).tolist() == v
 
 
 def test_perplexity():
