@@ -19,8 +19,19 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder inside the warehouse, which all executors share."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_plans/{uuid.uuid4().hex}"
+    """A new folder for this application, in the folder that the cluster names for checkpoints or else inside the warehouse."""
+    return f"{_top(spark)}/{uuid.uuid4().hex}"
+
+
+def _top(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/_plans/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove all that queries of this application have written; results that read it must have been written before."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(_top(spark))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @query("SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders WHERE year(o_orderdate) >= 1996")

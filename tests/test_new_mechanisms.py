@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gamestate.operators import metrics, onice
 from gamestate.operators.running import running
 from gamestate.plans import synthetic
-from gamestate.plans.storage import kept
+from gamestate.plans.storage import clean, folder, kept
 from gamestate.sources import landed, layout, snapshots, variants
 from gamestate.sources.lines import LandedLines
 from gamestate.streaming import incremental
@@ -195,3 +195,11 @@ def test_kernel_density(spark):
         assert got[0, g] == pytest.approx(exact, abs=2e-3)
     assert sum(got[0, round(i / 100, 2)] for i in range(101)) / 100 == pytest.approx(1, abs=0.03)
     assert got[1, 0.25] > 100 and got[2, 0.5] > 100
+
+
+def test_what_queries_write_can_be_removed(spark):
+    kept(spark.range(3))
+    top = os.path.dirname(folder(spark).removeprefix("file:"))
+    assert os.listdir(top)
+    clean(spark)
+    assert not os.path.exists(top)
