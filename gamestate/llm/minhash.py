@@ -10,7 +10,8 @@ are first tested against two centres, and confirmed links are joined into compon
 members that still lie in different components. Blocks of bounded size compare them by signature and give the members
 that any pair may link, not the pairs, where members of the centre's component aren't compared with each other; only these are fetched with their texts, in blocks again, where a pair is looked
 at in one bucket and passed over if it has become connected meanwhile; only links leave the task. So each candidate pair
-ends linked, tested or already connected.
+ends linked, tested or already connected. A large bucket that is still open is first dealt anew by its members' rarest
+shingles, one of which any linked pair shares: what a template makes alike is not compared.
 
 Texts move twice: to their requests and to the centre that tests them. A centre with many candidates is sent to several
 tasks, once to each, so no task takes all candidates of one. Sizes and signatures sort out pairs before texts move.
@@ -33,6 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gamestate.llm.common import SALTS, Stages, broadcast_if, components, in_blocks, materialize
 
@@ -41,6 +43,7 @@ ROWS = 4  # signature values in a band: the minima and maxima of two permutation
 BLOCK = 1_000_000  # shingles of a block of a bucket
 MEMBERS = 16_384  # members of a block of a bucket, whose signatures are compared
 HOT = 1024  # members of a bucket above which no join may bring it to one task
+DEALT = 256  # members of an open bucket above which they are dealt anew by their rarest shingles
 FAN = 256  # candidates that a centre tests in one task
 NAMES = 1_000_000  # names of documents, of 8 bytes, up to which they are broadcast; more are joined by a shuffle
 
@@ -255,6 +258,41 @@ def _sides(group: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
     return a, a if one_block else group[group["side"] == 1], one_block
 
 
+def _open(lab: DataFrame) -> DataFrame:
+    """The rows (h, b, c, n, label) of buckets whose members lie in several components, with the bucket's size and whether they lie in that of its centre."""
+    found = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "c").alias("of_centre"), F.count("*").alias("size"))
+    found = found.where("lo <> hi").select("h", "of_centre", "size")
+    salt = F.explode(F.sequence(F.lit(0), F.when(F.col("size") > HOT, SALTS - 1).otherwise(0))).alias("_s")
+    # rows carry one salt for the copies of hot buckets and 0 for the others, so neither reaches one task whole
+    spread = lab.withColumn("_s", F.explode(F.array(F.lit(0), 1 + F.pmod(F.xxhash64("c", F.lit(9)), F.lit(SALTS - 1)).cast("int"))))
+    copies = found.select("h", "of_centre", "size", salt).where((F.col("size") <= HOT) | (F.col("_s") > 0))
+    return spread.join(copies, ["h", "_s"]).drop("_s").withColumn("main", F.col("label") == F.col("of_centre")).drop("of_centre")
+
+
+def _by_rare_shingles(members: DataFrame, docs: DataFrame, classes: DataFrame, st: Stages, width: int, percent: int) -> DataFrame:
+    """Members of large buckets dealt anew, as (h, b, c, n, label), so that every pair that may be linked shares an h.
+
+    Two sets that reach the threshold have ceil(percent * n / 100) shingles in common at least, so under any order of all
+    shingles they share one among the first n - that + 1 of either. With the rarest first, texts of one template, alike in
+    all but what is their own, share none of these and are never compared.
+    """
+    texts = _texts(members, docs, classes)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            sets = [shingle_set(text, width) for text in part["text"]]
+            if sets:
+                own = part[["c", "n", "label"]].loc[part.index.repeat([len(x) for x in sets])]
+                yield own.assign(h=np.concatenate(sets).view(np.int64))
+
+    rows = st.keep(texts.mapInPandas(run, "c long, n long, label long, h long"), "shingles")
+    often = st.keep(rows.groupBy("h").agg(F.count("*").alias("often")), "often")
+    first = F.row_number().over(Window.partitionBy("c").orderBy("often", "h"))
+    ranked = rows.join(often, "h").withColumn("_r", first)
+    kept = ranked.where((F.col("_r") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1) & (F.col("often") > 1))
+    return kept.select("h", F.lit(0).alias("b"), "c", "n", "label")
+
+
 def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The signatures of all rows, and by digest the smallest doc_id reachable by links and the text's key there."""
     bands = bands_for(percent / 100)
@@ -275,16 +313,14 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
     st.frames.append(comp)
 
     # a bucket of two has had its only pair tested
-    lab = members.where("size > 2").select("h", "b", "size", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
-    lab = st.keep(lab.select("h", "b", "size", "c", "n", F.coalesce("component", "c").alias("label")), "labels")
-    open_ = lab.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "c").alias("of_centre"), F.min("size").alias("size"))
-    open_ = open_.where("lo <> hi").select("h", "of_centre", "size")
-    cold = lab.where(F.col("size") <= HOT).join(open_.where(F.col("size") <= HOT).drop("size"), "h")
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s")
-    hot = lab.where(F.col("size") > HOT).withColumn("_s", F.pmod(F.xxhash64("c", F.lit(9)), F.lit(SALTS)).cast("int"))
-    hot = hot.join(open_.where(F.col("size") > HOT).select("h", "of_centre", salt), ["h", "_s"]).drop("_s")
-    lab = cold.unionByName(hot)
-    lab = st.keep(lab.select("h", "b", "c", "n", "label", (F.col("label") == F.col("of_centre")).alias("main")), "open")
+    lab = members.where("size > 2").select("h", "b", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left")
+    lab = st.keep(lab.select("h", "b", "c", "n", F.coalesce("component", "c").alias("label")), "labels")
+    lab = st.keep(_open(lab), "open")
+    large = lab.where(F.col("size") > DEALT)
+    if not large.isEmpty():
+        rare = st.keep(_by_rare_shingles(large.select("c", "n", "label").distinct(), docs, classes, st, width, percent), "rare")
+        lab = lab.where(F.col("size") <= DEALT).unionByName(_open(rare))
+    lab = st.keep(lab.select("h", "b", "c", "n", "label", "main"), "open")
 
     def may_link(group: pd.DataFrame) -> pd.DataFrame:
         a, b, one_block = _sides(group)
