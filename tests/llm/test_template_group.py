@@ -3,7 +3,6 @@
 import random
 
 import numpy as np
-import pytest
 
 from gamestate.llm import minhash
 
@@ -39,35 +38,3 @@ def test_template_group_against_brute_force(spark):
     assert 1 < len(set(root)) < len(texts)
     got = minhash.near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(root))
-
-
-def linked(texts, width, percent):
-    sets = [{tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} for w in (t.split() for t in texts)]
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    return root
-
-
-@pytest.mark.parametrize("width, percent", [(5, 80), (3, 85)])
-def test_hot_buckets_dealt_by_rare_shingles_against_brute_force(spark, monkeypatch, width, percent):
-    monkeypatch.setattr(minhash, "HOT", 8)
-    monkeypatch.setattr(minhash, "DEALT", 4)  # every bucket worth a look is a large one
-    monkeypatch.setattr(minhash, "MEMBERS", 16)
-    rnd = random.Random(width)
-    base = [f"w{i}" for i in range(160)]
-    texts = []
-    for i in range(90):
-        words = list(base)
-        for at in rnd.sample(range(160), rnd.randrange(1, 9)):
-            words[at] = f"x{i}_{at}"
-        texts += [" ".join(words)]
-        words[rnd.randrange(160)] = "again"
-        texts += [" ".join(words)] * rnd.randrange(3)
-    root = linked(texts, width, percent)
-    assert 3 < len(set(root)) < 90
-    got = minhash.near_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), width, percent)
-    assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(root))
