@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamestate.llm.common import SALTS, Stages, broadcast_if, components, in_blocks, materialize
+from gamestate.llm.common import SALTS, Stages, components, in_blocks, materialize
 
 MISS = 1e-6
 ROWS = 4  # signature values in a band: the minima and maxima of two permutations
@@ -161,33 +161,34 @@ def _alike(a: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     return a.join(sy, "y").join(sx, "x").select("x", "y", "sig_x", "sig_y").mapInPandas(run, "x long, y long")
 
 
-def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _only(docs: DataFrame, wanted: DataFrame, st: Stages) -> DataFrame:
     """(doc_id, key, text) of the rows of docs whose (doc_id, key) wanted names; a row that repeats both comes once.
 
     Rows are sorted out before any text moves: where few are wanted, their names reach the scan as one number each.
     """
     texts = docs.where("doc_id is not null").select("doc_id", _text_key(), "text")
     name = F.xxhash64("doc_id", "key").alias("_name")
-    names = broadcast_if(wanted.select(name).distinct(), NAMES, "wanted")
+    names = st.keep(wanted.select(name).distinct(), "wanted")
+    names = F.broadcast(names) if names.count() <= NAMES else names
     there = texts.withColumn("_name", name).join(names, "_name", "left_semi").drop("_name")
     one = there.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
     return one.join(wanted.distinct(), ["doc_id", "key"], "left_semi")
 
 
-def _texts(requests: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _texts(requests: DataFrame, docs: DataFrame, classes: DataFrame, st: Stages) -> DataFrame:
     """requests (with a class c) and the text of a document of that class."""
     named = requests.join(classes.select("c", "doc_id", "key"), "c")
     wanted = classes.join(requests.select("c").distinct(), "c", "left_semi").select("doc_id", "key")
-    return named.join(_only(docs, wanted), ["doc_id", "key"]).drop("doc_id", "key")
+    return named.join(_only(docs, wanted, st), ["doc_id", "key"]).drop("doc_id", "key")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, st: Stages, width: int, percent: int) -> DataFrame:
     """The pairs (x: centre, y: candidate) whose whole sets have 100 * intersection >= percent * union, as (u, v)."""
     degree = pairs.groupBy("x").agg(F.ceil(F.count("*") / F.lit(FAN)).cast("int").alias("parts"))
     dealt = pairs.join(degree, "x").select("x", F.pmod(F.xxhash64("y", F.lit(5)), F.col("parts")).cast("int").alias("k"), "y")
     centres = degree.select("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"), F.lit(-1).cast("long").alias("y"))
     asked = dealt.withColumn("c", F.col("y")).union(centres.withColumn("c", F.col("x")))
-    rows = _texts(asked, docs, classes).select("x", "k", "y", "text").repartition("x", "k").sortWithinPartitions("x", "k", "y")
+    rows = _texts(asked, docs, classes, st).select("x", "k", "y", "text").repartition("x", "k").sortWithinPartitions("x", "k", "y")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = np.empty(0, np.uint64)
@@ -270,7 +271,7 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
     pairs = members.select(F.col("c").alias("y"), "n", centre).select("s.x", "y", "n", "s.nx")
     pairs = pairs.where("x <> y").where(100 * F.least("n", "nx") >= percent * F.greatest("n", "nx")).select("x", "y").distinct()
     pairs = st.keep(_alike(pairs, sigs, least), "pairs")
-    links = st.keep(_confirm(pairs, docs, classes, width, percent), "links")
+    links = st.keep(_confirm(pairs, docs, classes, st, width, percent), "links")
     comp = components(links)
     st.frames.append(comp)
 
@@ -331,7 +332,7 @@ def _classes(docs: DataFrame, st: Stages, width: int, percent: int) -> tuple[Dat
     if not worth.isEmpty():
         weight = F.greatest("n", F.lit(BLOCK // 4096)).alias("weight")
         blocks = st.keep(in_blocks(lab.join(worth, ["h", "c"]).select("*", weight), "h", "c", BLOCK, "weight", "main"), "blocks")
-        whole = _texts(blocks, docs, classes).join(sigs, "c")
+        whole = _texts(blocks, docs, classes, st).join(sigs, "c")
         more = st.keep(whole.groupBy("h", "bi", "bj").applyInPandas(compare, "u long, v long").distinct(), "links")
         comp = components(links.union(more))
         st.frames.append(comp)
