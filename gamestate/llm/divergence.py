@@ -32,7 +32,7 @@ from gamestate.llm.common import SALTS, Stages, broadcast_if, materialize
 
 LEAST = 3
 TOP = 200
-HELD = 300_000  # different (lang, source, term) that a task holds before it hands them on
+HELD = 500_000  # different (lang, source, term) that a task holds before it hands them on
 GROUPS = 100_000  # groups of sources up to which their sums are broadcast
 SOURCES = 256  # sources of a block of the pairs
 POSTINGS = 250_000  # postings of a block of terms
@@ -44,32 +44,31 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else
 def _counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, c, d): occurrences and documents; a row without a term for each task's groups."""
 
-    def flush(found: dict[tuple, dict[bytes, list[int]]]) -> pa.RecordBatch:
-        rows = [(lang, source, None, 0, 0) for lang, source in found]
-        rows += [(*g, w.decode("utf-8", "surrogatepass"), c, d) for g, words in found.items() for w, (c, d) in words.items()]
-        cols = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, [pa.string()] * 3 + [pa.int64()] * 2, strict=True)], names=["lang", "source", "term", "c", "d"])
+    def flush(found: dict[tuple, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), words in found.items():
+            n = len(words) + 1
+            both = np.fromiter(words.values(), np.int64, n - 1)
+            terms = pa.array([None, *words], pa.binary()).cast(pa.string())
+            names = [pa.DictionaryArray.from_arrays(np.zeros(n, np.int32), pa.array([x])).cast(pa.string()) for x in (lang, source)]
+            counts = [pa.array(np.concatenate([[0], x])) for x in (both >> 32, both & 0xFFFFFFFF)]
+            yield pa.RecordBatch.from_arrays([*names, terms, *counts], names=["lang", "source", "term", "c", "d"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple, dict[bytes, list[int]]] = {}
-        held = 0
+        # occurrences and documents of a word in one number, the former above 32 bits
+        found: dict[tuple, dict[bytes, int]] = {}
+        held = read = 0
         for b in batches:
             for text, lang, source in zip(*(b.column(k) for k in range(3)), strict=True):
                 words = found.setdefault((lang.as_py(), source.as_py()), {})
                 before = len(words)
-                for w, c in Counter(text.as_py().encode("utf-8", "surrogatepass").translate(_TABLE).split()).items():
-                    seen = words.get(w)
-                    if seen is None:
-                        words[w] = [c, 1]
-                    else:
-                        seen[0] += c
-                        seen[1] += 1
-                held += len(words) - before
-                if held >= HELD:
-                    yield flush(found)
-                    found, held = {}, 0
-        if found:
-            yield flush(found)
+                terms = text.as_py().encode("utf-8", "surrogatepass").translate(_TABLE).split()
+                for w, c in Counter(terms).items():
+                    words[w] = words.get(w, 0) + (c << 32) + 1
+                held, read = held + len(words) - before, read + len(terms)
+                if held >= HELD or read >= 1 << 30:
+                    yield from flush(found)
+                    found, held, read = {}, 0, 0
+        yield from flush(found)
 
     rows = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     return rows.mapInArrow(run, "lang string, source string, term string, c long, d long").groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
