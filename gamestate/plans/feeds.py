@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from gamestate.operators import game, onice, schedule
 from gamestate.plans.registry import query, table
 from gamestate.plans.storage import folder
-from gamestate.sources import landed
-from gamestate.sources.lines import LandedLines
+from gamestate.sources import landed, lines
 from gamestate.streaming import incremental, progress
 
 
@@ -164,12 +163,12 @@ def landed_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that land twice, read as a stream by the package's own source, each once by a state that forgets."""
-    spark.dataSource.register(LandedLines)
+    lines.register(spark)
     path, out = folder(spark), folder(spark)
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     e.select(F.to_json(F.struct("*")).alias("value")).union(e.select(F.to_json(F.struct("*")).alias("value"))).write.text(path)
-    lines = spark.readStream.format("landed").load(path)
-    rows = incremental.once(landed.parsed(lines, "event_id long, user_id long, event_type string, ts timestamp"), ["event_id"], "ts", "1 day")
+    landing = spark.readStream.format("landed").load(path)
+    rows = incremental.once(landed.parsed(landing, "event_id long, user_id long, event_type string, ts timestamp"), ["event_id"], "ts", "1 day")
     rows.select("event_id", "user_id", "event_type").writeStream.format("parquet").option("checkpointLocation", folder(spark)).option("path", out).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("event_id long, user_id long, event_type string").parquet(out)
 

@@ -1,6 +1,6 @@
 """Data source "landed": the lines of landed documents, in batches and as a stream with offsets.
 
-spark.dataSource.register(LandedLines); then spark.read.format("landed").load(folder) or spark.readStream. A row is a line
+register(spark); then spark.read.format("landed").load(folder) or spark.readStream. A row is a line
 with its file and number. The stream's offset is the time and name of the last file it has handed on, so a restarted
 stream begins there and a file is read once; files must be complete when they appear, and newer ones have later times.
 Any store that pyarrow's file systems reach will do.
@@ -8,9 +8,12 @@ Any store that pyarrow's file systems reach will do.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -106,3 +109,12 @@ class LandedLines(DataSource):
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         return _StreamReader(self.options["path"])
+
+
+def register(spark: SparkSession) -> None:
+    """Make the source known; its code travels with it, as the processes that plan reads may not have this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    try:
+        spark.dataSource.register(LandedLines)
+    finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[__name__])

@@ -13,7 +13,7 @@ from gamestate.operators.running import running
 from gamestate.plans import synthetic
 from gamestate.plans.storage import clean, folder, kept
 from gamestate.sources import landed, layout, snapshots, variants
-from gamestate.sources.lines import LandedLines
+from gamestate.sources.lines import register
 from gamestate.streaming import incremental
 
 
@@ -139,7 +139,7 @@ def play(game, k):
 
 
 def test_source_of_lines_in_batches_and_as_a_stream(spark, tmp_path):
-    spark.dataSource.register(LandedLines)
+    register(spark)
     folder = tmp_path / "in"
     folder.mkdir()
     for k in range(3):
