@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamestate.operators import game, onice, schedule
+from gamestate.plans import seasons
 from gamestate.plans.registry import query, table
 from gamestate.plans.storage import folder
 from gamestate.sources import landed, lines
@@ -21,22 +22,13 @@ def _land(docs: DataFrame, broken: int = 0) -> str:
     return path
 
 
-def _team(side: str, number: str, score: str) -> F.Column:
-    return F.struct(F.expr(f"cast({number} as string)").alias("id"), F.expr(f"concat('{side}', {number})").alias("abbrev"), F.expr(score).alias("score"))
+def _team(side: str, number: str, score: str, odds: str) -> F.Column:
+    offers = F.expr(f"if(o_orderkey % 3 = 0, null, array(named_struct('providerId', 8, 'value', 'none'), named_struct('providerId', 9, 'value', {odds})))")
+    return F.struct(F.expr(f"cast({number} as string)").alias("id"), F.expr(f"concat('{side}', {number})").alias("abbrev"), F.expr(score).alias("score"), offers.alias("odds"))
 
 
-@query(
-    """SELECT CAST(o_orderkey AS INTEGER) AS game_id, CAST(year(o_orderdate) AS INTEGER) AS season,
-    strftime((o_orderdate + o_orderkey % 24 * INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York', '%Y-%m-%d') AS game_date,
-    strftime((o_orderdate + o_orderkey % 24 * INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York', '%H:%M') AS "start_time_ET",
-    CASE WHEN o_orderkey % 4 = 3 THEN 'P' ELSE 'R' END AS season_type, CASE WHEN o_orderstatus = 'F' THEN 'OK' ELSE o_orderstatus END AS game_schedule_state,
-    CAST(o_custkey AS VARCHAR) AS away_team_id, CAST(o_orderkey % 7 AS INTEGER) AS away_score, 'a' || o_custkey AS away_abbreviation,
-    CAST(NULL AS INTEGER) AS home_score, CAST(o_orderkey % 32 AS VARCHAR) AS home_team_id, 'h' || (o_orderkey % 32) AS home_abbreviation,
-    'plays/' || o_orderkey || '.json' AS pbp_link, 'shifts/' || o_orderkey AS shift_link, o_orderpriority AS game_state
-    FROM orders WHERE o_orderkey % 4 IN (2, 3)"""
-)
-def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schedule documents of a day, as many as its games fill; games of other kinds than season and playoffs, and broken lines, go."""
+def _schedule_docs(spark: SparkSession, sf_dir: str, game_state: F.Column) -> DataFrame:
+    """Schedule documents of a day, as many as its games fill."""
     start = F.date_format(F.col("o_orderdate") + F.expr("make_interval(0, 0, 0, 0, o_orderkey % 24, 0, 0)"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     state = F.when(F.col("o_orderstatus") == "F", "Final").otherwise(F.col("o_orderstatus"))
     g = F.struct(
@@ -44,17 +36,61 @@ def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("season"),
         F.expr("cast(o_orderkey % 4 as int)").alias("gameType"),
         start.alias("startTimeUTC"),
-        F.col("o_orderpriority").alias("gameState"),
+        game_state.alias("gameState"),
         state.alias("gameScheduleState"),
-        _team("a", "o_custkey", "cast(o_orderkey % 7 as int)").alias("awayTeam"),
-        _team("h", "(o_orderkey % 32)", "cast(null as int)").alias("homeTeam"),
+        F.expr("o_orderkey % 6 = 0").alias("neutralSite"),
+        F.when(F.expr("o_orderkey % 5 > 0"), F.struct(F.expr("concat('V', o_orderkey % 11)").alias("default"))).alias("venue"),
+        _team("a", "o_custkey", "cast(o_orderkey % 7 as int)", "if(o_orderkey % 7 = 0, 'EVEN', concat(o_orderkey % 50, '.5'))").alias("awayTeam"),
+        _team("h", "(o_orderkey % 32)", "cast(null as int)", "concat('-', o_orderkey % 90, '.25')").alias("homeTeam"),
         F.lit("not declared").alias("extra"),
     )
     part = F.expr("o_orderkey div 1000")  # a document holds games of so many keys at most
     days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day"), part).agg(F.collect_list(g).alias("games"))
-    path = _land(days.select(F.array(F.struct(F.col("day").cast("string").alias("date"), "games")).alias("gameWeek")), broken=3)
-    out = schedule.games(landed.good(landed.schedules(spark, path)), "plays/{}.json", "shifts/{}")
-    return out.drop("start_time_utc")
+    return days.select(F.array(F.struct(F.col("day").cast("string").alias("date"), "games")).alias("gameWeek"))
+
+
+_LINKS = ("plays/{}.json", "shifts/{}")
+_GAMES = """SELECT CAST(o_orderkey AS INTEGER) AS game_id, CAST(year(o_orderdate) AS INTEGER) AS season,
+    strftime((o_orderdate + o_orderkey % 24 * INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York', '%Y-%m-%d') AS game_date,
+    strftime((o_orderdate + o_orderkey % 24 * INTERVAL 1 HOUR) AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York', '%H:%M') AS "start_time_ET",
+    CASE WHEN o_orderkey % 4 = 3 THEN 'P' ELSE 'R' END AS season_type, CASE WHEN o_orderstatus = 'F' THEN 'OK' ELSE o_orderstatus END AS game_schedule_state,
+    CAST(o_custkey AS VARCHAR) AS away_team_id, CAST(o_orderkey % 7 AS INTEGER) AS away_score, 'a' || o_custkey AS away_abbreviation,
+    CAST(NULL AS INTEGER) AS home_score, CAST(o_orderkey % 32 AS VARCHAR) AS home_team_id, 'h' || (o_orderkey % 32) AS home_abbreviation,
+    'plays/' || o_orderkey || '.json' AS pbp_link, 'shifts/' || o_orderkey AS shift_link, o_orderpriority AS game_state
+    FROM orders WHERE o_orderkey % 4 IN (2, 3)"""
+
+
+@query(_GAMES)
+def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games of schedule documents; games of other kinds than season and playoffs, and broken lines, go."""
+    path = _land(_schedule_docs(spark, sf_dir, F.col("o_orderpriority")), broken=3)
+    return schedule.games(landed.good(landed.schedules(spark, path)), *_LINKS).drop("start_time_utc")
+
+
+@query(
+    """SELECT CAST(o_orderkey AS INTEGER) AS game_id, CASE WHEN o_orderkey % 5 > 0 THEN 'V' || (o_orderkey % 11) END AS venue_name, o_orderkey % 6 = 0 AS "neutralSite",
+    CASE WHEN o_orderkey % 3 > 0 THEN CAST(-(o_orderkey % 90) - 0.25 AS DOUBLE) END AS home_odds, CASE WHEN o_orderkey % 3 > 0 AND o_orderkey % 7 > 0 THEN CAST(o_orderkey % 50 + 0.5 AS DOUBLE) END AS away_odds FROM orders"""
+)
+def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venue and one provider's odds of each landed game; null where it offers none or no number."""
+    path = _land(_schedule_docs(spark, sf_dir, F.col("o_orderpriority")), broken=3)
+    return schedule.with_odds(landed.good(landed.schedules(spark, path)))
+
+
+@query(
+    f"""WITH done AS (SELECT * REPLACE (CASE game_state WHEN '1-URGENT' THEN 'OFF' ELSE 'FINAL' END AS game_state) FROM ({_GAMES}) WHERE game_schedule_state = 'OK' AND game_state IN ('1-URGENT', '2-HIGH')),
+    known AS (SELECT * FROM done WHERE game_state = 'OFF' AND season < 1996)
+    SELECT * FROM known UNION ALL
+    SELECT * FROM done WHERE game_date >= coalesce((SELECT max(game_date) FROM known), '') AND game_id NOT IN (SELECT game_id FROM known)"""
+)
+def schedule_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schedule table and the finished games on or after its latest date; what is older, or not finished, stays out."""
+    state = F.expr("case o_orderpriority when '1-URGENT' then 'OFF' when '2-HIGH' then 'FINAL' else o_orderpriority end")
+    path, at = _land(_schedule_docs(spark, sf_dir, state), broken=3), folder(spark)
+    known = schedule.finished(seasons.load_schedule(spark, path, *_LINKS)).where("game_state = 'OFF' and season < 1996")
+    known.write.parquet(at)
+    seasons.update_schedule(spark, path, at, *_LINKS)
+    return spark.read.schema(known.schema).parquet(at).drop("start_time_utc")
 
 
 _WHO = """CAST(c_custkey AS VARCHAR) AS player_id, upper(c_name) AS "firstName", upper('of ' || c_mktsegment) AS "lastName",
@@ -81,21 +117,38 @@ def _people(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     )
 
 
-@query(f"SELECT CAST(20232024 AS BIGINT) AS season, 'N' || c_nationkey AS team, {_WHO} FROM customer")
-def landed_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _roster_docs(spark: SparkSession, sf_dir: str, season: int) -> DataFrame:
     """Roster documents of a team and kind of position, as many as its people fill."""
     p = _people(spark, sf_dir, "id").withColumn("kind", F.expr("case code when 'G' then 'goalies' when 'D' then 'defensemen' else 'forwards' end"))
     person = F.struct("id", "firstName", "lastName", "sweaterNumber", F.col("code").alias("positionCode"), "shootsCatches", "birthStateProvince")
     docs = p.groupBy("c_nationkey", "kind", F.expr("c_custkey div 10000")).agg(F.collect_list(person).alias("people"))
-    docs = docs.select(F.lit(20232024).alias("season"), F.concat(F.lit("N"), "c_nationkey").alias("team"), F.create_map("kind", "people").alias("positions"))
-    return schedule.roster(landed.good(landed.rosters(spark, _land(docs, broken=2)))).select(_SHOWN)
+    return docs.select(F.lit(season).alias("season"), F.concat(F.lit("N"), "c_nationkey").alias("team"), F.create_map("kind", "people").alias("positions"))
+
+
+def _player_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = _people(spark, sf_dir, "playerId").withColumns({"currentTeamAbbrev": F.concat(F.lit("N"), "c_nationkey"), "position": F.col("code")})
+    return people.drop("c_custkey", "c_nationkey", "code")
+
+
+@query(f"SELECT CAST(20232024 AS BIGINT) AS season, 'N' || c_nationkey AS team, {_WHO} FROM customer")
+def landed_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players of roster documents."""
+    return schedule.roster(landed.good(landed.rosters(spark, _land(_roster_docs(spark, sf_dir, 20232024), broken=2)))).select(_SHOWN)
+
+
+@query(f"SELECT season, 'N' || c_nationkey AS team, {_WHO} FROM customer, (VALUES (CAST(20222023 AS BIGINT)), (CAST(20232024 AS BIGINT))) AS s(season)")
+def roster_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rosters of two seasons, one landed twice, and players landed by themselves, in one table without repeats."""
+    first, second = (_roster_docs(spark, sf_dir, s) for s in (20222023, 20232024))
+    parts = [schedule.roster(landed.good(landed.rosters(spark, _land(docs, broken=1)))) for docs in (first, second.union(second))]
+    alone = schedule.additions(landed.good(landed.players(spark, _land(_player_docs(spark, sf_dir), broken=1))), 20232024)
+    return schedule.compile_rosters([*parts, alone]).select(_SHOWN)
 
 
 @query(f"SELECT CAST(2024 AS BIGINT) AS season, 'N' || c_nationkey AS team, {_WHO} FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
 def landed_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player documents for ids that the known roster (here the suppliers' keys) lacks."""
-    docs = _people(spark, sf_dir, "playerId").withColumns({"currentTeamAbbrev": F.concat(F.lit("N"), "c_nationkey"), "position": F.col("code")})
-    found = schedule.additions(landed.good(landed.players(spark, _land(docs.drop("c_custkey", "c_nationkey", "code"), broken=1))), 2024)
+    found = schedule.additions(landed.good(landed.players(spark, _land(_player_docs(spark, sf_dir), broken=1))), 2024)
     known = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("player_id"))
     return found.join(known, "player_id", "left_anti").select(_SHOWN)
 

@@ -35,15 +35,25 @@ def rename_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return game.conform(df, schema)
 
 
-@query("SELECT * FROM (VALUES ('ANA', 'Anaheim', 24), ('BOS', 'Boston', 6), ('MTL', 'Montreal', 8)) AS t(abbreviation, place, team_id)")
+@query(
+    """SELECT event_id, code, rank FROM events LEFT JOIN (VALUES ('click', 'CL', 1), ('error', 'ER', 2), ('purchase', 'PU', 3)) AS t(event_type, code, rank) USING (event_type)"""
+)
 def literal_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([("ANA", "Anaheim", 24), ("BOS", "Boston", 6), ("MTL", "Montreal", 8)], "abbreviation string, place string, team_id int")
+    """Events with the columns of a table that the query holds; types that it lacks have none."""
+    dim = spark.createDataFrame([("click", "CL", 1), ("error", "ER", 2), ("purchase", "PU", 3)], "event_type string, code string, rank int")
+    return table(spark, sf_dir, "events").join(F.broadcast(dim), "event_type", "left").select("event_id", "code", "rank")
 
 
-@query("SELECT strftime(d, '%Y-%m-%d') AS iso, CAST(day(d) AS INTEGER) AS day_of_month FROM generate_series(TIMESTAMP '2023-10-01', TIMESTAMP '2024-04-30', INTERVAL 1 DAY) AS t(d)")
+@query(
+    """WITH days AS (SELECT unnest(generate_series(min(date_trunc('day', o_orderdate))::TIMESTAMP, max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders),
+    games AS (SELECT date_trunc('day', o_orderdate)::TIMESTAMP AS d, count(*) AS n FROM orders GROUP BY 1)
+    SELECT strftime(d, '%Y-%m-%d') AS iso, CAST(day(d) AS INTEGER) AS day_of_month, CAST(coalesce(n, 0) AS BIGINT) AS games FROM days LEFT JOIN games USING (d)"""
+)
 def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = spark.range(1).select(F.explode(F.expr("sequence(date'2023-10-01', date'2024-04-30', interval 1 day)")).alias("day"))
-    return days.select(F.date_format("day", "yyyy-MM-dd").alias("iso"), F.dayofmonth("day").alias("day_of_month"))
+    """Every day from the first to the last game, with its number of games, also where there is none."""
+    games = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("games"))
+    days = games.agg(F.min("day").alias("first"), F.max("day").alias("last")).select(F.explode(F.expr("sequence(first, last, interval 1 day)")).alias("day"))
+    return days.join(games, "day", "left").select(F.date_format("day", "yyyy-MM-dd").alias("iso"), F.dayofmonth("day").alias("day_of_month"), F.coalesce("games", F.lit(0)).cast("long").alias("games"))
 
 
 @query("SELECT n_name, season FROM (SELECT DISTINCT n_name FROM nation WHERE n_name IS NOT NULL) n, (VALUES ('20222023'), ('20232024')) AS s(season)")

@@ -20,11 +20,10 @@ def load_schedule(spark: SparkSession, path: str, pbp_link: str = "pbp/{}", shif
     return schedule.games(landed.schedules(spark, path), pbp_link, shift_link)
 
 
-def update_schedule(spark: SparkSession, path: str, table: str) -> None:
-    """Add finished games since the latest known date to a schedule table."""
-    known = spark.read.parquet(table)
-    new = schedule.since(schedule.finished(load_schedule(spark, path)), known)
-    sinks.replace(schedule.append_new(known, new, ["game_id"]), table)
+def update_schedule(spark: SparkSession, path: str, table: str, pbp_link: str = "pbp/{}", shift_link: str = "shifts/{}") -> None:
+    """Add finished games on or after the latest known date to a schedule table, each once; nothing is rewritten."""
+    new = schedule.since(schedule.finished(load_schedule(spark, path, pbp_link, shift_link)), spark.read.parquet(table))
+    sinks.append(new, table, ["game_id"])
 
 
 def load_roster(spark: SparkSession, path: str) -> DataFrame:
@@ -44,8 +43,8 @@ def load_pbp(spark: SparkSession, plays: str, shifts: str, roster: DataFrame) ->
 
 
 def update_pbp(spark: SparkSession, plays: str, shifts: str, roster: DataFrame, table: str) -> None:
-    """Events of landed games that the table lacks are added to their seasons' folders."""
-    known = spark.read.parquet(table).select("game_id").distinct()
+    """Events of landed games that the table lacks are added to their seasons' folders; no other folder is read."""
+    known = sinks.within(spark.read.parquet(table), "season", landed.headers(spark, plays)).select("game_id").distinct()
     raw = landed.pbp(spark, plays).join(known.withColumnRenamed("game_id", "id"), "id", "left_anti")
     new = events(raw, landed.shifts(spark, shifts).join(known.withColumnRenamed("game_id", "gameId"), "gameId", "left_anti"), roster)
     new.write.mode("append").partitionBy("season").parquet(table)

@@ -45,6 +45,11 @@ def pbp(spark: SparkSession, path: str) -> DataFrame:
     return plays(_read(spark, path, PBP_JSON))
 
 
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """Id and season of the landed games; their plays are not parsed."""
+    return _read(spark, path, "id int, season int").where("id is not null").select("id", "season")
+
+
 def plays(docs: DataFrame) -> DataFrame:
     """The rows of pbp from documents in its declared type."""
     from gamestate.operators.game import conform

@@ -53,6 +53,13 @@ def add(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
     replace(append_new(old, df, keys) if keys else old.unionByName(df, allowMissingColumns=True).distinct(), path)
 
 
+def within(known: DataFrame, by: str, df: DataFrame) -> DataFrame:
+    """The rows of a table partitioned by a column whose value there df has (few values); other folders are not read."""
+    values = {r[0] for r in df.select(by).distinct().collect()}
+    some = F.col(by).isin([v for v in values if v is not None])
+    return known.where(some | F.col(by).isNull() if None in values else some)
+
+
 def append(df: DataFrame, path: str, keys: list[str], by: str | None = None) -> None:
     """Append the rows whose keys the table lacks, one for each key; nothing is rewritten.
 
@@ -64,7 +71,7 @@ def append(df: DataFrame, path: str, keys: list[str], by: str | None = None) ->
     if fs.exists(at):
         known = spark.read.parquet(path)
         if by is not None:
-            known = known.where(F.col(by).isin([r[0] for r in df.select(by).distinct().collect()]))
+            known = within(known, by, df)
         new = new.join(known.select(*keys).distinct(), keys, "left_anti").select(*df.columns)
     out = new.write.mode("append")
     (out if by is None else out.partitionBy(by)).parquet(path)
