@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from gamestate.functions.core import clock_seconds, padded
 from gamestate.operators import features, game, onice
-from gamestate.plans import synthetic, twins
+from gamestate.plans import seasons, synthetic, twins
 from gamestate.plans.registry import query, shown, sql_rounded, sql_shown, table
-from gamestate.plans.storage import kept
-from gamestate.sources import layout
+from gamestate.plans.storage import folder, kept
+from gamestate.sources import landed, layout, sinks
 
 ON = {"home": ["home_on"], "away": ["away_on"]}
 KEYS = ["season", "game_id", "event_idx"]
@@ -121,6 +121,16 @@ def split_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shots(spark, sf_dir).groupBy("in_EV", "in_PP", "in_SH", "in_EN").agg(F.count("*").alias("shots"))
 
 
+@query(twins.upto("sh") + " UNION ALL ".join(f"""SELECT {sql_shown(KEYS, ['event_distance'])}, '{s}' AS strength_type FROM sh WHERE "in_{s}" = 1""" for s in seasons.SPLITS))
+def season_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames of all splits from a table of several seasons, one below the other, with the split's name."""
+    path = folder(spark)
+    sinks.by_season(placed(spark, sf_dir), path)
+    frames = seasons.model_frames(landed.seasons(spark, path, 20232024, 20242025), synthetic.roster(spark, sf_dir), ON)
+    parts = [shown(f, [*KEYS, "strength_type"], ["event_distance"]) for f in frames.values()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 _LI = [f"{s}_{n}_{k}" for s in ("home", "away") for n in ("skater", "goalie") for k in ("cur", "on", "off")]
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from gamestate.operators import boosting, features, metrics, models
 from gamestate.operators.boosting import Params
-from gamestate.plans import synthetic
-from gamestate.plans.domain import KEYS, shots
+from gamestate.plans import seasons, synthetic
+from gamestate.plans.domain import KEYS, placed, shots
 from gamestate.plans.registry import query
 from gamestate.plans.storage import kept
 
@@ -71,6 +71,31 @@ def xg_train_score_en(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, "EN").select(*KEYS, "fold", "is_goal", "xG")
 
 
+def _all_splits(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, boosting.Booster]]:
+    """The frame and the model of each split."""
+    frames = {s: prepared(spark, sf_dir, s) for s in seasons.SPLITS}
+    return frames, {s: models.boosted(df, columns_of(s), kept, [Params()])[0] for s, df in frames.items()}
+
+
+@query()
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the xG of each split that a shot belongs to, by models of all four splits."""
+    return seasons.score_events(placed(spark, sf_dir), *_all_splits(spark, sf_dir))
+
+
+@query()
+def xg_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC and log loss of each split's model on its valid rows; null where a split has no valid rows of both kinds."""
+    out = None
+    frames, fitted = _all_splits(spark, sf_dir)
+    for name, df in frames.items():
+        valid = kept(models.goals(fitted[name], df.where("fold = 'valid'")).select("is_goal", "xG"))
+        row = metrics.auc(valid, "is_goal", "xG").crossJoin(metrics.logloss(valid, "is_goal", "xG")).crossJoin(valid.agg(F.count("*").alias("shots")))
+        row = row.select(F.lit(name).alias("strength_type"), "shots", "auc", "logloss")
+        out = row if out is None else out.union(row)
+    return out
+
+
 @query()
 def importance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     (model,) = models.boosted(prepared(spark, sf_dir), columns_of("EV"), kept, [Params()])

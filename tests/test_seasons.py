@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from gamestate.operators import models
-from gamestate.plans import seasons, synthetic
+from gamestate.plans import modelling, seasons, synthetic
 from gamestate.plans.domain import ON, placed
 from gamestate.sources import sinks
 
@@ -71,3 +71,40 @@ def test_schedule_update(spark, tmp_path):
     _put(tmp_path, "in", [{"gameWeek": [{"games": [g(1, "01"), g(2, "02"), g(3, "03", "FUT")]}]}])
     seasons.update_schedule(spark, path, table)
     assert sorted(r["game_id"] for r in spark.read.parquet(table).collect()) == [1, 2]
+
+
+def test_a_late_game_before_the_latest_date_stays_out_and_nothing_is_rewritten(spark, tmp_path):
+    team = lambda i: {"id": i, "abbrev": i, "score": 1}
+    g = lambda i, day: {"id": i, "season": 20232024, "gameType": 2, "startTimeUTC": f"2024-01-{day}T23:30:00Z", "gameState": "OFF", "gameScheduleState": "OK", "awayTeam": team("1"), "homeTeam": team("2")}
+    path, table = _put(tmp_path, "in", [{"gameWeek": [{"games": [g(1, "05")]}]}]), tmp_path / "schedule"
+    seasons.load_schedule(spark, path).write.parquet(str(table))
+    before = {f.name for f in table.glob("*.parquet")}
+    _put(tmp_path, "in", [{"gameWeek": [{"games": [g(1, "05"), g(2, "04"), g(3, "05"), g(3, "05")]}]}])
+    seasons.update_schedule(spark, path, str(table))
+    assert sorted(r["game_id"] for r in spark.read.parquet(str(table)).collect()) == [1, 3]
+    assert before <= {f.name for f in table.glob("*.parquet")}
+
+
+def test_an_increment_reads_only_its_seasons(spark, tmp_path):
+    table = str(tmp_path / "t")
+    spark.createDataFrame([(1, 2022), (2, 2023), (3, None)], "game_id int, season int").write.partitionBy("season").parquet(table)
+    known = lambda *years: sinks.within(spark.read.parquet(table), "season", spark.createDataFrame([(y,) for y in years], "season int"))
+    assert [r["game_id"] for r in known(2023, 2024).collect()] == [2]
+    assert sorted(r["game_id"] for r in known(2022, None).collect()) == [1, 3]
+    plan = known(2023)._jdf.queryExecution().executedPlan().toString()
+    assert "2023" in plan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
+
+
+def test_scored_events_of_trained_models(spark, tiny, monkeypatch):
+    monkeypatch.setattr(seasons, "SPLITS", ("EV", "EN"))
+    frames, fitted = modelling._all_splits(spark, tiny)
+    monkeypatch.setattr(modelling, "_all_splits", lambda *_: (frames, fitted))
+    got = {(r["season"], r["game_id"], r["event_idx"]): r["xG"] for r in modelling.scored_events(spark, tiny).where("strength_type = 'EV'").collect()}
+    alone = models.goals(fitted["EV"], frames["EV"]).collect()
+    assert got == {(r["season"], r["game_id"], r["event_idx"]): r["xG"] for r in alone}
+    report = {r["strength_type"]: r for r in modelling.xg_report(spark, tiny).collect()}
+    valid = [(r["is_goal"], r["xG"]) for r in alone if r["fold"] == "valid"]
+    pos, neg = [x for y, x in valid if y], [x for y, x in valid if not y]
+    wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
+    assert report["EV"]["shots"] == len(valid) and abs(report["EV"]["auc"] - wins / (len(pos) * len(neg))) < 1e-9
+    assert set(report) == {"EV", "EN"}
