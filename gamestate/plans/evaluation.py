@@ -114,7 +114,10 @@ def dropna_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, max(value) AS best_value, arg_max(event_id, value) AS best_event FROM events GROUP BY user_id")
 def argmax_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("value").alias("best_value"), F.max_by("event_id", "value").alias("best_event"))
+    """The event of a user's largest value; of equal ones the first by id, in any partitioning. Events without an id are no answer."""
+    at = F.when(F.col("event_id").isNotNull(), F.col("value"))
+    by = F.when(at.isNotNull(), F.struct(at, -F.col("event_id")))
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("value").alias("best_value"), F.max_by("event_id", by).alias("best_event"))
 
 
 @query(
