@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parts(spark: SparkSession, sf_dir: str, rows: int = 50_000) -> int:
+    """Tasks that events are dealt to: one for each `rows` of them, so a task's share doesn't grow with the table; all cores from small tables on."""
+    n = table(spark, sf_dir, "events").count()
+    return max(-(-n // rows), min(spark.sparkContext.defaultParallelism, -(-n // 4_000)), 1)
+
+
+@contextmanager
+def dealt(spark: SparkSession, n: int) -> Iterator[None]:
+    """What runs here is shuffled into n parts, none of which are merged."""
+    settings = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def shown(df: DataFrame, plain: list[str], doubles: list[str] = ()) -> DataFrame:
     """Columns for comparison: doubles to six places, without negative zeros."""
     return df.select(*plain, *[rounded(c) for c in doubles])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gamestate.plans.registry import parts
+
 
 def _choice(key: str, table: dict[str, Column]) -> Column:
     out = F
@@ -14,8 +16,9 @@ def _choice(key: str, table: dict[str, Column]) -> Column:
 
 
 def pbp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event: a user is a game, its quarter a period."""
+    """One row per event: a user is a game, its quarter a period. Games are dealt to tasks whose number follows the events'."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", F.col("event_type").alias("kind"), F.get_json_object("props", "$.k").cast("int").alias("k"))
+    ev = ev.repartition(parts(spark, sf_dir), "user_id")
     game = Window.partitionBy("user_id").orderBy("ts", "event_id")
     ev = ev.withColumns({"rn": F.row_number().over(game), "n": F.count("*").over(Window.partitionBy("user_id"))})
     ev = ev.withColumn("period", F.expr("cast(1 + ((rn - 1) * 4) div n as int)"))
