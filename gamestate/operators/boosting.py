@@ -3,7 +3,7 @@
 The rows are binned once into blocks (a byte for each value, 0 for null) and written as a table. A level of all trees of a
 round, of all classes and of all models that are being trained, is one pass over that table: each task adds the gradients
 of its rows by node, column and bin, and these sums, whose number follows from depth, columns and bins but never from the
-rows, are added up by Spark and come to the driver, which picks the splits. Gradients are summed as integers, so trees
+rows, are added up and compared in a few tasks; the driver gets one split for each node. Gradients are summed as integers, so trees
 don't depend on how rows are dealt out, nor do the row samples, which follow from a hash of the keys.
 
 A null goes left or right at each split, whichever gains more there; no row is dropped, in training or in scoring. After
@@ -32,7 +32,7 @@ ROWS = 65_536  # rows of a block
 BINS = 64
 CLASSES = 256  # different labels that a model takes at most
 SCALE = float(1 << 24)  # of the integers that gradients are summed as
-TASKS = 32  # partial sums of so many tasks go to the driver as they are; more are added up in a shuffle
+TASKS = 32  # that add up sums and pick splits at most
 CACHED = 256 << 20  # bytes of margins that a worker keeps between passes
 
 
@@ -115,14 +115,14 @@ class Booster:
 
 @dataclass
 class Binned:
-    """Blocks of rows (codes, label as a place in classes, use: 1 train, 2 valid, 0 neither, a hash of the keys)."""
+    """Blocks of rows, train before valid ones and no others (codes by column, label as a place in classes, use: 1 train, 2 valid, a hash of the keys)."""
 
     rows: DataFrame
     columns: list[str]
     edges: list[list[float]]
     classes: list
     counts: list[int]  # of training rows by class
-    files: int  # of the table: passes have a task for each at most
+    tasks: int  # that a pass has at most
 
 
 def to_codes(x: np.ndarray, edges: list[list[float]]) -> np.ndarray:
@@ -150,15 +150,17 @@ def bin_rows(df: DataFrame, columns: list[str], label: str, keys: list[str], kee
     edges = [sorted(set(cuts[f"_{j}"] or [])) for j in range(len(columns))]
     place = F.coalesce(F.expr("case " + " ".join(f"when _label <=> {_sql(c)} then {i}" for i, c in enumerate(classes)) + " end"), F.lit(-1))
     wide = named.select(*_doubles(columns), F.col(label).alias("_label"), "_use", F.xxhash64(*keys).alias("_key"))
-    wide = wide.select(*[f"_{j}" for j in range(len(columns))], place.alias("y"), "_use", "_key")
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-sum(counts) // (4 * ROWS)))  # each sends its sums, so not more than the cores and rows ask for
+    wide = wide.select(*[f"_{j}" for j in range(len(columns))], place.alias("y"), "_use", "_key").where("_use > 0 and y >= 0").coalesce(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, []
 
         def block() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
+            t = t.take(np.argsort(t["_use"].to_numpy(), kind="stable"))
             x = np.stack([t.column(j).to_numpy().astype(np.float64) for j in range(len(columns))], 1) if columns else np.zeros((t.num_rows, 0))
-            parts = [to_codes(x, edges), *(t[c].to_numpy().astype(k) for c, k in (("y", "<i4"), ("_use", "u1"), ("_key", "<i8")))]
+            parts = [np.ascontiguousarray(to_codes(x, edges).T), *(t[c].to_numpy().astype(k) for c, k in (("y", "<i4"), ("_use", "u1"), ("_key", "<i8")))]
             return pa.RecordBatch.from_arrays([pa.array([number]), *(pa.array([p.tobytes()], pa.binary()) for p in parts)], names=["block", "codes", "y", "use", "key"])
 
         for b in batches:
@@ -170,7 +172,7 @@ def bin_rows(df: DataFrame, columns: list[str], label: str, keys: list[str], kee
             yield block()
 
     rows = keep(wide.mapInArrow(run, "block long, codes binary, y binary, use binary, key binary"))
-    return Binned(rows, columns, edges, classes, counts, len(rows.inputFiles()))
+    return Binned(rows, columns, edges, classes, counts, tasks)
 
 
 def _sql(value: object) -> str:
@@ -207,113 +209,149 @@ def _mixed(key: np.ndarray, salt: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).astype(np.float64) / 2.0**64
 
 
-def _pass(binned: Binned, run: str, models: dict[int, Booster], grown: dict[int, list[Tree]], level: int) -> tuple[dict[int, np.ndarray], dict[int, list[float]]]:
-    """One pass: for each model the sums (class, node, column, bin, gradient or hessian), and at level 0 its losses.
+@dataclass(frozen=True)
+class _Best:
+    """The split of a node (feature is -1 if none gains), and the sums of gradients and hessians of all its rows and either side."""
+
+    feature: int
+    bin: int
+    null_left: bool
+    gain: float
+    whole: tuple[float, float]
+    left: tuple[float, float] = (0.0, 0.0)
+    right: tuple[float, float] = (0.0, 0.0)
+
+
+def _pass(binned: Binned, run: str, models: dict[int, Booster], grown: dict[int, list[Tree]], level: int) -> tuple[dict[int, list[dict[int, _Best]]], dict[int, list[float]]]:
+    """One pass: for each model and class the best split of each node of the level, and at level 0 the model's losses.
 
-    Only the sums move. A cell is numbered by model, class, node, column and bin; losses have negative numbers.
+    Each task sends one row of sums for each node. They are added up, and the splits chosen, in at most TASKS tasks, a node
+    in one of them; the driver gets a split for each node. A node is numbered by model, class and place in the level; losses
+    have negative numbers.
     """
-    wide, bins, many = len(binned.columns), BINS + 2, 2**level
-    size = {m: len(b.start) * many * wide * bins for m, b in models.items()}
-    first = dict(zip(size, np.cumsum([0, *size.values()]).tolist(), strict=False))
-    classes = len(binned.classes)
+    wide, many = len(binned.columns), 2**level
+    bins = [len(e) + 2 for e in binned.edges]
+    starts = np.concatenate([[0], np.cumsum(bins)]).astype(int)
+    cells = int(starts[-1])
+    of = [(m, k) for m, b in models.items() for k in range(len(b.start))]
+    place = {x: i * many for i, x in enumerate(of)}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((sum(size.values()), 2), np.int64)
-        losses = {m: np.zeros((2, 2)) for m in models}
+        total = np.zeros((len(of) * many, cells, 2), np.int64)
+        losses = {m: np.zeros((2, 2), np.int64) for m in models}
         for b in batches:
             for i in range(b.num_rows):
                 y, use, key = (np.frombuffer(b[c][i].as_py(), t) for c, t in (("y", "<i4"), ("use", "u1"), ("key", "<i8")))
-                codes = np.frombuffer(b["codes"][i].as_py(), np.uint8).reshape(len(y), wide)
+                columns = np.frombuffer(b["codes"][i].as_py(), np.uint8).reshape(wide, len(y))
+                learned = int((use == 1).sum())  # the first rows of a block
                 for m, model in models.items():
-                    p = probabilities(_known(run, m, b["block"][i].as_py(), model, codes))
+                    p = probabilities(_known(run, m, b["block"][i].as_py(), model, columns.T))
                     if level == 0:
-                        loss = -np.log(np.maximum(p[np.arange(len(y)), np.maximum(y, 0)], 1e-15))
-                        for part in (1, 2):
-                            on = (use == part) & (y >= 0)
-                            losses[m][part - 1] += (np.rint(loss[on] * SCALE).sum(), on.sum())
+                        loss = np.rint(-np.log(np.maximum(p[np.arange(len(y)), y], 1e-15)) * SCALE)
+                        for part, rows in enumerate((slice(None, learned), slice(learned, None))):
+                            losses[m][part] += (int(loss[rows].sum()), len(loss[rows]))
                     x = model.params
-                    on = (use == 1) & (y >= 0)
+                    own, p, label = columns[:, :learned], p[:learned], y[:learned]
                     if x.subsample < 1:
-                        on &= _mixed(key, x.seed * 100_003 + len(model.trees)) < x.subsample
-                    own = codes[on]
+                        on = _mixed(key[:learned], x.seed * 100_003 + len(model.trees)) < x.subsample
+                        own, p, label = own[:, on], p[on], label[on]
                     for k in range(len(model.start)):
                         cls = k if len(model.start) > 1 else 1
-                        g = np.rint((p[on, cls] - (y[on] == cls)) * SCALE)
-                        h = np.rint(np.maximum(p[on, cls] * (1 - p[on, cls]) * (2 if len(model.start) > 1 else 1), 1e-6) * SCALE)
-                        node = grown[m][k].nodes(own, level) - (many - 1)
-                        live = node >= 0
-                        node, g, h, c = node[live], g[live], h[live], own[live]
-                        for j in range(wide):
-                            at = first[m] + k * many * wide * bins
-                            cell = node * (wide * bins) + j * bins + c[:, j]
+                        g = np.rint((p[:, cls] - (label == cls)) * SCALE)
+                        h = np.rint(np.maximum(p[:, cls] * (1 - p[:, cls]) * (2 if len(model.start) > 1 else 1), 1e-6) * SCALE)
+                        node = grown[m][k].nodes(own.T, level) - (many - 1)
+                        node[node < 0] = many  # ended before this level
+                        at, first = place[m, k], {n: node * n for n in set(bins)}
+                        for j, n in enumerate(bins):
+                            cell = first[n] + own[j]
                             for s, v in enumerate((g, h)):
                                 # sums of integers below 2^53, so exact
-                                total[at : at + many * wide * bins, s] += np.bincount(cell, v, many * wide * bins).astype(np.int64)
-        cells = np.flatnonzero(total.any(1))
-        cell, g, h = [cells], [total[cells, 0]], [total[cells, 1]]
+                                found = np.bincount(cell, v, (many + 1) * n)[: many * n]
+                                total[at : at + many, starts[j] : starts[j + 1], s] += found.reshape(many, n).astype(np.int64)
+        nodes = np.flatnonzero(total.any((1, 2))) if cells else []
+        number, held = [int(i) for i in nodes], [total[i].tobytes() for i in nodes]
         if level == 0:
             for at, m in enumerate(models):
-                cell.append(np.array([-1 - 2 * at, -2 - 2 * at]))
-                g.append(losses[m][:, 0].astype(np.int64))
-                h.append(losses[m][:, 1].astype(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (cell, g, h)], names=["cell", "g", "h"])
-
-    out = binned.rows.mapInArrow(sums, "cell long, g long, h long")
-    if binned.files > TASKS:
-        out = out.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = out.toArrow()
-    cell, g, h = (found[c].to_numpy() for c in ("cell", "g", "h"))
-    total = np.zeros((sum(size.values()), 2), np.int64)
-    on = cell >= 0
-    np.add.at(total, cell[on], np.stack([g[on], h[on]], 1))
-    hists, losses = {}, {}
-    for at, m in enumerate(models):
-        hists[m] = total[first[m] : first[m] + size[m]].reshape(len(models[m].start), many, wide, bins, 2) / SCALE
-        loss = [(g[cell == c].sum() / SCALE, h[cell == c].sum()) for c in (-1 - 2 * at, -2 - 2 * at)]
-        losses[m] = [float(s / n) if n else math.nan for s, n in loss]
-    return hists, losses
-
-
-def _split(tree: Tree, level: int, hist: np.ndarray, p: Params, salt: int) -> bool:
-    """Give the nodes of a level their splits from the sums (node, column, bin, 2), and values to nodes that end; whether one was split."""
-    shrunk = lambda g: np.sign(g) * np.maximum(np.abs(g) - p.alpha, 0)
-    worth = lambda g, h: shrunk(g) ** 2 / (h + p.lam)
+                number.append(-1 - at)
+                held.append(losses[m].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(held, pa.binary())], names=["node", "sums"])
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i in range(b.num_rows):
+                node, one = b["node"][i].as_py(), np.frombuffer(b["sums"][i].as_py(), np.int64)
+                total[node] = total[node] + one if node in total else one
+        out = []
+        for node, t in total.items():
+            if node < 0:
+                out.append([float(node), *(float(t[2 * part] / SCALE / t[2 * part + 1]) if t[2 * part + 1] else math.nan for part in (0, 1))])
+                continue
+            m, k = of[node // many]
+            hist = np.zeros((wide, BINS + 2, 2))
+            for j, n in enumerate(bins):
+                hist[j, :n] = t.reshape(cells, 2)[starts[j] : starts[j + 1]] / SCALE
+            s = _best(hist, models[m].params, len(models[m].trees) * 1009 + k, many - 1 + node % many)
+            out.append([float(node), s.feature, s.bin, s.null_left, s.gain, *s.whole, *s.left, *s.right])
+        yield pa.RecordBatch.from_arrays([pa.array([[float(v) for v in r] for r in out], pa.list_(pa.float64()))], names=["best"])
+
+    tasks = max(1, min(TASKS, len(of) * many, binned.tasks))
+    found = binned.rows.mapInArrow(sums, "node long, sums binary").repartition(tasks, "node").mapInArrow(pick, "best array<double>").toArrow()["best"].to_pylist()
+    picked: dict[int, list[dict[int, _Best]]] = {m: [{} for _ in b.start] for m, b in models.items()}
+    losses, names = {m: [math.nan, math.nan] for m in models}, list(models)
+    for r in found:
+        if r[0] < 0:
+            losses[names[-1 - int(r[0])]] = r[1:]
+        else:
+            (m, k), i = of[int(r[0]) // many], int(r[0]) % many
+            picked[m][k][i] = _Best(int(r[1]), int(r[2]), bool(r[3]), r[4], (r[5], r[6]), (r[7], r[8]), (r[9], r[10]))
+    return picked, losses
+
+
+def _shrunk(g: np.ndarray, p: Params) -> np.ndarray:
+    return np.sign(g) * np.maximum(np.abs(g) - p.alpha, 0)
+
+
+def _best(s: np.ndarray, p: Params, salt: int, node: int) -> _Best:
+    """The best split from the sums (column, bin, 2) of a node's rows; of equal ones nulls right, then the first column and bin."""
+    worth = lambda g, h: _shrunk(g, p) ** 2 / (h + p.lam)
+    whole = s[0].sum(0)
+    missing, known = s[:, 0], np.cumsum(s[:, 1:], 1)
+    sides = np.stack([known, known + missing[:, None]])  # nulls right, nulls left
+    left_g, left_h = sides[..., 0], sides[..., 1]
+    right_g, right_h = whole[0] - left_g, whole[1] - left_h
+    gain = 0.5 * (worth(left_g, left_h) + worth(right_g, right_h) - worth(whole[0], whole[1])) - p.gamma
+    ok = (left_h >= p.min_child_weight) & (right_h >= p.min_child_weight) & (left_h > 0) & (right_h > 0)
+    if p.colsample < 1:
+        rng = np.random.default_rng([p.seed, salt, node])
+        drawn = rng.choice(len(s), max(1, round(p.colsample * len(s))), replace=False)
+        ok[:, np.setdiff1d(np.arange(len(s)), drawn)] = False
+    if p.coarse:
+        ok[:, :, ::2] = False
+    gain = np.where(ok, gain, -np.inf)
+    at = int(gain.argmax())
+    if not gain.flat[at] > 1e-9:
+        return _Best(-1, 0, False, 0.0, (whole[0], whole[1]))
+    side, f, b = np.unravel_index(at, gain.shape)
+    return _Best(int(f), int(b) + 1, bool(side), gain[side, f, b], (whole[0], whole[1]), (left_g[side, f, b], left_h[side, f, b]), (right_g[side, f, b], right_h[side, f, b]))
+
+
+def _split(tree: Tree, level: int, best: dict[int, _Best], p: Params) -> bool:
+    """Give the nodes of a level their splits, and values to nodes that end; whether one was split."""
 
     def value(g: float, h: float) -> float:
-        v = float(-shrunk(g) / (h + p.lam))
+        v = float(-_shrunk(g, p) / (h + p.lam))
         return p.eta * (max(-p.max_delta_step, min(p.max_delta_step, v)) if p.max_delta_step else v)
 
-    any_split = False
-    for i in range(2**level):
+    for i, b in best.items():
         node = 2**level - 1 + i
-        if level and tree.feature[(node - 1) // 2] < 0:
-            continue
-        s = hist[i]
-        whole = s[0].sum(0) if len(s) else np.zeros(2)
-        missing, known = s[:, 0], np.cumsum(s[:, 1:], 1)
-        sides = np.stack([known, known + missing[:, None]])  # nulls right, nulls left
-        left_g, left_h = sides[..., 0], sides[..., 1]
-        right_g, right_h = whole[0] - left_g, whole[1] - left_h
-        gain = 0.5 * (worth(left_g, left_h) + worth(right_g, right_h) - worth(whole[0], whole[1])) - p.gamma
-        ok = (left_h >= p.min_child_weight) & (right_h >= p.min_child_weight) & (left_h > 0) & (right_h > 0)
-        if p.colsample < 1:
-            rng = np.random.default_rng([p.seed, salt, node])
-            drawn = rng.choice(len(s), max(1, round(p.colsample * len(s))), replace=False)
-            ok[:, np.setdiff1d(np.arange(len(s)), drawn)] = False
-        if p.coarse:
-            ok[:, :, ::2] = False
-        gain = np.where(ok, gain, -np.inf)
-        at = int(gain.argmax()) if gain.size else 0
-        if not gain.size or not gain.flat[at] > 1e-9:
-            tree.value[node] = value(*whole)
+        if b.feature < 0:
+            tree.value[node] = value(*b.whole)
             continue
-        any_split = True
-        side, f, b = np.unravel_index(at, gain.shape)
-        tree.feature[node], tree.bin[node], tree.null_left[node] = f, b + 1, bool(side)
-        tree.gain[node], tree.cover[node] = gain[side, f, b], whole[1]
-        for child, g, h in ((2 * node + 1, left_g, left_h), (2 * node + 2, right_g, right_h)):
-            tree.value[child] = value(g[side, f, b], h[side, f, b])
-    return any_split
+        tree.feature[node], tree.bin[node], tree.null_left[node] = b.feature, b.bin, b.null_left
+        tree.gain[node], tree.cover[node] = b.gain, b.whole[1]
+        tree.value[2 * node + 1], tree.value[2 * node + 2] = value(*b.left), value(*b.right)
+    return any(b.feature >= 0 for b in best.values())
 
 
 def fit(binned: Binned, every: list[Params], stop: Callable[[int, list[tuple]], bool] | None = None, seconds: float | None = None) -> list[Booster]:
@@ -334,14 +372,14 @@ def fit(binned: Binned, every: list[Params], stop: Callable[[int, list[tuple]],
             live = {m: b for m, b in live.items() if b.params.depth > level}
             if not live:
                 break
-            hists, losses = _pass(binned, run, live, grown, level)
+            best, losses = _pass(binned, run, live, grown, level)
             if level == 0:
                 for m, b in list(live.items()):
                     b.curve.append((len(b.trees), *losses[m], time.time() - began))
                     if _over(m, b, stop, began, seconds):
                         del live[m], open_[m]
                 live = dict(live)
-            splits = {m: [_split(t, level, hists[m][j], b.params, len(b.trees) * 1009 + j) for j, t in enumerate(grown[m])] for m, b in live.items()}
+            splits = {m: [_split(t, level, best[m][k], b.params) for k, t in enumerate(grown[m])] for m, b in live.items()}
             live = {m: b for m, b in live.items() if any(splits[m])}
         for m, b in open_.items():
             b.trees.append(grown[m])
