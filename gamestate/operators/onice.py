@@ -48,12 +48,15 @@ def intervals(shifts: DataFrame, games: DataFrame, roster: DataFrame) -> DataFra
     return df.select("season", "game_id", "period", "team_type", "player_id", "pos_G", F.col("period_start_seconds").alias("start_s"), F.col("period_end_seconds").alias("end_s")).distinct()
 
 
-def lists(events: DataFrame, shifts: DataFrame) -> DataFrame:
+def lists(events: DataFrame, shifts: DataFrame, parts: int | None = None) -> DataFrame:
     """Per event the players whose shift holds (cur), begins at (on) or ends at (off) its second, by side and position.
 
     One equi-join on game and period with the interval as residual condition, on distinct seconds, and conditional sets.
+    parts: how many tasks both sides of either join are dealt to, where the session's number would be too few.
     """
-    seconds = events.select(*PERIOD, "period_seconds").distinct()
+    dealt = lambda df, *keys: df if parts is None else df.repartition(parts, *keys)
+    shifts = dealt(shifts, *PERIOD)
+    seconds = dealt(events.select(*PERIOD, "period_seconds"), *PERIOD).distinct()
     s, e, t = F.col("start_s"), F.col("end_s"), F.col("period_seconds")
     found = seconds.join(shifts, PERIOD).where((s <= t) & (t <= e))
     state = {"cur": (s < t) & (t < e), "on": s == t, "off": e == t}
@@ -63,7 +66,7 @@ def lists(events: DataFrame, shifts: DataFrame) -> DataFrame:
         for k, c in state.items():
             sets.append(joined_ids(F.collect_set(F.when(mine & c, F.col("player_id")))).alias(f"{side}_{'goalie' if goalie else 'skater'}_{k}"))
     out = found.groupBy(*PERIOD, "period_seconds").agg(*sets)
-    joined = events.join(out, [*PERIOD, "period_seconds"], "left")
+    joined = dealt(events, *PERIOD, "period_seconds").join(dealt(out, *PERIOD, "period_seconds"), [*PERIOD, "period_seconds"], "left")
     return joined.fillna("", [c for c in out.columns if c.endswith(("_cur", "_on", "_off"))])
 
 
@@ -83,9 +86,9 @@ def decide(cur: Column, on: Column, off: Column, last: Column) -> Column:
     )
 
 
-def on_ice(events: DataFrame, shifts: DataFrame) -> DataFrame:
+def on_ice(events: DataFrame, shifts: DataFrame, parts: int | None = None) -> DataFrame:
     """events with {home,away}_{1..6}_on_id and {home,away}_goalie_on_id; boundary events have none."""
-    df = lists(events, shifts)
+    df = lists(events, shifts, parts)
     boundary = F.col("event_type").isin(BOUNDARY_EVENTS)
     at = Window.partitionBy(*PERIOD, "period_seconds")
     last = F.col("event_idx") == F.max(F.when(~boundary, F.col("event_idx"))).over(at)

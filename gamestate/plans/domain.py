@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from gamestate.functions.core import clock_seconds, padded
 from gamestate.operators import features, game, onice
 from gamestate.plans import seasons, synthetic, twins
-from gamestate.plans.registry import query, shown, sql_rounded, sql_shown, table
+from gamestate.plans.registry import parts, query, shown, sql_rounded, sql_shown, table
 from gamestate.plans.storage import folder, kept
 from gamestate.sources import landed, layout, sinks
 
 ON = {"home": ["home_on"], "away": ["away_on"]}
 KEYS = ["season", "game_id", "event_idx"]
+SHARE = 25_000  # events of a task that looks up who is on: each meets a dozen shifts
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,7 @@ _LI = [f"{s}_{n}_{k}" for s in ("home", "away") for n in ("skater", "goalie") fo
 
 @query(twins.on_ice() + f"SELECT {sql_shown([*KEYS, *_LI])} FROM li")
 def onice_interval_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(onice.lists(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir)), [*KEYS, *_LI])
+    return shown(onice.lists(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir), parts(spark, sf_dir, SHARE)), [*KEYS, *_LI])
 
 
 _OI = [*KEYS, *[f"{s}_{i}_on_id" for s in ("home", "away") for i in range(1, 7)], "home_goalie_on_id", "away_goalie_on_id"]
@@ -144,7 +145,7 @@ _OI = [*KEYS, *[f"{s}_{i}_on_id" for s in ("home", "away") for i in range(1, 7)]
 
 @query(twins.on_ice() + f"SELECT {sql_shown(_OI)} FROM oi")
 def onice_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(onice.on_ice(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir)), _OI)
+    return shown(onice.on_ice(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir), parts(spark, sf_dir, SHARE)), _OI)
 
 
 @query(twins.on_ice() + f"SELECT {sql_shown(_OI)} FROM oi")
@@ -153,8 +154,9 @@ def onice_slots_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [f"{n}_{uuid.uuid4().hex}" for n in ("events", "shifts")]
     try:
         with layout.in_place(spark):
-            events = layout.by_game(synthetic.pbp(spark, sf_dir), names[0], 8, ["event_idx"])
-            shifts = layout.by_game(synthetic.shifts(spark, sf_dir), names[1], 8, ["period", "start_s"])
+            buckets = parts(spark, sf_dir, SHARE)
+            events = layout.by_game(synthetic.pbp(spark, sf_dir), names[0], buckets, ["event_idx"])
+            shifts = layout.by_game(synthetic.shifts(spark, sf_dir), names[1], buckets, ["period", "start_s"])
             return kept(shown(onice.on_ice(events, shifts), _OI))
     finally:
         for n in names:
@@ -170,7 +172,7 @@ def onice_decision_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from gamestate.schemas import BOUNDARY_EVENTS
 
-    df = onice.lists(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir))
+    df = onice.lists(synthetic.pbp(spark, sf_dir), synthetic.shifts(spark, sf_dir), parts(spark, sf_dir, SHARE))
     boundary = F.col("event_type").isin(BOUNDARY_EVENTS)
     at = Window.partitionBy("season", "game_id", "period", "period_seconds")
     df = df.withColumns({"b": boundary, "lst": F.coalesce(F.col("event_idx") == F.max(F.when(~boundary, F.col("event_idx"))).over(at), F.lit(False))})

@@ -3,8 +3,10 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from gamestate.plans import evaluation
+from gamestate.operators import boosting, models
+from gamestate.plans import domain, evaluation, registry
 from gamestate.plans.registry import SQL
+from gamestate.plans.storage import kept
 
 
 def test_best_event_of_equal_values_is_the_first(spark, tmp_path):
@@ -19,3 +21,44 @@ def test_best_event_of_equal_values_is_the_first(spark, tmp_path):
     assert sorted(str(tuple(r)) for r in evaluation.argmax_by(spark, str(tmp_path)).collect()) == want
     df.orderBy(F.desc("event_id")).repartition(7).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
     assert sorted(str(tuple(r)) for r in evaluation.argmax_by(spark, str(tmp_path)).collect()) == want
+
+
+def tasks_of(spark, run):
+    """What `run` returns, and the number of tasks of each stage that it ran."""
+    tracker, group = spark.sparkContext.statusTracker(), "round_three"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return out, [s.numTasks for s in stages if s is not None]
+
+
+def test_tasks_follow_the_events(spark, tmp_path, monkeypatch):
+    """With a share of 50 events for a task, 400 and 1,600 events are dealt to 8 and 32 tasks, which no merging undoes."""
+    monkeypatch.setattr(registry.parts, "__defaults__", (50,))
+    monkeypatch.setattr(domain, "SHARE", 50)
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").write.parquet(f"{tmp_path}/customer.parquet")
+    for n in (400, 1600):
+        ev = spark.range(n).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), (F.col("id") % 97).alias("user_id"), F.element_at(F.array(*map(F.lit, ("purchase", "click", "view", "error"))), (F.col("id") % 4 + 1).cast("int")).alias("event_type"), F.lit(1.0).alias("value"), F.format_string('{"k": %d}', F.col("id") * 13 % 100).alias("props"))
+        ev.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        for query in ("split_ev", "onice_slots", "onice_slots_in_place"):
+            _, seen = tasks_of(spark, lambda: registry.QUERIES[query](spark, str(tmp_path)).count())  # noqa: B023
+            assert n // 50 in seen, (query, n, seen)
+
+
+def test_driver_gets_a_split_for_a_node_and_no_sums(spark, monkeypatch):
+    """Ten columns of many values make thousands of sums; what a pass brings to the driver has a row for each node and the losses."""
+    df = spark.range(4000).select(F.lit(20232024).alias("season"), F.lit(1).alias("game_id"), F.col("id").alias("event_idx"), *[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)).cast("double").alias(f"c{i}") for i in range(10)])
+    df = df.withColumns({"is_goal": (F.col("c0") > 500).cast("int"), "fold": models.fold(20242025)})
+    cls, brought = type(df), []
+    plain = cls.toArrow
+
+    def seen(self):
+        brought.append(plain(self))
+        return brought[-1]
+
+    monkeypatch.setattr(cls, "toArrow", seen)
+    models.boosted(df, [f"c{i}" for i in range(10)], kept, [boosting.Params(rounds=2, depth=3)])
+    assert brought and max(t.num_rows for t in brought) <= 4 + 1 and max(t.nbytes for t in brought) < 2_000
