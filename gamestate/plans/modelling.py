@@ -12,7 +12,7 @@ from gamestate.operators import boosting, features, metrics, models
 from gamestate.operators.boosting import Params
 from gamestate.plans import seasons, synthetic
 from gamestate.plans.domain import KEYS, placed, shots
-from gamestate.plans.registry import query
+from gamestate.plans.registry import dealt, parts, query
 from gamestate.plans.storage import kept
 
 ETAS = [0.02, 0.05, 0.1, 0.3]
@@ -22,16 +22,22 @@ def columns_of(name: str) -> list[str]:
     return features.model_columns(name)
 
 
-def _framed(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, boosting.Booster | None]:
-    df = kept(features.prepare(features.split(shots(spark, sf_dir), name), synthetic.roster(spark, sf_dir), name))
+_SHOWN = ["strength_type", "secondary_type", "is_goal", "event_distance", "event_angle"]
+
+
+def _framed(spark: SparkSession, sf_dir: str, name: str, shot: DataFrame | None = None) -> tuple[DataFrame, boosting.Booster | None]:
+    """A split's frame, of no more columns than what follows reads. shot: the shots of all splits, if they are a table already."""
     inputs = [c for c in columns_of(name) if c not in features.SHOT_COLUMNS]
+    with dealt(spark, parts(spark, sf_dir)):
+        df = features.prepare(features.split(shots(spark, sf_dir) if shot is None else shot, name), synthetic.roster(spark, sf_dir), name)
+        df = kept(df.select(*dict.fromkeys([*KEYS, *_SHOWN, *inputs])))
     df, model = models.impute_types(df, inputs, kept)
     return kept(features.shot_types(df, "event_detail").withColumn("fold", models.fold(20242025))), model
 
 
-def prepared(spark: SparkSession, sf_dir: str, name: str = "EV") -> DataFrame:
+def prepared(spark: SparkSession, sf_dir: str, name: str = "EV", shot: DataFrame | None = None) -> DataFrame:
     """The frame of a split as a table: every fit, and every round of one, reads it again."""
-    return _framed(spark, sf_dir, name)[0]
+    return _framed(spark, sf_dir, name, shot)[0]
 
 
 @query()
@@ -73,7 +79,9 @@ def xg_train_score_en(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _all_splits(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, boosting.Booster]]:
     """The frame and the model of each split."""
-    frames = {s: prepared(spark, sf_dir, s) for s in seasons.SPLITS}
+    with dealt(spark, parts(spark, sf_dir)):
+        shot = kept(shots(spark, sf_dir).where(" or ".join(f"in_{s} = 1" for s in seasons.SPLITS)))
+    frames = {s: prepared(spark, sf_dir, s, shot) for s in seasons.SPLITS}
     return frames, {s: models.boosted(df, columns_of(s), kept, [Params()])[0] for s, df in frames.items()}
 
 
