@@ -76,7 +76,11 @@ def refit_boosted(df: DataFrame, columns: list[str], keep: Callable[[DataFrame],
     It takes as many rounds as were best for that rate.
     """
     models = boosted(df, columns, keep, [replace(params or Params(), eta=e) for e in etas])
-    aucs = [metrics.auc(goals(m, df.where("fold = 'valid'")), "is_goal", "xG").first()[0] or 0.0 for m in models]
+    valid = df.where("fold = 'valid'")
+    for i, m in enumerate(models):
+        valid = goals(m, valid).withColumnRenamed("xG", f"_xG_{i}")
+    valid = keep(valid.select("is_goal", *[f"_xG_{i}" for i in range(len(models))]))  # scored once, by all rates
+    aucs = [metrics.auc(valid, "is_goal", f"_xG_{i}").first()[0] or 0.0 for i in range(len(models))]
     best = max(range(len(etas)), key=lambda i: (aucs[i], -etas[i]))
     both = boosting.bin_rows(df, columns, "is_goal", KEYS, keep, train="fold in ('train', 'valid')", valid="false")
     (model,) = boosting.fit(both, [replace(models[best].params, rounds=max(models[best].best, 1))])
