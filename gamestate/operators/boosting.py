@@ -3,8 +3,9 @@
 The rows are binned once into blocks (a byte for each value, 0 for null) and written as a table. A level of all trees of a
 round, of all classes and of all models that are being trained, is one pass over that table: each task adds the gradients
 of its rows by node, column and bin, and these sums, whose number follows from depth, columns and bins but never from the
-rows, are added up and compared in a few tasks; the driver gets one split for each node. Gradients are summed as integers, so trees
-don't depend on how rows are dealt out, nor do the row samples, which follow from a hash of the keys.
+rows, are added up and compared in a few tasks; the driver gets one split for each node. Gradients are summed as integers and the edges
+of bins come from counts, so trees don't depend on how rows are dealt out, nor do the row samples, which follow from a hash of
+the keys.
 
 A null goes left or right at each split, whichever gains more there; no row is dropped, in training or in scoring. After
 each round the loss on the valid rows is known without another pass. A model stops when its loss has not improved for
@@ -28,8 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gamestate.operators.running import running
+
 ROWS = 65_536  # rows of a block
 BINS = 64
+VALUES = 1_000_000  # of all columns that a task runs over at most, about
 CLASSES = 256  # different labels that a model takes at most
 SCALE = float(1 << 24)  # of the integers that gradients are summed as
 TASKS = 32  # that add up sums and pick splits at most
@@ -137,6 +141,32 @@ def _doubles(columns: list[str]) -> list:
     return [F.col(f"`{c}`").cast("double").alias(f"_{j}") for j, c in enumerate(columns)]
 
 
+def exact_edges(df: DataFrame, columns: list[str], rows: int, keep: Callable[[DataFrame], DataFrame]) -> list[list[float]]:
+    """Of each column the least values that hold 1, 2, ... BINS - 1 shares of its rows, nulls and NaN aside; `rows` is about df's number.
+
+    Tasks count the values of a batch, the counts are added up and run over by ranges, so the same rows give the same edges
+    however they are dealt, and no task has all values of a column. The driver gets the edges.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for j in range(len(columns)):
+                x = b.column(j).to_numpy(zero_copy_only=False).astype(np.float64)
+                value, n = np.unique(x[~np.isnan(x)] + 0.0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), j, np.int32)), pa.array(value), pa.array(n.astype(np.int64))], names=["j", "value", "n"])
+
+    if not columns:
+        return []
+    seen = keep(df.select(_doubles(columns)).mapInArrow(counted, "j int, value double, n long").groupBy("j", "value").agg(F.sum("n").alias("n")))
+    up_to = running(seen, ["j", "value"], keep, {"up_to": F.col("n")}, parts=-(-rows * len(columns) // VALUES) or 1)
+    whole = {r["j"]: r["n"] for r in seen.groupBy("j").agg(F.sum("n").alias("n")).collect()}
+    sizes = [whole.get(j, 0) for j in range(len(columns))]
+    size, before = (F.array(*[F.lit(int(x)).cast("long") for x in xs])[F.col("j")] for xs in (sizes, np.cumsum([0, *sizes])))
+    shares = up_to.select("j", "value", ((F.col("up_to") - before) * BINS).alias("upper"), ((F.col("up_to") - F.col("n") - before) * BINS).alias("lower"), size.alias("size"))
+    found = shares.where(f"least(upper div size, {BINS - 1}) > lower div size").select("j", "value").collect()  # fewer than BINS of a column
+    return [sorted(r["value"] for r in found if r["j"] == j) for j in range(len(columns))]
+
+
 def bin_rows(df: DataFrame, columns: list[str], label: str, keys: list[str], keep: Callable[[DataFrame], DataFrame], train: str = "fold = 'train'", valid: str = "fold = 'valid'") -> Binned:
     """df in blocks, through `keep`, which writes a frame as a table. Rows without a label belong to neither part."""
     named = df.where(F.col(label).isNotNull()).withColumn("_use", F.expr(f"case when {train} then 1 when {valid} then 2 else 0 end"))
@@ -145,9 +175,7 @@ def bin_rows(df: DataFrame, columns: list[str], label: str, keys: list[str], kee
     if not 1 <= len(found) <= CLASSES:
         raise ValueError(f"{label} has {len(found) or 'no'} classes among the training rows, the most are {CLASSES}")
     classes, counts = [r["label"] for r in found], [r["n"] for r in found]
-    probabilities = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
-    cuts = learned.select(_doubles(columns)).agg(*[F.percentile_approx(F.nanvl(f"_{j}", F.lit(None)), probabilities, F.lit(100 * BINS)).alias(f"_{j}") for j in range(len(columns))]).first()
-    edges = [sorted(set(cuts[f"_{j}"] or [])) for j in range(len(columns))]
+    edges = exact_edges(learned, columns, sum(counts), keep)
     place = F.coalesce(F.expr("case " + " ".join(f"when _label <=> {_sql(c)} then {i}" for i, c in enumerate(classes)) + " end"), F.lit(-1))
     wide = named.select(*_doubles(columns), F.col(label).alias("_label"), "_use", F.xxhash64(*keys).alias("_key"))
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-sum(counts) // (4 * ROWS)))  # each sends its sums, so not more than the cores and rows ask for
