@@ -52,13 +52,14 @@ def lists(events: DataFrame, shifts: DataFrame, parts: int | None = None) -> Dat
     """Per event the players whose shift holds (cur), begins at (on) or ends at (off) its second, by side and position.
 
     One equi-join on game and period with the interval as residual condition, on distinct seconds, and conditional sets.
-    parts: how many tasks both sides of either join are dealt to, where the session's number would be too few.
+    parts: how many tasks both sides of either join are dealt to, where the session's number would be too few. The shifts
+    are merged, never broadcast: rows that explode from a small table are taken for as small, and the driver would hold them all.
     """
     dealt = lambda df, *keys: df if parts is None else df.repartition(parts, *keys)
     shifts = dealt(shifts, *PERIOD)
     seconds = dealt(events.select(*PERIOD, "period_seconds"), *PERIOD).distinct()
     s, e, t = F.col("start_s"), F.col("end_s"), F.col("period_seconds")
-    found = seconds.join(shifts, PERIOD).where((s <= t) & (t <= e))
+    found = seconds.join(shifts.hint("merge"), PERIOD).where((s <= t) & (t <= e))
     state = {"cur": (s < t) & (t < e), "on": s == t, "off": e == t}
     sets = []
     for side, goalie in KINDS:

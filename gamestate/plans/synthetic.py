@@ -124,8 +124,12 @@ ROSTER_SQL = """syn_roster AS (SELECT CAST(c_custkey AS VARCHAR) AS player_id, c
 
 
 def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shift intervals of both teams of every period of pbp: skaters in slots, a goalie, now and then an extra skater."""
+    """Shift intervals of both teams of every period of pbp: skaters in slots, a goalie, now and then an extra skater.
+
+    The games are dealt before their shifts are made: a game makes some 850, so the games' own number would fill too few tasks.
+    """
     games = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(F.col("user_id").alias("game_id")).agg(F.count("*").alias("n"))
+    games = games.repartition(parts(spark, sf_dir), "game_id")
     occur = F.array_distinct(F.expr("transform(sequence(0, n - 1), i -> cast(1 + (i * 4) div n as int))"))  # as in pbp
     periods = games.select(F.when(F.col("game_id") % 2 == 0, 20232024).otherwise(20242025).alias("season"), "game_id", F.explode(occur).alias("period"))
     sides = periods.select("*", F.explode(F.array(F.lit("home"), F.lit("away"))).alias("team_type"))
