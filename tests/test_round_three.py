@@ -112,7 +112,7 @@ def test_model_queries_make_their_frame_in_tasks_of_a_share(spark, tmp_path, mon
     assert len(written) > 6 and max(r["rows"] for r in written) <= max(r["games"] for r in written) * 25 and max(r["games"] for r in written) < 97 // 3
 
 
-@pytest.mark.parametrize("query", ["onice_decision_table", "onice_interval_lists"])
+@pytest.mark.parametrize("query", ["onice_decision_table", "onice_slots", "onice_interval_lists"])
 def test_shifts_are_not_broadcast(spark, tiny, query):
     """They explode from the games, so a plan takes them for as small as these and would put them all on the driver."""
     plan = registry.QUERIES[query](spark, tiny)._jdf.queryExecution().executedPlan().toString()
