@@ -37,6 +37,7 @@ VALUES = 1_000_000  # of all columns that a task runs over at most, about
 CLASSES = 256  # different labels that a model takes at most
 SCALE = float(1 << 24)  # of the integers that gradients are summed as
 TASKS = 32  # that add up sums and pick splits at most
+JOINT = 512  # joint codes of a bundle of columns at most; less at levels of more than 8 nodes
 CACHED = 256 << 20  # bytes of margins that a worker keeps between passes
 
 
@@ -74,14 +75,24 @@ class Tree:
         return cls(np.full(n, -1, np.int16), np.zeros(n, np.int16), np.zeros(n, bool), np.zeros(n), np.zeros(n), np.zeros(n))
 
     def nodes(self, codes: np.ndarray, steps: int | None = None) -> np.ndarray:
-        at = np.zeros(len(codes), np.int64)
-        rows = np.arange(len(codes))
-        for _ in range(int(math.log2(len(self.feature) + 1)) - 1 if steps is None else steps):
-            f = self.feature[at]
-            c = codes[rows, np.maximum(f, 0)]
-            left = np.where(c == 0, self.null_left[at], c <= self.bin[at])
-            at = np.where(f < 0, at, 2 * at + 2 - left)
-        return at
+        """The node of each row after some steps; whole columns are compared, node by node, as they lie together in a block."""
+        steps = int(math.log2(len(self.feature) + 1)) - 1 if steps is None else steps
+        place, ends = np.zeros(len(codes), np.uint16 if steps > 8 else np.uint8), np.zeros(1, np.int64)  # in the level; where that place is or ended
+        for level in range(steps):
+            right = np.zeros(len(codes), bool)
+            for i in range(2**level):
+                node = 2**level - 1 + i
+                if ends[i] == node and (f := self.feature[node]) >= 0:
+                    c = codes[:, f]
+                    mine = c > self.bin[node]
+                    if not self.null_left[node]:
+                        mine |= c == 0
+                    right |= mine & (place == i)
+            place = 2 * place + right
+            below = np.stack([2 * ends + 1, 2 * ends + 2], 1)
+            going = (ends >= 2**level - 1) & (self.feature[ends] >= 0)
+            ends = np.where(going[:, None], below, ends[:, None]).ravel()
+        return ends[place]
 
 
 @dataclass
@@ -99,7 +110,7 @@ class Booster:
     state: str = "complete"
 
     def margins(self, codes: np.ndarray, rounds: int | None = None, since: int = 0, out: np.ndarray | None = None) -> np.ndarray:
-        out = np.tile(np.array(self.start), (len(codes), 1)) if out is None else out
+        out = np.asfortranarray(np.tile(np.array(self.start), (len(codes), 1))) if out is None else out
         for trees in self.trees[since:rounds]:
             for k, t in enumerate(trees):
                 out[:, k] += t.value[t.nodes(codes)]
@@ -131,7 +142,7 @@ class Binned:
 
 def to_codes(x: np.ndarray, edges: list[list[float]]) -> np.ndarray:
     """The bins of a matrix of doubles: 0 for NaN, else 1 and the number of edges below."""
-    out = np.empty(x.shape, np.uint8)
+    out = np.empty(x.shape, np.uint8, order="F")
     for j, e in enumerate(edges):
         out[:, j] = np.where(np.isnan(x[:, j]), 0, 1 + np.searchsorted(e, x[:, j], "left"))
     return out
@@ -210,12 +221,30 @@ def _sql(value: object) -> str:
 _margins: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
 
 
-def _known(run: str, m: int, block: int, model: Booster, codes: np.ndarray) -> np.ndarray:
+@dataclass
+class _Forest:
+    """What a pass tells its tasks of a model: its trees in one array for each property (round, class, node), so that many trees are sent fast."""
+
+    params: Params
+    start: list[float]
+    rounds: int
+    nodes: tuple[np.ndarray, ...]
+
+    @classmethod
+    def of(cls, model: Booster) -> _Forest:
+        kinds = ("feature", "bin", "null_left", "value")
+        return cls(model.params, model.start, len(model.trees), tuple(np.array([[getattr(t, k) for t in trees] for trees in model.trees]) for k in kinds))
+
+    def trees(self, since: int) -> list[list[Tree]]:
+        return [[Tree(*(x[r, k] for x in self.nodes), *[np.empty(0)] * 2) for k in range(len(self.start))] for r in range(since, self.rounds)]
+
+
+def _known(run: str, m: int, block: int, model: _Forest, codes: np.ndarray) -> np.ndarray:
     """Margins of a block, from those this worker remembers of earlier rounds if it does."""
-    key, done = (run, m, block), len(model.trees)
+    key = (run, m, block)
     since, out = _margins.pop(key, (0, None))
-    out = model.margins(codes, done, since, out)
-    _margins[key] = (done, out)
+    out = Booster([], [], [], model.start, model.params, model.trees(since)).margins(codes, out=out)
+    _margins[key] = (model.rounds, out)
     while len(_margins) > 1 and sum(x.nbytes for _, x in _margins.values()) > CACHED:
         _margins.popitem(last=False)
     return out
@@ -225,7 +254,7 @@ def probabilities(margins: np.ndarray) -> np.ndarray:
     """Of each class: the logistic function of one margin, or softmax of several."""
     if margins.shape[1] == 1:
         p = 1 / (1 + np.exp(-margins[:, 0]))
-        return np.stack([1 - p, p], 1)
+        return np.stack([1 - p, p]).T
     e = np.exp(margins - margins.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
 
@@ -237,6 +266,38 @@ def _mixed(key: np.ndarray, salt: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).astype(np.float64) / 2.0**64
 
 
+@dataclass
+class _Bundle:
+    """Columns that are counted as one: the joint code of each row and how many there are, and of which cells its counts are sums."""
+
+    code: np.ndarray
+    size: int
+    cells: np.ndarray
+    share: np.ndarray | None  # joint codes by cells, 1 where a code counts; None: the cells are the codes
+
+
+def _bundles(columns: np.ndarray, starts: np.ndarray, most: int) -> list[_Bundle]:
+    """Columns (column, row) of few values joined, up to `most` joint codes, so that one count serves all of a bundle."""
+    low, high = columns.min(1).astype(int), columns.max(1).astype(int)
+    spans, groups = high - low + 1, []
+    for j in np.argsort(spans, kind="stable"):
+        if groups and groups[-1][1] * spans[j] <= most:
+            groups[-1][0].append(j)
+            groups[-1][1] *= int(spans[j])
+        else:
+            groups.append([[j], int(spans[j])])
+    out = []
+    for members, size in groups:
+        code, step, share = np.zeros(columns.shape[1], np.uint16), 1, []
+        for j in members:
+            code += (columns[j] - np.uint8(low[j])) * np.uint16(step)
+            share.append(np.arange(size)[:, None] // step % spans[j] == np.arange(spans[j]))
+            step *= int(spans[j])
+        cells = np.concatenate([starts[j] + np.arange(low[j], high[j] + 1) for j in members])
+        out.append(_Bundle(code, size, cells, np.concatenate(share, 1).astype(np.float64) if len(members) > 1 else None))
+    return out
+
+
 @dataclass(frozen=True)
 class _Best:
     """The split of a node (feature is -1 if none gains), and the sums of gradients and hessians of all its rows and either side."""
@@ -263,43 +324,46 @@ def _pass(binned: Binned, run: str, models: dict[int, Booster], grown: dict[int,
     cells = int(starts[-1])
     of = [(m, k) for m, b in models.items() for k in range(len(b.start))]
     place = {x: i * many for i, x in enumerate(of)}
+    sent = {m: _Forest.of(b) for m, b in models.items()}
+    grows = {m: (b.params, len(b.trees)) for m, b in models.items()}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(of) * many, cells, 2), np.int64)
-        losses = {m: np.zeros((2, 2), np.int64) for m in models}
+        losses = {m: np.zeros((2, 2), np.int64) for m in sent}
         for b in batches:
             for i in range(b.num_rows):
                 y, use, key = (np.frombuffer(b[c][i].as_py(), t) for c, t in (("y", "<i4"), ("use", "u1"), ("key", "<i8")))
                 columns = np.frombuffer(b["codes"][i].as_py(), np.uint8).reshape(wide, len(y))
                 learned = int((use == 1).sum())  # the first rows of a block
-                for m, model in models.items():
+                bundles = _bundles(columns[:, :learned], starts, min(JOINT, 8 * JOINT // many)) if learned and wide else []
+                for m, model in sent.items():
                     p = probabilities(_known(run, m, b["block"][i].as_py(), model, columns.T))
                     if level == 0:
                         loss = np.rint(-np.log(np.maximum(p[np.arange(len(y)), y], 1e-15)) * SCALE)
                         for part, rows in enumerate((slice(None, learned), slice(learned, None))):
                             losses[m][part] += (int(loss[rows].sum()), len(loss[rows]))
                     x = model.params
-                    own, p, label = columns[:, :learned], p[:learned], y[:learned]
+                    own, p, label, codes = columns[:, :learned], p[:learned], y[:learned], [u.code for u in bundles]
                     if x.subsample < 1:
-                        on = _mixed(key[:learned], x.seed * 100_003 + len(model.trees)) < x.subsample
-                        own, p, label = own[:, on], p[on], label[on]
+                        on = _mixed(key[:learned], x.seed * 100_003 + model.rounds) < x.subsample
+                        own, p, label, codes = own[:, on], p[on], label[on], [c[on] for c in codes]
                     for k in range(len(model.start)):
                         cls = k if len(model.start) > 1 else 1
                         g = np.rint((p[:, cls] - (label == cls)) * SCALE)
                         h = np.rint(np.maximum(p[:, cls] * (1 - p[:, cls]) * (2 if len(model.start) > 1 else 1), 1e-6) * SCALE)
                         node = grown[m][k].nodes(own.T, level) - (many - 1)
                         node[node < 0] = many  # ended before this level
-                        at, first = place[m, k], {n: node * n for n in set(bins)}
-                        for j, n in enumerate(bins):
-                            cell = first[n] + own[j]
+                        at, first = place[m, k], {n: node * n for n in {u.size for u in bundles}}
+                        for u, code in zip(bundles, codes, strict=True):
+                            cell = first[u.size] + code
                             for s, v in enumerate((g, h)):
                                 # sums of integers below 2^53, so exact
-                                found = np.bincount(cell, v, (many + 1) * n)[: many * n]
-                                total[at : at + many, starts[j] : starts[j + 1], s] += found.reshape(many, n).astype(np.int64)
+                                found = np.bincount(cell, v, (many + 1) * u.size)[: many * u.size].reshape(many, u.size)
+                                total[at : at + many, u.cells, s] += (found if u.share is None else found @ u.share).astype(np.int64)
         nodes = np.flatnonzero(total.any((1, 2))) if cells else []
         number, held = [int(i) for i in nodes], [total[i].tobytes() for i in nodes]
         if level == 0:
-            for at, m in enumerate(models):
+            for at, m in enumerate(sent):
                 number.append(-1 - at)
                 held.append(losses[m].tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(held, pa.binary())], names=["node", "sums"])
@@ -319,7 +383,8 @@ def _pass(binned: Binned, run: str, models: dict[int, Booster], grown: dict[int,
             hist = np.zeros((wide, BINS + 2, 2))
             for j, n in enumerate(bins):
                 hist[j, :n] = t.reshape(cells, 2)[starts[j] : starts[j + 1]] / SCALE
-            s = _best(hist, models[m].params, len(models[m].trees) * 1009 + k, many - 1 + node % many)
+            params, rounds = grows[m]
+            s = _best(hist, params, rounds * 1009 + k, many - 1 + node % many)
             out.append([float(node), s.feature, s.bin, s.null_left, s.gain, *s.whole, *s.left, *s.right])
         yield pa.RecordBatch.from_arrays([pa.array([[float(v) for v in r] for r in out], pa.list_(pa.float64()))], names=["best"])
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gamestate.operators import boosting, metrics, tuning
 from gamestate.operators.boosting import Booster, Params
+from gamestate.session import together
 
 KEYS = ["season", "game_id", "event_idx"]
 
@@ -73,16 +74,18 @@ def goals(model: Booster, df: DataFrame) -> DataFrame:
 def refit_boosted(df: DataFrame, columns: list[str], keep: Callable[[DataFrame], DataFrame], etas: list[float], params: Params | None = None) -> tuple[Booster, list[Booster], list[float]]:
     """A model for each rate, their AUC on the valid rows, and first one of the best rate refitted on train and valid rows.
 
-    It takes as many rounds as were best for that rate.
+    It takes as many rounds as were best for that rate. Its rows are binned while the rates are trained.
     """
-    models = boosted(df, columns, keep, [replace(params or Params(), eta=e) for e in etas])
+    spark = df.sparkSession
+    first = lambda: boosted(df, columns, keep, [replace(params or Params(), eta=e) for e in etas])
+    second = lambda: boosting.bin_rows(df, columns, "is_goal", KEYS, keep, train="fold in ('train', 'valid')", valid="false")
+    models, both = together(spark, lambda f: f(), [first, second])
     valid = df.where("fold = 'valid'")
     for i, m in enumerate(models):
         valid = goals(m, valid).withColumnRenamed("xG", f"_xG_{i}")
     valid = keep(valid.select("is_goal", *[f"_xG_{i}" for i in range(len(models))]))  # scored once, by all rates
-    aucs = [metrics.auc(valid, "is_goal", f"_xG_{i}").first()[0] or 0.0 for i in range(len(models))]
+    aucs = together(spark, lambda i: metrics.auc(valid, "is_goal", f"_xG_{i}").first()[0] or 0.0, range(len(models)))
     best = max(range(len(etas)), key=lambda i: (aucs[i], -etas[i]))
-    both = boosting.bin_rows(df, columns, "is_goal", KEYS, keep, train="fold in ('train', 'valid')", valid="false")
     (model,) = boosting.fit(both, [replace(models[best].params, rounds=max(models[best].best, 1))])
     return model, models, aucs
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _ROOT = Path(__file__).resolve().parent
@@ -30,3 +33,10 @@ def ship(spark: SparkSession) -> None:
             z.write(p, Path(_ROOT.name) / p.relative_to(_ROOT))
     sc.addPyFile(str(path))
     sc._gamestate_shipped = True
+
+
+def together[T, R](spark: SparkSession, f: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """f of each item, at once: jobs too small for all cores share them. f must not change the session's settings."""
+    items = list(items)
+    with ThreadPoolExecutor(max(len(items), 1)) as pool:
+        return [x.result() for x in [pool.submit(inheritable_thread_target(spark)(f), i) for i in items]]
