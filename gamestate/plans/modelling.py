@@ -14,6 +14,7 @@ from gamestate.plans import seasons, synthetic
 from gamestate.plans.domain import KEYS, placed, shots
 from gamestate.plans.registry import dealt, parts, query
 from gamestate.plans.storage import kept
+from gamestate.session import together
 
 ETAS = [0.02, 0.05, 0.1, 0.3]
 
@@ -25,19 +26,31 @@ def columns_of(name: str) -> list[str]:
 _SHOWN = ["strength_type", "secondary_type", "is_goal", "event_distance", "event_angle"]
 
 
-def _framed(spark: SparkSession, sf_dir: str, name: str, shot: DataFrame | None = None) -> tuple[DataFrame, boosting.Booster | None]:
-    """A split's frame, of no more columns than what follows reads. shot: the shots of all splits, if they are a table already."""
-    inputs = [c for c in columns_of(name) if c not in features.SHOT_COLUMNS]
-    with dealt(spark, parts(spark, sf_dir)):
-        df = features.prepare(features.split(shots(spark, sf_dir) if shot is None else shot, name), synthetic.roster(spark, sf_dir), name)
-        df = kept(df.select(*dict.fromkeys([*KEYS, *_SHOWN, *inputs])))
-    df, model = models.impute_types(df, inputs, kept)
+def _shaped(spark: SparkSession, sf_dir: str, name: str, shot: DataFrame) -> DataFrame:
+    """A split's frame before shot types are imputed, of no more columns than what follows reads; made inside of `dealt`."""
+    df = features.prepare(features.split(shot, name), synthetic.roster(spark, sf_dir), name)
+    return kept(df.select(*dict.fromkeys([*KEYS, *_SHOWN, *_inputs(name)])))
+
+
+def _inputs(name: str) -> list[str]:
+    return [c for c in columns_of(name) if c not in features.SHOT_COLUMNS]
+
+
+def _imputed(df: DataFrame, name: str) -> tuple[DataFrame, boosting.Booster | None]:
+    df, model = models.impute_types(df, _inputs(name), kept)
     return kept(features.shot_types(df, "event_detail").withColumn("fold", models.fold(20242025))), model
 
 
-def prepared(spark: SparkSession, sf_dir: str, name: str = "EV", shot: DataFrame | None = None) -> DataFrame:
+def _framed(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, boosting.Booster | None]:
+    """A split's frame, and the model that imputed its shot types."""
+    with dealt(spark, parts(spark, sf_dir)):
+        df = _shaped(spark, sf_dir, name, shots(spark, sf_dir))
+    return _imputed(df, name)
+
+
+def prepared(spark: SparkSession, sf_dir: str, name: str = "EV") -> DataFrame:
     """The frame of a split as a table: every fit, and every round of one, reads it again."""
-    return _framed(spark, sf_dir, name, shot)[0]
+    return _framed(spark, sf_dir, name)[0]
 
 
 @query()
@@ -78,11 +91,17 @@ def xg_train_score_en(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_splits(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, boosting.Booster]]:
-    """The frame and the model of each split."""
+    """The frame and the model of each split. The splits are trained at once: most passes don't fill the cores."""
     with dealt(spark, parts(spark, sf_dir)):
         shot = kept(shots(spark, sf_dir).where(" or ".join(f"in_{s} = 1" for s in seasons.SPLITS)))
-    frames = {s: prepared(spark, sf_dir, s, shot) for s in seasons.SPLITS}
-    return frames, {s: models.boosted(df, columns_of(s), kept, [Params()])[0] for s, df in frames.items()}
+        shaped = dict(zip(seasons.SPLITS, together(spark, lambda s: _shaped(spark, sf_dir, s, shot), seasons.SPLITS), strict=True))
+
+    def trained(name: str) -> tuple[DataFrame, boosting.Booster]:
+        df, _ = _imputed(shaped[name], name)
+        return df, models.boosted(df, columns_of(name), kept, [Params()])[0]
+
+    found = dict(zip(seasons.SPLITS, together(spark, trained, seasons.SPLITS), strict=True))
+    return {s: df for s, (df, _) in found.items()}, {s: m for s, (_, m) in found.items()}
 
 
 @query()
@@ -96,8 +115,8 @@ def xg_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUC and log loss of each split's model on its valid rows; null where a split has no valid rows of both kinds."""
     out = None
     frames, fitted = _all_splits(spark, sf_dir)
-    for name, df in frames.items():
-        valid = kept(models.goals(fitted[name], df.where("fold = 'valid'")).select("is_goal", "xG"))
+    scored = together(spark, lambda s: kept(models.goals(fitted[s], frames[s].where("fold = 'valid'")).select("is_goal", "xG")), frames)
+    for name, valid in zip(frames, scored, strict=True):
         row = metrics.auc(valid, "is_goal", "xG").crossJoin(metrics.logloss(valid, "is_goal", "xG")).crossJoin(valid.agg(F.count("*").alias("shots")))
         row = row.select(F.lit(name).alias("strength_type"), "shots", "auc", "logloss")
         out = row if out is None else out.union(row)

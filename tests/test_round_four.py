@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from gamestate.operators import boosting, models
+from gamestate.plans import modelling, seasons
 from gamestate.plans.storage import kept
 
 
@@ -50,6 +51,16 @@ def test_nodes_of_rows_by_whole_columns():
         assert t.nodes(codes).tolist() == t.nodes(codes, depth).tolist()
 
 
+def test_splits_are_trained_at_once(spark, tiny, monkeypatch):
+    """Each split's training waits until the other one's has begun."""
+    met, boosted = threading.Barrier(2, timeout=120), models.boosted
+    monkeypatch.setattr(seasons, "SPLITS", ("EV", "EN"))
+    monkeypatch.setattr(models, "impute_types", lambda df, columns, keep: (df.withColumn("event_detail", F.col("secondary_type")), None))
+    monkeypatch.setattr(models, "boosted", lambda df, columns, keep, every: met.wait() >= 0 and boosted(df, columns, keep, [boosting.Params(rounds=1, depth=1)]))
+    frames, fitted = modelling._all_splits(spark, tiny)
+    assert list(frames) == list(fitted) == ["EV", "EN"] and frames["EN"].first()["strength_type"] == "EN"
+
+
 def test_rows_of_the_refit_are_binned_while_rates_are_trained(spark, monkeypatch):
     binned, bin_rows, fit, ended = threading.Event(), boosting.bin_rows, boosting.fit, []
 
